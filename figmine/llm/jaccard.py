@@ -147,7 +147,7 @@ def _candidate_edges(docs: DataFrame, n: int, percent: int, buckets: int) -> Dat
                 held_s.append(s)
                 held_k.append(k)
                 size += len(s)
-                if size > 2_000_000:
+                if size > 1_000_000:
                     yield out()
                     held_s, held_k, size = [], [], 0
         if size:

@@ -31,7 +31,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
 #: texts of one batch are handled in slices of about this many bytes, which bounds memory
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -23,12 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from figmine.llm.common import fold_column, n_buckets, pack, stored, to_bytes, unpack
-from figmine.llm.kernels import GRAM_LIMIT, Grams, gram_slices, mix64
+from figmine.llm.kernels import Grams, gram_slices, mix64
 
 ORDER = 5
 QUANTILE = 0.99
 LEAST = 30
-CHUNK_BYTES = 7 << 20
+CHUNK_BYTES = 6 << 20
+#: bytes worked on at once: bounds the memory of a task
+SLICE = 2 << 20
 MAX_BROADCAST_IDS = 1_000_000
 _U = np.uint64
 
@@ -62,7 +64,7 @@ def count_shards(trusted: DataFrame, shards: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array([to_bytes(g[cut[s] : cut[s + 1]]) for s in full], pa.binary()), pa.array([to_bytes(c[cut[s] : cut[s + 1]]) for s in full], pa.binary())], ["shard", "grams", "counts"])
 
         for batch in batches:
-            for _, _, data, offsets, context in gram_slices(batch.column(0)):
+            for _, _, data, offsets, context in gram_slices(batch.column(0), SLICE):
                 g = Grams(data, offsets, ORDER, inverse=False)
                 counts = g.counts.astype(np.int64)
                 if context:  # bytes repeated from the part before
@@ -71,10 +73,10 @@ def count_shards(trusted: DataFrame, shards: int) -> DataFrame:
                 held_g.append(g.distinct)
                 held_c.append(counts)
                 size += len(counts)
-                if size > 4_000_000:
+                if size > 1_500_000:
                     g, c = _summed(np.concatenate(held_g), np.concatenate(held_c))
                     held_g, held_c, size = [g], [c], len(g)
-                    if size > 3_000_000:
+                    if size > 1_000_000:
                         yield out()
                         held_g, held_c, size = [], [], 0
         if size:
@@ -179,16 +181,11 @@ def shard_probabilities(g: np.ndarray, c: np.ndarray, common: Common, asked: np.
     return p
 
 
-def _slices(table: pa.Table):
-    for first, _, data, offsets, context in gram_slices(table["text"], GRAM_LIMIT - 1):
-        if len(data):
-            yield first, Grams(data, offsets, ORDER), offsets, context
-
-
-def _requests(slices, shards: int) -> tuple[np.ndarray, np.ndarray]:
+def _requests(table: pa.Table, shards: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct grams of a chunk in order of shard and gram, with the limits of the shards."""
-    g = [s[1].distinct for s in slices]
-    g = np.unique(np.concatenate(g)) if len(g) > 1 else g[0] if g else np.zeros(0, _U)
+    g = np.zeros(0, _U)
+    for _, _, data, offsets, _ in gram_slices(table["text"], SLICE):
+        g = np.union1d(g, Grams(data, offsets, ORDER, inverse=False).distinct)
     shard = _shards(g, shards)
     order = np.argsort(shard, kind="stable")
     return g[order], np.searchsorted(shard[order], np.arange(shards + 1))
@@ -202,8 +199,7 @@ def log_probabilities(docs: DataFrame, model: DataFrame, common: Common, shards:
     def ask(batches):
         for batch in batches:
             for chunk, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                slices = [(0, Grams(d, o, ORDER, inverse=False)) for _, _, d, o, _ in gram_slices(unpack(payload)["text"], GRAM_LIMIT - 1) if len(d)]
-                g, cut = _requests(slices, shards)
+                g, cut = _requests(unpack(payload), shards)
                 full = np.flatnonzero(np.diff(cut))
                 yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(np.full(len(full), chunk, np.int64)), pa.array([to_bytes(g[cut[s] : cut[s + 1]].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]) for s in full], pa.binary())], ["shard", "chunk", "asked"])
 
@@ -229,13 +225,15 @@ def log_probabilities(docs: DataFrame, model: DataFrame, common: Common, shards:
         by = dict(zip(got["shard"].to_pylist(), got["log2_p"].to_pylist(), strict=True))
         for payload in docs_["payload"].to_pylist():
             table = unpack(payload)
-            slices = list(_slices(table))
-            g, cut = _requests(slices, shards)
+            g, cut = _requests(table, shards)
             values = np.concatenate([np.zeros(0, np.float32), *(np.frombuffer(by[int(s)], np.float32) for s in np.flatnonzero(np.diff(cut)))])
             order = np.argsort(g)
             g, values = g[order], values[order]
             n_bytes, total = np.zeros(table.num_rows, np.int64), np.zeros(table.num_rows)
-            for first, grams, offsets, context in slices:
+            for first, _, data, offsets, context in gram_slices(table["text"], SLICE):
+                if not len(data):
+                    continue
+                grams = Grams(data, offsets, ORDER)
                 each = values[np.searchsorted(g, grams.distinct)].astype(np.float64)[grams.which]
                 each[:context] = 0
                 full = np.flatnonzero(np.diff(offsets))

@@ -33,6 +33,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession, size: str = "32m") -> None:
+    """Bound the bytes of an Arrow batch where rows are large and the cluster has set no bound."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext.getConf().get(key) is None:
+        spark.conf.set(key, size)
+
+
 def n_buckets(spark: SparkSession) -> int:
     """Hash buckets for blob exchanges: follows the session's shuffle partitions, which is where a
     cluster says how finely its data must be cut to fit executor memory."""

@@ -2,13 +2,14 @@
 
 Documents with the same set of shingles are one row of the incidence matrix (a class), so copies cost
 nothing.  Columns of the matrix are cut into blocks: for sets of a size level, the universe of
-shingles is divided into K blocks by hash, where K exceeds the largest symmetric difference that two
-linked sets of that level can have.  By the pigeonhole principle linked sets agree on a whole block,
-so classes are multiplied only where a block's content is equal; all other pairs are below the
-size-derived bound and never looked at.  A block holds some nine shingles, hence a frequent phrase
-alone brings no pair together.
-
-Classes that meet in a block form candidate clusters.  A cluster's rows are multiplied in blocks of at
+shingles is divided into K blocks by hash, with K above the largest symmetric difference D that two
+linked sets of that level can have.  By the pigeonhole principle linked sets disagree on D blocks at
+most, so they agree on all the others.  A class with fewer shared non-empty blocks than that bound is
+linked with nothing and goes; classes are multiplied only where a block's content is equal, and all
+other pairs are below the size-derived bound and never looked at.  A set with too many empty blocks is
+divided anew by further seeds, so that empty blocks need not count.
+
+Classes that still meet in a block form candidate clusters.  A cluster's rows are multiplied in blocks of at
 most ``block_rows`` rows: overlap counts are accumulated over column blocks, and a link needs
 ``100 * overlap >= percent * union``.  Large clusters are multiplied in two rounds: every row against
 its own block and the cluster's first block, then only rows outside the largest component found
@@ -25,8 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from figmine.llm.common import blobs, n_buckets, stored, to_bytes
+from figmine.llm.common import blobs, bound_batches, n_buckets, stored, to_bytes
 from figmine.llm.components import components, forest
 from figmine.llm.kernels import BLANK, Words, mix64, text_slices, window_hashes
 
@@ -78,33 +80,61 @@ def size_levels(largest: int, percent: int) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def block_signatures(h: np.ndarray, limits: np.ndarray, keys: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (signature, set key) pairs: the content of every column block of every set."""
-    size = np.diff(limits)
-    full = np.flatnonzero(size)
-    if not len(full):
-        return np.zeros(0, _U), np.zeros(0, np.int64)
-    _, one = np.unique(keys[full], return_index=True)  # a class once
-    full = full[np.sort(one)]
-    levels = size_levels(int(size.max()), percent)
-    own = np.searchsorted(levels, size[full], "right") - 1
-    sigs, owners = [], []
-    member = np.repeat(np.arange(len(full)), size[full])
-    at = np.arange(len(member)) + np.repeat(limits[full] - (np.cumsum(size[full]) - size[full]), size[full])
-    value = h[at]
-    content = mix64(value + _U(77))
-    for step in (0, 1):
-        level = own + step
-        # |x ^ y| <= (|x| + |y|) (100 - p) / (100 + p), both sizes at most the level's last
-        blocks = 2 * (levels[level + 1] - 1) * (100 - percent) // (100 + percent) + 1
+#: independent divisions of the universe tried for a set whose non-empty blocks are too few
+SEEDS = 5
+
+
+class Sheets:
+    """Block contents of sets: a sheet is one set divided at one level by one seed.  ``key``, ``tag``
+    (level and seed) and ``need`` by sheet; ``signature`` and ``sheet`` by non-empty block."""
+
+    def __init__(self, h: np.ndarray, limits: np.ndarray, keys: np.ndarray, percent: int):
+        size = np.diff(limits)
+        full = np.flatnonzero(size)
+        _, one = np.unique(keys[full], return_index=True)  # a class once
+        full = full[np.sort(one)]
+        levels = size_levels(int(size.max(initial=1)), percent)
+        self.parts: list[tuple] = []
+        own = np.searchsorted(levels, size[full], "right") - 1
+        for step in (0, 1):
+            level = own + step
+            # |x ^ y| <= (|x| + |y|) (100 - p) / (100 + p), both sizes at most the level's last
+            most = 2 * (levels[level + 1] - 1) * (100 - percent) // (100 + percent)
+            todo = np.flatnonzero(most > 0)  # with no difference allowed only copies are linked
+            for seed in range(SEEDS):
+                if len(todo):
+                    todo = todo[self._divide(h, limits, keys, full[todo], level[todo], most[todo], seed)]
+        join = lambda i, kind: np.concatenate([np.zeros(0, kind), *(p[i] for p in self.parts)])
+        self.key, self.tag, self.need, self.signature = join(0, np.int64), join(1, np.int32), join(2, np.int32), join(3, _U)
+        at = np.cumsum([0, *(len(p[0]) for p in self.parts)])
+        self.sheet = np.concatenate([np.zeros(0, np.int64), *(p[4] + a for p, a in zip(self.parts, at, strict=False))])
+        del self.parts
+
+    def _divide(self, h, limits, keys, rows, level, most, seed) -> np.ndarray:
+        """One sheet for each of the rows; mask of those that need the next seed too."""
+        blocks = most + 1 + np.maximum(1, (most + 1) // 4)
+        size = limits[rows + 1] - limits[rows]
+        member = np.repeat(np.arange(len(rows)), size)
+        value = h[np.arange(len(member)) + np.repeat(limits[rows] - (np.cumsum(size) - size), size)]
+        salt = mix64((level * SEEDS + seed).astype(_U))
+        part = ((mix64(value ^ salt[member]) >> _U(32)) * blocks.astype(_U)[member]) >> _U(32)
         first = np.cumsum(blocks) - blocks
-        part = ((mix64(value ^ level.astype(_U)[member]) >> _U(32)) * blocks.astype(_U)[member]) >> _U(32)
+        place = first[member] + part.astype(np.int64)
         total = np.zeros(int(blocks.sum()), _U)
-        np.add.at(total, first[member] + part.astype(np.int64), content)
-        number = np.arange(len(total)) - np.repeat(first, blocks)
-        sigs.append(mix64(mix64(total + np.repeat(level, blocks).astype(_U) * _U(0x9E3779B97F4A7C15)) + number.astype(_U)))
-        owners.append(np.repeat(keys[full], blocks))
-    return np.concatenate(sigs), np.concatenate(owners)
+        np.add.at(total, place, mix64(value + _U(77)))
+        filled = np.zeros(len(total), bool)
+        filled[place] = True
+        sheet = np.repeat(np.arange(len(rows)), blocks)
+        n_filled = np.bincount(sheet, filled, len(rows)).astype(np.int64)
+        # linked sets differ in at most ``most`` blocks, so they agree on this many non-empty ones
+        need = n_filled - most
+        poor = need <= 0
+        if seed == SEEDS - 1:
+            filled |= poor[sheet]  # the last resort: empty blocks count as well
+        number = np.arange(len(total)) - first[sheet]
+        signature = mix64(mix64(total + salt[sheet]) + number.astype(_U))
+        self.parts.append((keys[rows], (level * SEEDS + seed).astype(np.int32), np.maximum(need, 1).astype(np.int32), signature[filled], sheet[filled]))
+        return poor
 
 
 def _set_rows(docs: DataFrame, n: int) -> DataFrame:
@@ -123,49 +153,78 @@ def _set_rows(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, key long")
 
 
-def _candidate_edges(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
-    """Pairs of classes that agree on a block, as stars: ``a, b``."""
+_BLOB = "bucket int, keys binary, tags binary, needs binary, counts binary, signatures binary"
+
+
+def _shared_blocks(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
+    """``block, key, tag, need``: the blocks whose content at least two classes have."""
 
     def emit(batches):
-        held_s, held_k, size = [], [], 0
+        held, size = [], 0
 
         def out():
-            s, k = np.concatenate(held_s), np.concatenate(held_k)
-            order = np.lexsort((k, s))
-            s, k = s[order], k[order]
-            new = np.ones(len(s), bool)
-            new[1:] = (s[1:] != s[:-1]) | (k[1:] != k[:-1])
-            s, k = s[new], k[new]
-            cut = np.searchsorted(((s >> _U(32)) * _U(buckets)) >> _U(32), np.arange(buckets + 1, dtype=_U))
-            full = np.flatnonzero(np.diff(cut))
-            return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array([to_bytes(s[cut[b] : cut[b + 1]]) for b in full], pa.binary()), pa.array([to_bytes(k[cut[b] : cut[b + 1]]) for b in full], pa.binary())], ["bucket", "sigs", "keys"])
+            base = np.cumsum([0, *(len(x.key) for x in held)])
+            key, tag, need, sig = (np.concatenate([getattr(x, f) for x in held]) for f in ("key", "tag", "need", "signature"))
+            sheet = np.concatenate([x.sheet + a for x, a in zip(held, base, strict=False)])
+            bucket = (((sig >> _U(32)) * _U(buckets)) >> _U(32)).astype(np.int64)
+            where = bucket * len(key) + sheet
+            order = np.argsort(where, kind="stable")
+            where, sig = where[order], sig[order].astype(np.uint32)
+            cut = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
+            count = np.diff(np.append(cut, len(where))).astype(np.uint16)
+            group, of = where[cut] // len(key), where[cut] % len(key)
+            edge, span = np.searchsorted(group, np.arange(buckets + 1)), np.append(cut, len(where))
+            rows = [(b, edge[b], edge[b + 1]) for b in np.flatnonzero(np.diff(edge)).tolist()]
+            columns = [[to_bytes(x[of[a:z]]) for _, a, z in rows] for x in (key, tag, need)]
+            columns += [[to_bytes(count[a:z]) for _, a, z in rows], [to_bytes(sig[span[a] : span[z]]) for _, a, z in rows]]
+            return pa.RecordBatch.from_arrays([pa.array([b for b, _, _ in rows], pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], ["bucket", "keys", "tags", "needs", "counts", "signatures"])
 
         for batch in batches:
             for _, _, data, offsets in text_slices(batch.column(1)):
                 h, limits = shingle_sets(data, offsets, n)
-                s, k = block_signatures(h, limits, set_keys(h, limits), percent)
-                held_s.append(s)
-                held_k.append(k)
-                size += len(s)
-                if size > 1_000_000:
+                sheets = Sheets(h, limits, set_keys(h, limits), percent)
+                if len(sheets.signature):
+                    held.append(sheets)
+                    size += len(sheets.signature)
+                if size > 1_500_000:
                     yield out()
-                    held_s, held_k, size = [], [], 0
+                    held, size = [], 0
         if size:
             yield out()
 
     def meet(key, table):
-        s, k = blobs(table["sigs"], _U), blobs(table["keys"], np.int64)
-        order = np.argsort(s, kind="stable")
-        s, k = s[order], k[order]
-        new = np.ones(len(s), bool)
-        new[1:] = s[1:] != s[:-1]
-        cut = np.flatnonzero(new)
-        lead = np.repeat(np.minimum.reduceat(k, cut), np.diff(np.append(cut, len(s)))) if len(cut) else k
-        other = lead != k
-        node, root = forest(k[other], lead[other])
-        return pa.table([pa.array(node, pa.int64()), pa.array(root, pa.int64())], names=["a", "b"])
+        count = blobs(table["counts"], np.uint16).astype(np.int64)
+        sig = blobs(table["signatures"], np.uint32)
+        keys, tags, needs = (np.repeat(blobs(table[c], t), count) for c, t in (("keys", np.int64), ("tags", np.int32), ("needs", np.int32)))
+        order = np.lexsort((keys, sig))
+        sig, keys, tags, needs = sig[order], keys[order], tags[order], needs[order]
+        new = np.ones(len(sig), bool)
+        new[1:] = (sig[1:] != sig[:-1]) | (keys[1:] != keys[:-1])
+        sig, keys, tags, needs = sig[new], keys[new], tags[new], needs[new]
+        same = sig[1:] == sig[:-1]
+        shared = np.append(same, False) | np.append(False, same) if len(sig) else np.zeros(0, bool)
+        block = (np.int64(key[0].as_py()) << 32) | sig[shared].astype(np.int64)
+        return pa.table([pa.array(block, pa.int64()), pa.array(keys[shared], pa.int64()), pa.array(tags[shared], pa.int32()), pa.array(needs[shared], pa.int32())], names=["block", "key", "tag", "need"])
+
+    return docs.mapInArrow(emit, _BLOB).groupBy("bucket").applyInArrow(meet, "block long, key long, tag int, need int")
 
-    return docs.mapInArrow(emit, "bucket int, sigs binary, keys binary").groupBy("bucket").applyInArrow(meet, "a long, b long")
+
+def _candidate_edges(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
+    """Classes that may be linked, as stars ``a, b`` around the smallest class of a block.
+
+    A class stays only if, in one of its sheets, as many of its blocks are shared as any link needs.
+    Of its c shared blocks only the c - need + 1 that fewest classes hold are used (a prefix filter:
+    two classes that share ``need`` blocks share one of those), so the blocks of a passage that many
+    documents hold do not chain groups of copies together."""
+    shared = stored(_shared_blocks(docs, n, percent, buckets), "blocks")
+    able = shared.groupBy("key", "tag").agg(F.count("*").alias("c"), F.max("need").alias("least")).where("c >= least").select(F.col("key").alias("k"), F.col("tag").alias("t"))
+    kept = stored(shared.join(able, (F.col("key") == F.col("k")) & (F.col("tag") == F.col("t"))).select("block", "key", "tag", "need"), "kept")
+    holders = kept.groupBy("block").agg(F.count("*").alias("held")).where("held > 1").withColumnRenamed("block", "of")
+    sheet = W.partitionBy("key", "tag")
+    ranked = kept.join(holders, F.col("block") == F.col("of")).select("block", "key", "need", F.row_number().over(sheet.orderBy("held", "block")).alias("place"), F.count("*").over(sheet).alias("c"))
+    used = stored(ranked.where("place <= c - need + 1").select("block", "key"), "used")
+    lead = used.groupBy("block").agg(F.min("key").alias("b"), F.max("key").alias("most")).where("b < most").select(F.col("block").alias("of"), "b")
+    return used.join(lead, F.col("block") == F.col("of")).where("key <> b").select(F.col("key").alias("a"), "b").distinct()
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -233,7 +292,7 @@ def _multiply(tasks: DataFrame, percent: int) -> DataFrame:
             made = [one(table.slice(a, b - a)) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
             if made:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*made, strict=True)], ["a", "b"])
-            rest = table.slice(int(cut[-1])) if len(cut) else None
+            rest = table.take(np.arange(cut[-1], table.num_rows)) if len(cut) else None  # a copy: frees the batch
         if rest is not None and rest.num_rows:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in one(rest)], ["a", "b"])
 
@@ -291,6 +350,7 @@ def class_components(docs: DataFrame, sets: DataFrame, n: int = SHINGLE, percent
 
 def jaccard_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Per document: n_shingles and component_id, the smallest doc_id reachable by links."""
+    bound_batches(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = stored(_set_rows(base, n), "sets")
     linked = class_components(base.where("doc_id is not null"), sets.where("doc_id is not null"), n, percent, block_rows)

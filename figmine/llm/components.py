@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from figmine.llm.common import stored
 
 
+#: edges that one task joins: 16 bytes each
+ONE_TASK = 1_000_000
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Stars (node, smallest node of its component) of a local edge list, without self loops."""
     nodes, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -44,13 +48,20 @@ def _contract(edges: DataFrame) -> DataFrame:
     return edges.mapInArrow(run, "a long, b long")
 
 
-def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
+def _labelled(stars: DataFrame) -> DataFrame:
+    return stars.toDF("node", "root").unionByName(stars.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def components(edges: DataFrame, max_rounds: int = 40, one_task: int = ONE_TASK) -> DataFrame:
     """``node, root`` for every node with an edge; ``root`` is the smallest node it can reach.
 
-    Alternating large-star and small-star steps; every step is a grouped minimum (combined before
+    At most ``one_task`` edges (a proven bound: they are counted) are joined by union-find in one task.
+    More take alternating large-star and small-star steps; every step is a grouped minimum (combined before
     the shuffle) joined back, so a node with very many neighbours does not gather in one task.
     A step's result is written to the shared folder, which cuts the lineage."""
     current = stored(_contract(edges.toDF("a", "b").where("a <> b")), "edges")
+    if current.count() <= one_task:
+        return _labelled(stored(_contract(current.coalesce(1)), "edges"))
     for _ in range(max_rounds):
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
@@ -68,5 +79,5 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         many = following.groupBy("a").count().where("count > 1").limit(1).count()
         current = following
         if not left and not many:
-            return current.toDF("node", "root").unionByName(current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+            return _labelled(current)
     raise RuntimeError("components did not settle")

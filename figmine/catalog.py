@@ -1,4 +1,4 @@
 """All registered queries of the engine and their SQL twins."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from figmine.plans import layout_queries, other_queries, text_queries  # noqa: F401
+from figmine.plans.registry import ORACLE_SQL, QUERIES  # noqa: F401

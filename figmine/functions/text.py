@@ -16,6 +16,11 @@ def strip(x: Column) -> Column:
     return F.regexp_replace(x, r"^\s+|\s+$", "")
 
 
+def let(x: Column, then) -> Column:
+    """``then`` of a value that is computed once, however often the expression names it."""
+    return F.element_at(F.transform(F.array(x), then), 1)
+
+
 def clean_id(x: Column) -> Column:
     for prefix in ("arXiv:", "arxiv:", "ARXIV:"):
         x = F.regexp_replace(strip(x) if prefix == "arXiv:" else x, f"^{prefix}", "")
@@ -36,12 +41,16 @@ def last_dot(x: Column) -> Column:
 
 
 def clean_caption(raw: Column) -> Column:
-    t = F.regexp_extract(raw, r"(?is)(\bFig(?:ure|\.)?\s+.*)$", 1)
-    t = F.substring_index(t, "\n\n", 1)
-    sentence = F.regexp_extract(F.substring(t, 51, 1 << 30), r"(?s)^(.*?\.)\s+[A-Z]", 1)
-    t = F.when((F.length(t) > 50) & (sentence != ""), F.concat(F.left(t, F.lit(50)), sentence)).otherwise(t)
-    head = F.left(t, F.lit(500))
-    t = F.when(F.length(t) <= 500, t).when(last_dot(head) > 100, F.left(head, last_dot(head) + 1)).otherwise(F.concat(head, F.lit("...")))
+    def first_sentence(t):
+        sentence = F.regexp_extract(F.substring(t, 51, 1 << 30), r"(?s)^(.*?\.)\s+[A-Z]", 1)
+        return let(sentence, lambda s: F.when((F.length(t) > 50) & (s != ""), F.concat(F.left(t, F.lit(50)), s)).otherwise(t))
+
+    def bounded(t):
+        head = F.left(t, F.lit(500))
+        return F.when(F.length(t) <= 500, t).when(last_dot(head) > 100, F.left(head, last_dot(head) + 1)).otherwise(F.concat(head, F.lit("...")))
+
+    t = F.substring_index(F.regexp_extract(raw, r"(?is)(\bFig(?:ure|\.)?\s+.*)$", 1), "\n\n", 1)
+    t = let(let(t, first_sentence), bounded)
     for noise in (r"\s+\([a-z]\)\s*$", r"\s+\(a\)\s*\(b\)\s*\(c\)\s*$", r"\s*=\s*=\s*$", r"\s*=\s*\([a-z]\)\s*\([a-z]\)\s*=\s*$"):
         t = F.regexp_replace(t, noise, "")
     t = strip(F.regexp_replace(t, r"\s+", " "))
@@ -117,15 +126,18 @@ def is_matrix_text(x: Column) -> Column:
 
 def pattern_hits(x: Column, patterns) -> Column:
     """First match text of each pattern that matches, in list order."""
-    low = F.lower(x)
-    return F.filter(F.array(*(F.regexp_extract(low, p if "(" in p else f"({p})", 1) for p in patterns)), lambda m: m != "")
+    each = lambda low: F.array(*(F.regexp_extract(low, p if "(" in p else f"({p})", 1) for p in patterns))
+    return F.filter(let(F.lower(x), each), lambda m: m != "")
 
 
 def caption_filter(caption: Column, accept=vocab.ACCEPT_PATTERNS, reject=vocab.REJECT_PATTERNS) -> Column:
-    bad, good = pattern_hits(caption, reject), pattern_hits(caption, accept)
-    decision = F.when(F.size(bad) > 0, "REJECT").when(F.size(good) > 0, "ACCEPT").otherwise("PASS")
-    words = F.when(F.size(bad) > 0, bad).otherwise(good)
-    return F.struct(decision.alias("decision"), F.when(F.size(words) > 0, "HIGH").otherwise("LOW").alias("confidence"), words.alias("matched"))
+    def verdict(hits):
+        bad, good = hits["bad"], hits["good"]
+        decision = F.when(F.size(bad) > 0, "REJECT").when(F.size(good) > 0, "ACCEPT").otherwise("PASS")
+        words = F.when(F.size(bad) > 0, bad).otherwise(good)
+        return F.struct(decision.alias("decision"), F.when(decision == "PASS", "LOW").otherwise("HIGH").alias("confidence"), words.alias("matched"))
+
+    return let(F.struct(pattern_hits(caption, reject).alias("bad"), pattern_hits(caption, accept).alias("good")), verdict)
 
 
 def first_label(text: Column, pairs) -> Column:
@@ -134,16 +146,16 @@ def first_label(text: Column, pairs) -> Column:
 
 
 def phrase_topic(text: Column, topics=vocab.TOPIC_PHRASES) -> Column:
-    low = normalize_text(text)
-    return F.coalesce(*(F.when(F.contains(low, F.lit(p)), F.struct(F.lit(c).alias("category"), F.lit(p).alias("phrase"))) for c, ps in topics for p in ps),
-                      F.struct(F.lit("Unknown").alias("category"), F.lit(None).cast("string").alias("phrase")))
+    none = F.struct(F.lit("Unknown").alias("category"), F.lit(None).cast("string").alias("phrase"))
+    pick = lambda low: F.coalesce(*(F.when(F.contains(low, F.lit(p)), F.struct(F.lit(c).alias("category"), F.lit(p).alias("phrase"))) for c, ps in topics for p in ps), none)
+    return let(normalize_text(text), pick)
 
 
 def algorithm_label(caption: Column, surrounding: Column, keywords: Column) -> Column:
     low = F.lower(F.concat_ws(" ", F.coalesce(caption, F.lit("")), F.coalesce(surrounding, F.lit(""))))
     table = F.create_map(*(F.lit(v) for pair in vocab.ALGORITHMS for v in pair))
     exact = F.try_element_at(F.filter(F.transform(keywords, lambda k: F.try_element_at(table, F.lower(k))), lambda v: v.isNotNull()), F.lit(1))
-    return F.coalesce(first_label(low, vocab.ALGORITHMS), exact, first_label(low, vocab.FALLBACK_PROBLEMS), F.lit("Unknown"))
+    return let(low, lambda t: F.coalesce(first_label(t, vocab.ALGORITHMS), exact, first_label(t, vocab.FALLBACK_PROBLEMS), F.lit("Unknown")))
 
 
 def text_gates(page_text: Column) -> Column:

@@ -56,6 +56,8 @@ class ContextTrees:
                 counts.append(g.counts)
             found.append((np.concatenate(grams), np.concatenate(counts)))
         self.keys, self.cost, self.contexts, self.escape = [], [], [], []
+        if not languages:
+            return
         for k in range(order + 1):
             keys = np.unique(np.concatenate([g & _MASK[k + 1] for g, _ in found]))
             ctx = np.unique(keys >> _U(8))

@@ -163,7 +163,7 @@ def media_columns(df: DataFrame, content: str = "content", tile: int = TILE) ->
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], [*batch.schema.names, *names])
 
     schema = T.StructType(list(kept.schema.fields))
-    for name, kind in zip(names, ("int", "int", "int", "binary", "string"), strict=True):
+    for name, kind in zip(names, ("integer", "integer", "integer", "binary", "string"), strict=True):
         schema.add(name, kind)
     return kept.mapInArrow(run, schema)
 

@@ -33,8 +33,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bound_batches(spark: SparkSession, size: str = "32m") -> None:
-    """Bound the bytes of an Arrow batch where rows are large and the cluster has set no bound."""
+def bound_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Bound the bytes of an Arrow batch, whose default counts rows only, where the cluster has set no
+    bound: texts and hash sets of any length then cost a task the same memory."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.sparkContext.getConf().get(key) is None:
         spark.conf.set(key, size)

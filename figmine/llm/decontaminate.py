@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from figmine.llm.common import to_bytes
+from figmine.llm.common import bound_batches, to_bytes
 from figmine.llm.kernels import NON_WORD, Words, text_slices, window_hashes, window_rows
 
 WINDOW = 10
@@ -141,6 +141,7 @@ def _report(docs: DataFrame, index, positions: bool = False) -> DataFrame:
                 out += [pa.array(cols[4], pa.binary()), pa.array(cols[5], pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", *(["positions", "items"] if positions else [])])
 
+    bound_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string" + (", positions binary, items array<string>" if positions else ""))
 
@@ -176,6 +177,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
 
 def without_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """The documents with every hit span removed from ``text``; other rows and columns stay as they are."""
+    bound_batches(docs.sparkSession)
     indexes = list(_indexes(benchmark, window, max_windows))
     position = docs.columns.index("text")
     joined, names = docs, docs.columns

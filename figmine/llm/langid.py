@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from figmine.llm.common import fold_column
+from figmine.llm.common import bound_batches, fold_column
 from figmine.llm.kernels import Grams, gram_slices, text_slices
 
 ORDER = 4
@@ -135,6 +135,7 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, order: int = ORDER) ->
 def identify(docs: DataFrame, model: ContextTrees) -> DataFrame:
     """Per document: lang_pred and score, the posterior of that language under equal priors."""
     spark = docs.sparkSession
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from figmine.llm.common import n_buckets, read_small_ints, small_ints, stored
+from figmine.llm.common import bound_batches, n_buckets, read_small_ints, small_ints, stored
 from figmine.llm.kernels import _LOWER, BLANK, segment_hashes, text_slices
 
 MIN_CHARS = 20
@@ -77,6 +77,7 @@ def line_table(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                     [pa.array(h1[cut]), pa.array(h2[cut]), pa.array(ids[first + row[cut]].astype(np.int64)), pa.array([small_ints(place[i:j]) for i, j in zip(cut, ends_, strict=True)], pa.binary())],
                     ["h1", "h2", "doc_id", "at"])
 
+    bound_batches(docs.sparkSession)
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     return known.mapInArrow(run, "h1 long, h2 long, doc_id long, at binary")
 

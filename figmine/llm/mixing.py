@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from figmine.llm.common import stored
+from figmine.llm.common import bound_batches, stored
 from figmine.llm.kernels import BLANK, Words, text_slices
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -44,6 +44,7 @@ def document_sizes(docs: DataFrame) -> DataFrame:
             size = np.concatenate(counts) if counts else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size, pa.int64())], ["doc_id", "source", "size"])
 
+    bound_batches(docs.sparkSession)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     return docs.select("doc_id", "source", "text").mapInArrow(run, f"doc_id {kinds['doc_id']}, source {kinds['source']}, size long")
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from figmine.llm.common import fold_column, n_buckets, pack, stored, to_bytes, unpack
+from figmine.llm.common import bound_batches, fold_column, n_buckets, pack, stored, to_bytes, unpack
 from figmine.llm.kernels import Grams, gram_slices, mix64
 
 ORDER = 5
@@ -257,6 +257,7 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, least: int = LEAST) -> DataFrame:
     """Per document: lang, perplexity (per byte), threshold (its language's) and keep."""
     spark = docs.sparkSession
+    bound_batches(spark)
     shards = n_buckets(spark)
     base = docs.select("doc_id", "lang", "text")
     trusted = trusted_ids(labels)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from figmine.llm.common import blobs, n_buckets, pack, read_small_ints, small_ints, to_bytes, unpack
+from figmine.llm.common import blobs, bound_batches, n_buckets, pack, read_small_ints, small_ints, to_bytes, unpack
 from figmine.llm.kernels import BLANK, Words, covered, text_slices, window_hashes, window_rows
 
 WINDOW = 13
@@ -194,6 +194,7 @@ def _removed(c: _Chunk, answers: pa.Table):
 
 def _answered(docs: DataFrame, chunk_bytes: int):
     spark = docs.sparkSession
+    bound_batches(spark)
     n = n_buckets(spark)
     chunks = pack(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null"), ["doc_id", "text"], chunk_bytes)
     shared = chunks.mapInArrow(_ask_anchors(n), _ASK).groupBy("bucket").applyInArrow(_answer_anchors, "chunk long, shared binary")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from figmine.llm.common import fold_column
+from figmine.llm.common import bound_batches, fold_column
 from figmine.llm.kernels import NON_WORD, Words, text_slices
 
 TRAIN_DOCS = 8000
@@ -261,6 +261,7 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> T
 
 def score(docs: DataFrame, model: ToxicityModel, name: str = "toxicity") -> DataFrame:
     """``docs`` (any columns, with ``text``) with their score as ``name``; existing columns stay."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.drop(name)
     at = kept.columns.index("text")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-CAPTIONS = """SELECT doc_id, lang, concat('Figure ', CAST(doc_id % 9 + 1 AS STRING), ': ',
+CAPTIONS = """SELECT doc_id, lang, lead, concat(lead, replace(text, chr(10), ' ')) AS caption, text AS body FROM (SELECT doc_id, lang, text,
+  concat('Figure ', CAST(doc_id % 9 + 1 AS STRING), ': ',
   CASE doc_id % 7 WHEN 0 THEN 'Quantum circuit for ' WHEN 1 THEN 'Histogram of ' WHEN 2 THEN 'QAOA circuit and '
-    WHEN 3 THEN 'Plot of quantum circuit ' WHEN 4 THEN 'Surface code decoder ' WHEN 5 THEN 'Grover search ' ELSE '' END,
-  substr(replace(text, chr(10), ' '), 1, 200)) AS caption, substr(text, 1, 900) AS body FROM {documents}"""
+    WHEN 3 THEN 'Plot of quantum circuit ' WHEN 4 THEN 'Surface code decoder ' WHEN 5 THEN 'Grover search ' ELSE '' END) AS lead FROM {documents})"""
 IDS = """SELECT doc_id AS line_no, CASE doc_id % 8 WHEN 0 THEN '' WHEN 1 THEN '# comment'
   WHEN 2 THEN concat('arXiv:', CAST(2401 + doc_id % 12 AS STRING), '.', lpad(CAST(doc_id % 500 AS STRING), 5, '0'))
   WHEN 3 THEN concat('  arxiv:quant-ph/', lpad(CAST(doc_id % 300 AS STRING), 7, '0'), ' ')
@@ -18,7 +18,7 @@ GATES = """SELECT event_id, CAST(floor(event_id / 5) AS BIGINT) AS image_id, CAS
   WHEN 8 THEN 'measure' WHEN 9 THEN 'CZ' ELSE 'noise text' END AS raw_text, CAST(event_id % 97 AS DOUBLE) / 97 AS conf FROM {events}"""
 BOXES = """SELECT DISTINCT l_orderkey AS page_key, CAST(l_partkey % 400 AS DOUBLE) AS x0, CAST(l_suppkey % 97 AS DOUBLE) AS y0,
   CAST(l_partkey % 400 + l_quantity * 4 AS DOUBLE) AS x1, CAST(l_suppkey % 97 + 10 * l_linenumber AS DOUBLE) AS y1 FROM {lineitem}"""
-VECTORS = "SELECT vec_id, embedding, CASE WHEN label < 5 THEN 1 ELSE 0 END AS is_target, label, vec_id % 5 = 0 AS is_query FROM {embeddings}"
+VECTORS = "SELECT vec_id, embedding, CASE WHEN label < 5 THEN 1 ELSE 0 END AS is_target, label, vec_id % 50 = 0 AS is_query FROM {embeddings}"
 FIGURES = """SELECT doc_id, CAST(doc_id % 400 + 20 AS INT) AS w, CAST(doc_id % 170 + 40 AS INT) AS h, doc_id % 53 <> 0 AS readable,
   doc_id % 3 <> 0 AS has_gates, CAST(doc_id % 101 AS DOUBLE) / 100 AS score, CAST(doc_id % 40 AS INT) AS paper FROM {documents}"""
 TABLES = ("documents", "events", "lineitem", "embeddings", "labels", "conversations", "pages", "benchmark")

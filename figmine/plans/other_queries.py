@@ -23,17 +23,18 @@ _list = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
 # vectors -----------------------------------------------------------------------------------------
 
 DOT = "list_dot_product({0}::DOUBLE[], {1}::DOUBLE[])"
-CENT = f"""v AS ({VEC}), pos AS (SELECT is_target, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM v WHERE NOT is_query),
+CENT = f"""v AS ({VEC}), pos AS (SELECT is_target, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM v),
 c AS (SELECT is_target, list(m ORDER BY i) AS centroid FROM (SELECT is_target, i, avg(x::DOUBLE) AS m FROM pos GROUP BY 1, 2) GROUP BY 1)"""
 CSCORE = "cs AS (SELECT vec_id, list_distance(embedding::DOUBLE[], (SELECT centroid FROM c WHERE is_target = 1)) AS d1, list_distance(embedding::DOUBLE[], (SELECT centroid FROM c WHERE is_target = 0)) AS d0 FROM v WHERE is_query)"
 KNN = """kn AS (SELECT * FROM (SELECT q.vec_id, r.vec_id AS ref_id, r.is_target AS label, list_distance(q.embedding::DOUBLE[], r.embedding::DOUBLE[]) AS distance,
-  row_number() OVER (PARTITION BY q.vec_id ORDER BY round(pow(list_distance(q.embedding::DOUBLE[], r.embedding::DOUBLE[]), 2), 9), r.vec_id) AS rank FROM v q, v r WHERE q.is_query AND NOT r.is_query) WHERE rank <= 10),
+  row_number() OVER (PARTITION BY q.vec_id ORDER BY round(pow(list_distance(q.embedding::DOUBLE[], r.embedding::DOUBLE[]), 2), 9), r.vec_id) AS rank FROM v q, v r WHERE q.is_query) WHERE rank <= 10),
 ks AS (SELECT vec_id, count(*) FILTER (WHERE label = 1) AS n_target, count(*) AS n FROM kn GROUP BY 1)"""
 
 
 def _split(spark, sf):
+    """Every row whose id is divisible by 50 asks; all rows answer."""
     v = made(spark, sf, VECTORS)
-    return v.where("is_query"), v.where("not is_query")
+    return v.where("is_query"), v
 
 
 def _neighbours(spark, sf):
@@ -303,7 +304,7 @@ def ocr_region(spark, sf):
 
 # decisions and outputs ---------------------------------------------------------------------------
 
-DECIDED = f"""{FILTERED}, fg AS ({FIG}), j AS (SELECT fg.*, decision, left(caption, 40) AS cap, {_topic_sql(NORM.format('caption'))} AS category FROM fg JOIN r USING (doc_id)),
+DECIDED = f"""{FILTERED}, fg AS ({FIG}), j AS (SELECT fg.*, decision, caption AS cap, {_topic_sql(NORM.format('caption'))} AS category FROM fg JOIN r USING (doc_id)),
 d AS (SELECT *, CASE WHEN NOT readable THEN 'error' WHEN w < 100 OR h < 100 THEN 'too_small' WHEN decision = 'ACCEPT' AND NOT has_gates THEN 'caption_whitelist_no_gates' WHEN decision = 'ACCEPT' THEN 'caption_whitelist'
   WHEN decision = 'REJECT' THEN 'caption_blacklist' WHEN score >= 0.70E0 AND NOT has_gates THEN 'dinov2_high_no_gates' WHEN score >= 0.70E0 THEN 'dinov2_high' WHEN score >= 0.50E0 THEN 'dinov2_medium_rejected' ELSE 'dinov2_low_rejected' END AS tier FROM j),
 dd AS (SELECT *, tier IN ('caption_whitelist', 'dinov2_high') AS is_target, round(CASE tier WHEN 'error' THEN 0.0E0 WHEN 'too_small' THEN 0.0E0 WHEN 'caption_whitelist_no_gates' THEN 0.8E0 WHEN 'caption_whitelist' THEN 0.95E0 WHEN 'caption_blacklist' THEN 0.95E0 WHEN 'dinov2_high' THEN score ELSE 1 - score END, 6) AS confidence FROM d)"""
@@ -367,7 +368,7 @@ def save_circuit(spark, sf):
 @query(f"WITH {DECIDED} SELECT 'p' || paper AS arxiv_number, w % 9 + 1 AS page_number, category AS quantum_problem, cap AS description FROM dd WHERE is_target")
 def compile_metadata(spark, sf):
     d = decided(spark, sf).where("is_target")
-    return d.select(F.concat(F.lit("p"), F.col("paper").cast("string")).alias("arxiv_number"), (F.col("w") % 9 + 1).alias("page_number"), F.col("category").alias("quantum_problem"), F.left("caption", F.lit(40)).alias("description"))
+    return d.select(F.concat(F.lit("p"), F.col("paper").cast("string")).alias("arxiv_number"), (F.col("w") % 9 + 1).alias("page_number"), F.col("category").alias("quantum_problem"), F.col("caption").alias("description"))
 
 
 @query(f"WITH {DECIDED} SELECT 'p' || paper AS arxiv_number, [[w, w + h]] AS text_positions FROM dd WHERE is_target")

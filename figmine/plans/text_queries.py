@@ -80,11 +80,17 @@ def catalog_lookup(spark, sf):
     return d.join(l, "doc_id", "left").select("doc_id", F.col("lang").alias("category"), "quality", F.col("toxic").isNotNull().alias("found"))
 
 
+def _dot(x):
+    return f"(CASE WHEN contains({x}, '.') THEN length({x}) - instr(reverse({x}), '.') ELSE -1 END)"
+
+
+#: captions of more than 500 characters end at the last full stop before, as in the operator
+BOUNDED = f"(CASE WHEN length(u) <= 500 THEN u WHEN {_dot('left(u, 500)')} > 100 THEN left(u, {_dot('left(u, 500)')} + 1) ELSE left(u, 500) || '...' END)"
 CAPTION_SQL = r"""
 s AS (SELECT doc_id, caption || chr(10) || chr(10) || 'x' AS raw FROM (%s)),
 a AS (SELECT *, split_part(regexp_extract(raw, '(?is)(\bFig(?:ure|\.)?\s+.*)$', 1), chr(10) || chr(10), 1) AS t FROM s),
 b AS (SELECT *, CASE WHEN length(t) > 50 AND regexp_extract(substr(t, 51), '(?s)^(.*?\.)\s+[A-Z]', 1) <> '' THEN left(t, 50) || regexp_extract(substr(t, 51), '(?s)^(.*?\.)\s+[A-Z]', 1) ELSE t END AS u FROM a),
-c AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(u, '\s+\([a-z]\)\s*$', ''), '\s+\(a\)\s*\(b\)\s*\(c\)\s*$', ''), '\s*=\s*=\s*$', ''), '\s*=\s*\([a-z]\)\s*\([a-z]\)\s*=\s*$', ''), '\s+', ' ', 'g')) AS clean FROM b)""" % C
+c AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(%s, '\s+\([a-z]\)\s*$', ''), '\s+\(a\)\s*\(b\)\s*\(c\)\s*$', ''), '\s*=\s*=\s*$', ''), '\s*=\s*\([a-z]\)\s*\([a-z]\)\s*=\s*$', ''), '\s+', ' ', 'g')) AS clean FROM b)""" % (C, BOUNDED)
 
 
 @query(f"WITH {CAPTION_SQL} SELECT doc_id, clean AS caption FROM c")
@@ -184,21 +190,17 @@ def combine_caption_surrounding(spark, sf):
     return made(spark, sf, CAPTIONS).select("doc_id", F.lower(F.concat_ws(" ", "caption", "body")).alias("text"))
 
 
-def _dot(x):
-    return f"(CASE WHEN contains({x}, '.') THEN length({x}) - instr(reverse({x}), '.') ELSE -1 END)"
-
-
 @query(f"SELECT doc_id, CASE WHEN length(body) <= 600 THEN body WHEN {_dot('left(body, 600)')} > 100 THEN left(body, {_dot('left(body, 600)')} + 1) ELSE left(body, 600) || '...' END AS text FROM ({C})")
 def truncate_at_sentence(spark, sf):
     return made(spark, sf, CAPTIONS).select("doc_id", T.truncate_sentence(F.col("body"), 600, 100).alias("text"))
 
 
-@query(rf"""WITH x AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN concat(CAST(doc_id AS STRING), ' 1 0 ', CAST(doc_id % 7 AS STRING), ' 11 ', left(caption, 12)) ELSE left(caption, 80) END AS t FROM ({C}))
+@query(rf"""WITH x AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN concat(CAST(doc_id AS STRING), ' 1 0 ', CAST(doc_id % 7 AS STRING), ' 11 ', lead) ELSE caption END AS t FROM ({C}))
 SELECT doc_id, coalesce(length(t) >= 10 AND length(replace(t, ' ', '')) > 0 AND (length(t) - length(regexp_replace(t, '[-−]?\d+', '', 'g')) > length(replace(t, ' ', '')) * 0.4E0
   OR (len(regexp_extract_all(t, '[-−]?\d+')) > 10 AND len(regexp_extract_all(t, '\b[a-zA-Z]{{3,}}\b')) < 5) OR (len(regexp_extract_all(t, '[=+\-−×÷√∑∏∫]')) > 5 AND len(regexp_extract_all(t, '\b[a-zA-Z]{{3,}}\b')) < 3)
   OR regexp_matches(t, '(\d+\s+){{4,}}')), false) AS is_matrix FROM x""")
 def is_matrix_text(spark, sf):
-    x = F.when(F.col("doc_id") % 3 == 0, F.concat(F.col("doc_id").cast("string"), F.lit(" 1 0 "), (F.col("doc_id") % 7).cast("string"), F.lit(" 11 "), F.left("caption", F.lit(12)))).otherwise(F.left("caption", F.lit(80)))
+    x = F.when(F.col("doc_id") % 3 == 0, F.concat(F.col("doc_id").cast("string"), F.lit(" 1 0 "), (F.col("doc_id") % 7).cast("string"), F.lit(" 11 "), "lead")).otherwise(F.col("caption"))
     return made(spark, sf, CAPTIONS).select("doc_id", T.is_matrix_text(x).alias("is_matrix"))
 
 
@@ -212,12 +214,12 @@ def min_length_filters(spark, sf):
     return made(spark, sf, CAPTIONS).select("doc_id", ((F.length("caption") >= 30) & (F.regexp_count(F.col("caption"), F.lit(T.WORD3)) >= 5)).alias("long_enough"))
 
 
-CASCADE = f"""c AS (SELECT doc_id, {_topic_sql(NORM.format('left(caption, 12)'))} AS c1, {_topic_sql(NORM.format('caption'))} AS c2, {_topic_sql(NORM.format("concat_ws(' ', caption, body)"))} AS c3 FROM ({C}))"""
+CASCADE = f"""c AS (SELECT doc_id, {_topic_sql(NORM.format('lead'))} AS c1, {_topic_sql(NORM.format('caption'))} AS c2, {_topic_sql(NORM.format("concat_ws(' ', caption, body)"))} AS c3 FROM ({C}))"""
 
 
 @query(f"WITH {CASCADE} SELECT doc_id, CASE WHEN c1 <> 'Unknown' THEN c1 WHEN c2 <> 'Unknown' THEN c2 ELSE c3 END AS category, CASE WHEN c1 <> 'Unknown' THEN 1 WHEN c2 <> 'Unknown' THEN 2 WHEN c3 <> 'Unknown' THEN 3 ELSE 0 END AS step FROM c")
 def classify_cascade(spark, sf):
-    x = made(spark, sf, CAPTIONS).select("doc_id", T.phrase_topic(F.left("caption", F.lit(12)))["category"].alias("c1"), T.phrase_topic(F.col("caption"))["category"].alias("c2"), T.phrase_topic(F.concat_ws(" ", "caption", "body"))["category"].alias("c3"))
+    x = made(spark, sf, CAPTIONS).select("doc_id", T.phrase_topic(F.col("lead"))["category"].alias("c1"), T.phrase_topic(F.col("caption"))["category"].alias("c2"), T.phrase_topic(F.concat_ws(" ", "caption", "body"))["category"].alias("c3"))
     known = lambda c: F.col(c) != "Unknown"
     return x.select("doc_id", F.when(known("c1"), F.col("c1")).when(known("c2"), F.col("c2")).otherwise(F.col("c3")).alias("category"), F.when(known("c1"), 1).when(known("c2"), 2).when(known("c3"), 3).otherwise(0).alias("step"))
 
@@ -234,7 +236,6 @@ def find_figure_references_text(spark, sf):
     return x.select("doc_id", T.figure_references(F.col("full"), F.lit(2)).alias("refs"))
 
 
-@query(f"""SELECT doc_id, CASE WHEN length(coalesce(body, '')) = 0 THEN NULL WHEN instr(body, p) > 0 THEN instr(body, p) - 1 END AS start FROM (SELECT doc_id, body, substr(body, 11, 40) AS p FROM ({C})) WHERE length(body) > 60""")
+@query(f"""SELECT doc_id, CASE WHEN p <> '' THEN instr(body, p) - 1 END AS start FROM (SELECT doc_id, body, substr(body, 11, 40) AS p FROM ({C}))""")
 def find_text_position(spark, sf):
-    x = made(spark, sf, CAPTIONS).where(F.length("body") > 60)
-    return x.select("doc_id", T.text_position(F.col("body"), F.substring("body", 11, 40))["start"].alias("start"))
+    return made(spark, sf, CAPTIONS).select("doc_id", T.text_position(F.col("body"), F.substring("body", 11, 40))["start"].alias("start"))

@@ -183,8 +183,30 @@ def figure_references(full_text: Column, n: Column) -> Column:
     n = n.cast("string")
     forms = (("[^.]*Figure\\s+", "\\b[^.]*\\."), ("[^.]*Fig\\.\\s*", "\\b[^.]*\\."), ("[^.]*shown in Fig\\.\\s*", "[^.]*\\."), ("[^.]*illustrated in Figure\\s+", "[^.]*\\."))
     found = F.concat(*(F.regexp_extract_all(full_text, F.concat(F.lit("(?i)" + a), n, F.lit(b)), F.lit(0)) for a, b in forms))
-    bare = F.concat(F.lit("(?i)^Figure\\s+"), n, F.lit("\\s*[:.]?\\s*$"))
-    return F.slice(F.filter(F.transform(found, strip), lambda t: (F.length(t) <= 500) & ~F.regexp_like(t, bare)), 1, 5)
+    return limit_references(F.filter(F.transform(found, strip), lambda t: sane_reference(t, n)))
+
+
+def sane_reference(text: Column, n: Column) -> Column:
+    """Not over 500 characters, which is a parsing error, and not the bare name of the figure."""
+    bare = F.concat(F.lit("(?i)^Figure\\s+"), n.cast("string"), F.lit("\\s*[:.]?\\s*$"))
+    return (F.length(text) <= 500) & ~F.regexp_like(text, bare)
+
+
+def limit_references(found: Column, most: int = 5) -> Column:
+    return F.slice(found, 1, most)
+
+
+def descriptions(caption: Column, surrounding: Column, references: Column, full: Column) -> Column:
+    """``text, start, end`` of the caption, the surrounding text and the references (an array of the same
+    struct), each text once, in this order.  Texts that the full text does not hold are at (0, 0)."""
+    def part(x):
+        place = text_position(full, strip(x))
+        at = lambda side: F.coalesce(place[side], F.lit(0)).alias(side)
+        return F.struct(strip(x).alias("text"), at("start"), at("end"))
+
+    named = F.array(*(F.when(F.coalesce(strip(x), F.lit("")) != "", part(x)) for x in (caption, surrounding)))
+    found = F.concat(F.array_compact(named), F.coalesce(references, F.array().cast("array<struct<text:string,start:int,end:int>>")))
+    return F.filter(found, lambda d, i: ~F.exists(F.slice(found, F.lit(1), i), lambda e: e["text"] == d["text"]))
 
 
 def text_position(full: Column, part: Column) -> Column:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from figmine import vocab
+from figmine.functions import text as T
 from figmine.functions import vectors as V
 
 
@@ -87,3 +89,19 @@ def topic_similarity(texts: DataFrame, refs: DataFrame) -> DataFrame:
     ok = (best >= 0.65) & (F.round(best - second, 6) >= 0.10)
     return scored.select("vec_id", F.when(ok, F.col("top")[0]["category"]).otherwise("Unknown").alias("category"), best.alias("score"), F.round(best - second, 6).alias("margin"),
                          F.when(~ok, "LOW").when(best >= 0.80, "HIGH").when(best >= 0.70, "MEDIUM").otherwise("LOW").alias("confidence"), F.array_join(F.transform("top", lambda t: t["category"]), ",").alias("top3"))
+
+
+def detect_gates(texts: DataFrame) -> DataFrame:
+    """Symbols of each image from the texts read in its regions (``image_id, raw_text``): sorted output
+    symbols, their number, ``symbol:count:tier`` of each, and the verdict on all symbols found.  Images
+    without a known symbol give empty lists.  Counts meet per (image, symbol) first, so an image's lists
+    are bounded by the vocabulary."""
+    every = tuple(dict.fromkeys([*vocab.HIGH_GATES, *vocab.MEDIUM_GATES, *vocab.LOW_GATES]))
+    gate = T.normalize_gate_ocr(F.col("raw_text"))
+    named = texts.select("image_id", gate.alias("gate")).select("image_id", F.when((F.length("gate") <= 20) & F.col("gate").isin(*every), F.col("gate")).alias("gate"))
+    counts = named.groupBy("image_id", "gate").agg(F.count("*").alias("n"))
+    found = counts.groupBy("image_id").agg(F.sort_array(F.collect_list(F.when(F.col("gate").isNotNull(), F.struct("gate", "n", T.gate_tier(F.col("gate")).alias("tier"))))).alias("all"))
+    shown = F.filter("all", lambda s: s["gate"].isin(*vocab.OUTPUT_GATES))
+    verdict = T.gate_validation(F.transform("all", lambda s: s["gate"]))
+    out = found.select("image_id", F.transform(shown, lambda s: s["gate"]).alias("gates"), F.size(shown).cast("long").alias("gate_count"), F.transform(shown, lambda s: F.concat_ws(":", s["gate"], s["n"].cast("string"), s["tier"])).alias("tiers"), verdict.alias("v"))
+    return out.select("image_id", "gates", "gate_count", "tiers", F.col("v.ok").alias("is_valid"), F.col("v.confidence").alias("confidence"), F.col("v.reason").alias("reason"))

@@ -23,6 +23,21 @@ def dataset_object(records: DataFrame) -> DataFrame:
     return records.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("filename", F.struct(*rest).alias("record")))))).alias("json"))
 
 
+def read_dataset(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Records written before; none where the output is missing.  Broken lines are left out."""
+    try:
+        return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
+def save_all(records: DataFrame, counts: DataFrame, path: str) -> bool:
+    """Both outputs; True when both are committed."""
+    write_dataset(records, f"{path}/dataset")
+    write_counts(counts, f"{path}/counts")
+    return True
+
+
 def write_counts(counts: DataFrame, path: str) -> None:
     """Header and one row an id; an id without a count has an empty field."""
     counts.select("arxiv_id", "circuit_count").coalesce(1).write.mode("overwrite").csv(path, header=True, nullValue="", emptyValue="")
@@ -36,8 +51,12 @@ def read_counts(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def write_reference_index(vectors: DataFrame, path: str) -> None:
-    vectors.write.mode("overwrite").partitionBy("is_target").parquet(path)
+def write_reference_index(vectors: DataFrame, centroids: DataFrame, path: str) -> None:
+    """Vectors by class, class centroids, and metadata: counts by class and dimension."""
+    vectors.write.mode("overwrite").partitionBy("is_target").parquet(f"{path}/vectors")
+    centroids.write.mode("overwrite").parquet(f"{path}/centroids")
+    meta = vectors.agg(F.count_if(F.col("is_target") == 1).alias("n_target"), F.count_if(F.col("is_target") == 0).alias("n_other"), F.count("*").alias("total"), F.max(F.size("embedding")).cast("long").alias("embedding_dim"))
+    meta.coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
 
 
 def save_state(spark: SparkSession, path: str, **state) -> None:
@@ -54,5 +73,11 @@ def load_state(spark: SparkSession, path: str):
     return rows[0] if rows else None
 
 
+def clear_state(spark: SparkSession, path: str) -> None:
+    """Delete the saved state after a whole run; nothing happens where there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def resume_point(state) -> tuple[int, int]:
     return (0, 0) if state is None else (state["last_paper_index"] + 1, state["total_found"])

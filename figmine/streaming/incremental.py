@@ -17,9 +17,10 @@ from figmine.sinks.outputs import load_state, resume_point, save_state
 def run(papers: DataFrame, detect: Callable[[DataFrame], DataFrame], out: str, batch: int = 1000, most: int | None = None, stop_after: int | None = None) -> DataFrame:
     """``papers`` has ``paper_idx``; ``detect`` turns papers into accepted rows with ``paper_idx`` and
     ``image_index``.  Only papers of the current batch reach ``detect``; ``most`` caps the total in
-    order.  ``stop_after`` batches ends early.  Returns all rows written so far."""
+    order.  ``stop_after`` batches ends early.  Returns all rows written so far; none without papers."""
     spark = papers.sparkSession
-    n = (papers.agg(F.max("paper_idx")).first()[0] or -1) + 1
+    last = papers.agg(F.max("paper_idx")).first()[0]
+    n = 0 if last is None else last + 1
     start, found = resume_point(load_state(spark, f"{out}/state"))
     done = 0
     while start < n and (most is None or found < most) and (stop_after is None or done < stop_after):
@@ -31,7 +32,7 @@ def run(papers: DataFrame, detect: Callable[[DataFrame], DataFrame], out: str, b
         found += spark.read.parquet(path).count()
         start, done = min(start + batch, n), done + 1
         save_state(spark, f"{out}/state", last_paper_index=start - 1, last_paper_id=str(start - 1), total_found=found, processed=start, skipped=0, failed=0, timestamp="", version="1.0")
-    return spark.read.parquet(f"{out}/data")
+    return spark.read.parquet(f"{out}/data") if start else detect(papers.limit(0))
 
 
 def file_stream(spark, path: str, schema: str, detect: Callable[[DataFrame], DataFrame], out: str, checkpoint: str):

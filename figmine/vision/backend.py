@@ -67,6 +67,21 @@ def gate_regions(gray: np.ndarray, threshold: int) -> np.ndarray:
     return b[(shape > 0.3) & (shape < 4) & (area > 400) & (area < 50000) & (b[:, 2] > 20) & (b[:, 3] > 20), :4]
 
 
+def draw(boxes: np.ndarray, shade: int = 100) -> np.ndarray:
+    """A white page with the given boxes (x0, y0, x1, y1) filled; 1 pixel a unit."""
+    limits = np.ceil(boxes[:, 2:].max(axis=0)).astype(int) + 2 if len(boxes) else (1, 1)
+    page = np.full((limits[1], limits[0]), 255, np.uint8)
+    for x0, y0, x1, y1 in boxes.astype(int):
+        page[y0:y1, x0:x1] = shade
+    return page
+
+
+def all_gate_regions(gray: np.ndarray, thresholds: tuple[int, ...] = (150, 200)) -> np.ndarray:
+    """Corners of the candidate symbols that any threshold finds, each once."""
+    b = np.unique(np.concatenate([gate_regions(gray, t) for t in thresholds]), axis=0)
+    return np.column_stack([b[:, :2], b[:, :2] + b[:, 2:]]).astype(np.float64)
+
+
 def statistics(gray: np.ndarray, threshold: int = 200) -> dict:
     mask = gray < threshold
     b = components(mask)

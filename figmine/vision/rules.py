@@ -51,3 +51,40 @@ def has_structured_content(s: Column) -> Column:
 def keep_region(s: Column) -> Column:
     """A region of a rendered page stays: not text, a circuit or no formula, and structured."""
     return ~is_text_region(s) & (has_circuit_structure(s) | ~is_math_formula(s)) & has_structured_content(s)
+
+
+def luma(r: Column, g: Column, b: Column) -> Column:
+    """Gray value of a colour, with the 16-bit weights of the backend."""
+    return F.shiftright(r * 19595 + g * 38470 + b * 7471 + 0x8000, 16)
+
+
+def gap_variance(places: Column) -> Column:
+    """Population variance of the gaps between sorted places; null below two places."""
+    s = F.array_sort(places)
+    gaps = F.zip_with(F.slice(s, 2, F.greatest(F.size(s) - 1, F.lit(0))), F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0))), lambda b, a: (b - a).cast("double"))
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + x)
+    mean = total(gaps) / F.size(gaps)
+    return F.when(F.size(s) >= 2, F.round(total(F.transform(gaps, lambda x: (x - mean) * (x - mean))) / F.size(gaps), 6))
+
+
+def grid_score(tops: Column) -> Column:
+    """Elements in regular rows: ``tops`` are the upper edges of all elements."""
+    v = gap_variance(F.array_distinct(tops))
+    return F.when((F.size(tops) < 4) | v.isNull(), 0.0).when(v < 100, 1.0).when(v < 300, 0.5).otherwise(0.0)
+
+
+def spacing_score(xs: Column, ys: Column) -> Column:
+    """Element centres at regular distances along both axes, or along one."""
+    a, b = gap_variance(xs), gap_variance(ys)
+    return F.when(F.size(xs) < 4, 0.0).when((a < 500) & (b < 500), 1.0).when((a < 1000) | (b < 1000), 0.5).otherwise(0.0)
+
+
+def embedded_image(s: Column, matrix: Column, min_w: int = 200, min_h: int = 150) -> Column:
+    """An embedded image stays: large enough, shape 0.2 to 5, not portrait, no matrix."""
+    w, h = s["width"], s["height"]
+    return (w >= min_w) & (h >= min_h) & (w / h).between(0.2, 5.0) & (h <= w) & ~matrix
+
+
+def rendered_region(s: Column, matrix: Column) -> Column:
+    """A region cut from a rendered page stays: at least 150 by 100 pixels and no matrix."""
+    return keep_region(s) & (s["width"] >= 150) & (s["height"] >= 100) & ~matrix

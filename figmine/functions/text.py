@@ -179,10 +179,11 @@ def gate_validation(gates: Column) -> Column:
 
 
 def figure_references(full_text: Column, n: Column) -> Column:
-    """At most five sentences that mention figure n, pattern by pattern."""
+    """At most five sentences that mention figure n, pattern by pattern.  A match can only begin where a
+    sentence does; saying so keeps the search linear in texts without full stops."""
     n = n.cast("string")
     forms = (("[^.]*Figure\\s+", "\\b[^.]*\\."), ("[^.]*Fig\\.\\s*", "\\b[^.]*\\."), ("[^.]*shown in Fig\\.\\s*", "[^.]*\\."), ("[^.]*illustrated in Figure\\s+", "[^.]*\\."))
-    found = F.concat(*(F.regexp_extract_all(full_text, F.concat(F.lit("(?i)" + a), n, F.lit(b)), F.lit(0)) for a, b in forms))
+    found = F.concat(*(F.regexp_extract_all(full_text, F.concat(F.lit("(?i)(?<![^.])" + a), n, F.lit(b)), F.lit(0)) for a, b in forms))
     return limit_references(F.filter(F.transform(found, strip), lambda t: sane_reference(t, n)))
 
 

@@ -78,7 +78,8 @@ def draw(boxes: np.ndarray, shade: int = 100) -> np.ndarray:
 
 def all_gate_regions(gray: np.ndarray, thresholds: tuple[int, ...] = (150, 200)) -> np.ndarray:
     """Corners of the candidate symbols that any threshold finds, each once."""
-    b = np.unique(np.concatenate([gate_regions(gray, t) for t in thresholds]), axis=0)
+    distinct = {int((gray < t).sum()): t for t in thresholds}  # masks are nested: equal sizes, equal masks
+    b = np.unique(np.concatenate([gate_regions(gray, t) for t in distinct.values()]), axis=0)
     return np.column_stack([b[:, :2], b[:, :2] + b[:, 2:]]).astype(np.float64)
 
 

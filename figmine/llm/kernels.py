@@ -2,7 +2,9 @@
 
 Every function works on whole Arrow string columns at once: the UTF-8 buffer is viewed as a
 ``uint8`` array, word boundaries are found with a 256-entry class table, and words are hashed to
-64 bits by a segmented polynomial sum.  No Python object is made per word.  ASCII separators never
+64 bits (twice, where a hash alone decides: 128 bits) by a segmented sum of mixed bytes.  Every place of
+a word has its own pseudo-random factor and every product is folded before it is added, so no algebra
+of the places (as of powers of one number) makes unequal words equal.  No Python object is made per word.  ASCII separators never
 occur inside a multi-byte UTF-8 sequence, so splitting bytes equals splitting code points.
 
 Null texts are treated as empty: they have no words.
@@ -44,16 +46,28 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(n: int) -> np.ndarray:
-    global _POWERS
-    if len(_POWERS) < n:
-        size = max(n, 2 * len(_POWERS))
-        _POWERS = np.cumprod(np.concatenate([np.ones(1, _U), np.full(size - 1, _MULT, _U)]), dtype=_U)
-    return _POWERS
+class _Factors:
+    """Odd pseudo-random factors by place, as many as the longest word so far needs."""
 
+    def __init__(self, salt: int):
+        self.salt, self.values = _U(salt), np.zeros(0, _U)
+        self(256)
 
-_POWERS = np.ones(1, _U)
-_POWERS = _powers(256)
+    def __call__(self, n: int) -> np.ndarray:
+        if len(self.values) < n:
+            size = max(n, 2 * len(self.values))
+            self.values = mix64(np.arange(1, size + 1, dtype=_U) * _MULT + self.salt) | _U(1)
+        return self.values
+
+
+_FACTORS = (_Factors(0x243F6A8885A308D3), _Factors(0x13198A2E03707344))
+
+
+def _segment_sums(raw: np.ndarray, place: np.ndarray, bounds: np.ndarray, longest: int, which: int) -> np.ndarray:
+    """Sums of folded products of the bytes ``raw`` at ``place`` over the segments that start at ``bounds``."""
+    value = (raw.astype(_U) + _U(1)) * _FACTORS[which](longest)[place]
+    value ^= value >> _U(29)
+    return np.add.reduceat(value, bounds)
 
 
 def text_slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES):
@@ -80,7 +94,8 @@ def text_slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES):
 
 class Words:
     """The words of several texts: ``start``/``end`` byte positions, ``row`` of each word,
-    ``first`` (index of each row's first word, with one entry more at the end) and ``hash``."""
+    ``first`` (index of each row's first word, with one entry more at the end) and ``hash``; ``second()``
+    makes another hash, independent of the first."""
 
     __slots__ = ("data", "start", "end", "row", "first", "hash")
 
@@ -103,18 +118,21 @@ class Words:
         self.end = np.flatnonzero(inside & ~after) + 1
         self.first = np.searchsorted(self.start, offsets)
         self.row = np.repeat(np.arange(n_rows), np.diff(self.first))
-        n = len(self.start)
-        if n == 0:
-            self.hash = np.zeros(0, _U)
-            return
+        self.hash = self._hashed(0, np.flatnonzero(inside))
+
+    def _hashed(self, which: int, at: np.ndarray | None = None) -> np.ndarray:
+        if not len(self.start):
+            return np.zeros(0, _U)
         length = self.end - self.start
-        base = np.repeat(self.start, length)
-        at = np.flatnonzero(inside)
-        place = at - base
-        value = (data[at].astype(_U) + _U(1)) * _powers(int(length.max()) + 1)[place]
         bounds = np.cumsum(length) - length
-        total = np.add.reduceat(value, bounds)
-        self.hash = mix64(total + length.astype(_U) * _WORD_STEP)
+        place = np.arange(int(length.sum())) - np.repeat(bounds, length)
+        if at is None:
+            at = place + np.repeat(self.start, length)
+        total = _segment_sums(self.data[at], place, bounds, int(length.max()), which)
+        return mix64(total + length.astype(_U) * _WORD_STEP)
+
+    def second(self) -> np.ndarray:
+        return self._hashed(1)
 
     @property
     def counts(self) -> np.ndarray:
@@ -160,20 +178,16 @@ def segment_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tupl
     """Two independent 64-bit hashes of the byte ranges ``start..end`` (which may be empty)."""
     n = len(start)
     length = (end - start).astype(np.int64)
-    out = []
     filled = np.flatnonzero(length > 0)
-    base = np.repeat(start[filled] - (np.cumsum(length[filled]) - length[filled]), length[filled])
-    at = np.arange(len(base)) + base
-    place = at - np.repeat(start[filled], length[filled])
-    raw = data[at].astype(_U) + _U(1)
-    powers = _powers(int(length.max(initial=0)) + 1)[place]
     bounds = np.cumsum(length[filled]) - length[filled]
-    for salt in (_U(0), _WORD_STEP):
+    place = np.arange(int(length.sum())) - np.repeat(bounds, length[filled])
+    raw = data[place + np.repeat(start[filled], length[filled])]
+    out = []
+    for which in (0, 1):
         total = np.zeros(n, _U)
         if len(filled):
-            value = raw * powers if salt == 0 else (raw ^ salt) * mix64(powers)
-            total[filled] = np.add.reduceat(value, bounds)
-        out.append(mix64(total + length.astype(_U) * _MULT + salt))
+            total[filled] = _segment_sums(raw, place, bounds, int(length.max()), which)
+        out.append(mix64(total + length.astype(_U) * _MULT + _U(which)))
     return out[0], out[1]
 
 

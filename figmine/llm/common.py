@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import io
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,25 +12,31 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_OWN_DIR: dict[str, str] = {}
+from figmine.sinks.shared import remove, shared_path
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    return _OWN_DIR.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="figmine-"))
+_WRITTEN: list[str] = []
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the lineage, survives the loss
-    of executors and keeps later branches from computing it again."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    of executors and keeps later branches from computing it again.  ``release`` deletes it."""
+    path = shared_path(df.sparkSession, name)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written() -> int:
+    """A mark for ``release``: how many intermediate tables this process has written so far."""
+    return len(_WRITTEN)
+
+
+def release(spark: SparkSession, mark: int = 0) -> None:
+    """Delete the intermediate tables written since the mark, once the results made from them are written."""
+    while len(_WRITTEN) > mark:
+        remove(spark, _WRITTEN.pop())
+
+
 def bound_batches(spark: SparkSession, size: str = "4m") -> None:
     """Bound the bytes of an Arrow batch, whose default counts rows only, where the cluster has set no
     bound: texts and hash sets of any length then cost a task the same memory."""
@@ -42,9 +46,10 @@ def bound_batches(spark: SparkSession, size: str = "4m") -> None:
 
 
 def n_buckets(spark: SparkSession) -> int:
-    """Hash buckets for blob exchanges: follows the session's shuffle partitions, which is where a
-    cluster says how finely its data must be cut to fit executor memory."""
-    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    """Hash buckets for blob exchanges: eight a shuffle partition, which is where a cluster says how finely
+    its data must be cut to fit executor memory.  A task holds one bucket at a time, an eighth of its
+    partition on average, and buckets are many enough to even out over the partitions."""
+    return 8 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def fold_column(column) -> F.Column:
@@ -52,6 +57,14 @@ def fold_column(column) -> F.Column:
     return F.crc32(column.cast("string").cast("binary")) % 5
 
 
+def fresh(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have, in any case."""
+    taken, name = {c.lower() for c in df.columns}, f"__{base}"
+    while name in taken:
+        name += "_"
+    return name
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

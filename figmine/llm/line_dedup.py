@@ -2,14 +2,16 @@
 
 The boundaries of the range partitioning are on the pair of hash and document, so a line that a third
 of all documents hold is spread over many partitions instead of one.  Inside a partition the rows of
-a hash come largest document first; the first occurrence decides which document keeps the line.
+a hash come largest document first, then by the first position in it; they are streamed batch by batch,
+and the first occurrence decides which document keeps the line.  What is held between batches is the
+state of one hash, with its rows only while fewer than ``min_docs`` documents have been seen.
 Only a partition's first and last hash can go on in its neighbours: their counts meet in a summary of
-at most two rows a partition, which is the one thing that is broadcast.  What returns to a document
-is a compressed bitmap of the lines that it keeps, never text.
+at most two hashes a partition, which is the one thing that is broadcast.  What returns to a document
+is a compressed bitmap of the lines that it loses, never text.
 
 Defined cases: a null or empty text is one empty line; lines shorter than ``min_chars`` always stay;
-repeated rows of one document count as one document; rows with a null id keep all lines; ``doc_id`` is
-the key of a document.  Extra columns pass through untouched.
+rows that repeat an id count as one document, each cut by its own text's lines; rows with a null id keep
+all lines; ids are integers.  Extra columns pass through untouched.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from figmine.llm.common import bound_batches, n_buckets, read_small_ints, small_ints, stored
+from figmine.llm.common import bound_batches, read_small_ints, small_ints, stored
 from figmine.llm.kernels import _LOWER, BLANK, segment_hashes, text_slices
 
 MIN_CHARS = 20
@@ -55,12 +57,13 @@ def line_keys(data, starts, ends, min_chars: int):
 
 
 def line_table(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``h1, h2, doc_id, at``: each key and the compressed positions at which its document has it."""
+    """``h1, h2, doc_id, print, first, at``: each key with its document (and the fingerprint of the text, which
+    tells rows of one id apart), the first position and all positions, compressed."""
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for first, _, data, offsets in text_slices(batch.column(1)):
+            ids, prints = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            for first, _, data, offsets in text_slices(batch.column(2)):
                 starts, ends, rows = line_bounds(data, offsets)
                 at, h1, h2 = line_keys(data, starts, ends, min_chars)
                 if not len(at):
@@ -73,70 +76,110 @@ def line_table(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                 new[1:] = (row[1:] != row[:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
                 cut = np.flatnonzero(new)
                 ends_ = np.append(cut[1:], len(row))
+                of = first + row[cut]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h1[cut]), pa.array(h2[cut]), pa.array(ids[first + row[cut]].astype(np.int64)), pa.array([small_ints(place[i:j]) for i, j in zip(cut, ends_, strict=True)], pa.binary())],
-                    ["h1", "h2", "doc_id", "at"])
+                    [*map(pa.array, (h1[cut], h2[cut], ids[of].astype(np.int64), prints[of].astype(np.int64), place[cut].astype(np.int64))), pa.array([small_ints(place[i:j]) for i, j in zip(cut, ends_, strict=True)], pa.binary())],
+                    ["h1", "h2", "doc_id", "print", "first", "at"])
 
     bound_batches(docs.sparkSession)
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    return known.mapInArrow(run, "h1 long, h2 long, doc_id long, at binary")
-
-
-def _groups(batches):
-    """The sorted rows of one partition with the limits of the groups of equal hashes."""
-    held = [b for b in batches if b.num_rows]
-    if not held:
-        return None
-    table = pa.Table.from_batches(held)
-    h1, h2, ids = (table[c].to_numpy() for c in ("h1", "h2", "doc_id"))
-    new = np.ones(len(h1), bool)
-    new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-    cut = np.flatnonzero(new)
-    fresh = new.copy()
-    fresh[1:] |= ids[1:] != ids[:-1]
-    count = np.add.reduceat(fresh.astype(np.int64), cut)
-    return table, h1, h2, ids, cut, np.diff(np.append(cut, len(h1))), count
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("print"), "text").where("doc_id is not null")
+    return known.mapInArrow(run, "h1 long, h2 long, doc_id long, print long, first long, at binary")
+
+
+_DECISION = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("print", pa.int64()), ("at", pa.binary()), ("n", pa.int64())])
+
+
+class _Stream:
+    """Decisions over the sorted rows of one partition, batch by batch.
+
+    A decided row comes out without its hash: its document loses the line.  Rows of the partition's first
+    hash come out with it, and with the number of new documents in ``n``; the last hash leaves a summary
+    (keeper and number of documents), and its rows where they are not decided."""
+
+    def __init__(self, min_docs: int):
+        self.min_docs = min_docs
+        self.rest = None  # undecided rows of the last hash
+        self.key, self.opening, self.keeper, self.docs, self.last = None, False, 0, 0, None
+
+    @staticmethod
+    def _row(h, doc, n):
+        return pa.RecordBatch.from_arrays([pa.array([h[0]]), pa.array([h[1]]), pa.array([doc]), pa.array([0]), pa.array([b""], pa.binary()), pa.array([n])], schema=_DECISION)
+
+    def _out(self, table, mask, n=None):
+        """Masked rows: with hash and count where ``n`` is given, decided without."""
+        part = table.filter(pa.array(mask))
+        null = pa.nulls(part.num_rows, pa.int64())
+        head = [null, null] if n is None else [part["h1"], part["h2"]]
+        return pa.table([*head, part["doc_id"], part["print"], part["at"], null if n is None else pa.array(n[mask])], schema=_DECISION).to_batches()
+
+    def take(self, batch: pa.RecordBatch):
+        table = pa.Table.from_batches([batch] if self.rest is None else [*self.rest.to_batches(), batch]).combine_chunks()
+        self.rest = None
+        h1, h2, ids = (table[c].to_numpy() for c in ("h1", "h2", "doc_id"))
+        new = np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))
+        cut = np.flatnonzero(new)
+        size = np.diff(np.append(cut, len(h1)))
+        fresh = np.append(True, new[1:] | (ids[1:] != ids[:-1]))
+        same = self.key == (h1[0], h2[0])  # the first group goes on from the batch before
+        if same and self.last == ids[0]:
+            fresh[0] = False
+        docs = np.add.reduceat(fresh.astype(np.int64), cut)
+        keeper = ids[cut].copy()  # the first occurrence: largest document first
+        if same:
+            docs[0] += self.docs
+            keeper[0] = self.keeper
+        opening = np.zeros(len(cut), bool)
+        opening[0] = self.key is None or (same and self.opening)
+        first = np.repeat(opening, size)
+        yield from self._out(table, first, fresh.astype(np.int64))
+        lost = np.repeat(~opening & (docs >= self.min_docs), size) & (ids != np.repeat(keeper, size))
+        yield from self._out(table, lost)
+        if not opening[-1] and docs[-1] < self.min_docs:
+            self.rest = table.slice(int(cut[-1]))  # seen again with the next batch
+            self.key, self.opening, self.docs, self.last = (0, 0, "none"), False, 0, None
+        else:
+            self.key, self.opening, self.keeper, self.docs, self.last = (h1[-1], h2[-1]), bool(opening[-1]), int(keeper[-1]), int(docs[-1]), ids[-1]
+
+    def end(self):
+        if self.rest is not None:
+            ids = self.rest["doc_id"].to_numpy()
+            yield from self._out(self.rest, np.ones(len(ids), bool), np.append(True, ids[1:] != ids[:-1]).astype(np.int64))
+        elif self.key is not None and not self.opening:
+            yield self._row(tuple(map(int, self.key)), self.keeper, self.docs)
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``doc_id, at``: compressed positions of lines that a document loses, a row for each key."""
+    """``doc_id, print, at``: compressed positions of lines that a row loses, one row for each key."""
     spark = docs.sparkSession
     lines = stored(line_table(docs, min_chars), "lines")
-    ordered = lines.repartitionByRange(n_buckets(spark), "h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", F.desc("doc_id"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    ordered = lines.repartitionByRange(2 * parts, "h1", "h2", F.desc("doc_id")).sortWithinPartitions("h1", "h2", F.desc("doc_id"), "first")
 
     def decide(batches):
-        got = _groups(batches)
-        if not got:
-            return
-        table, h1, h2, ids, cut, size, count = got
-        keeper = ids[cut]  # the first occurrence: largest document first
-        inner = np.ones(len(cut), bool)
-        inner[[0, -1]] = False
-        open_ = np.repeat(~inner, size)
-        lost = np.repeat(inner & (count >= min_docs), size) & (ids != np.repeat(keeper, size))
-        n = np.zeros(len(ids), np.int64)
-        n[cut] = count
-        out = pa.table({"h1": pa.array(h1, mask=~open_), "h2": pa.array(h2, mask=~open_), "doc_id": table["doc_id"], "at": table["at"], "n": pa.array(n, mask=~open_)})
-        yield from out.filter(pa.array(lost | open_)).combine_chunks().to_batches()
-
-    made = stored(ordered.mapInArrow(decide, "h1 long, h2 long, doc_id long, at binary, n long"), "line-decisions")
+        stream = _Stream(min_docs)
+        for batch in batches:
+            if batch.num_rows:
+                yield from stream.take(batch)
+        yield from stream.end()
+
+    made = stored(ordered.mapInArrow(decide, "h1 long, h2 long, doc_id long, print long, at binary, n long"), "line-decisions")
     pending = made.where("h1 is not null")
     # at most two hashes a partition: those that the boundaries cut
     across = pending.groupBy("h1", "h2").agg(F.sum("n").alias("docs"), F.max("doc_id").alias("keeper")).where(F.col("docs") >= min_docs)
     late = pending.join(F.broadcast(across), ["h1", "h2"]).where("doc_id <> keeper")
-    return made.where("h1 is null").select("doc_id", "at").unionByName(late.select("doc_id", "at"))
+    return made.where("h1 is null").select("doc_id", "print", "at").unionByName(late.select("doc_id", "print", "at"))
 
 
-def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``__drop_id, __drops``: for each document that loses lines, a zlib-compressed bitmap of its lost lines."""
+def lost_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``__drop_id, __drop_print, __drops``: for each row that loses lines, a zlib-compressed bitmap of them."""
 
     def many(batches):
         """Groups of the partition, which is sorted by document; the last one is carried on."""
         rest = None
         for batch in batches:
             table = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
-            ids = table["doc_id"].to_numpy()
-            cut = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, int)
+            ids, prints = (table[c].to_numpy() for c in ("doc_id", "print"))
+            cut = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (prints[1:] != prints[:-1]))) if len(ids) else np.zeros(0, int)
             if len(cut) > 1:
                 yield from _merge_sorted(table, cut)
             rest = table.slice(int(cut[-1])) if len(cut) else None
@@ -144,17 +187,17 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
             yield from _merge_sorted(rest, np.array([0, rest.num_rows]))
 
     def _merge_sorted(table, cut):
-        at, ids = table["at"].to_pylist(), table["doc_id"].to_numpy()[cut[:-1]]
+        at, ids, prints = table["at"].to_pylist(), table["doc_id"].to_numpy()[cut[:-1]], table["print"].to_numpy()[cut[:-1]]
         out = []
         for a, b in zip(cut[:-1], cut[1:], strict=True):
             places = np.concatenate([read_small_ints(x) for x in at[a:b]])
-            bits = np.zeros(int(places.max()) + 1, bool)
+            bits = np.zeros(int(places.max(initial=-1)) + 1, bool)
             bits[places] = True
             out.append(zlib.compress(np.packbits(bits).tobytes(), 1))
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(out, pa.binary())], ["__drop_id", "__drops"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(prints), pa.array(out, pa.binary())], ["__drop_id", "__drop_print", "__drops"])
 
-    by_doc = dropped_lines(docs, min_chars, min_docs).repartition(F.col("doc_id")).sortWithinPartitions("doc_id")
-    return by_doc.mapInArrow(many, "__drop_id long, __drops binary")
+    by_doc = dropped_lines(docs, min_chars, min_docs).repartition(F.col("doc_id")).sortWithinPartitions("doc_id", "print")
+    return by_doc.mapInArrow(many, "__drop_id long, __drop_print long, __drops binary")
 
 
 def _bitmap(raw: bytes | None, n: int) -> np.ndarray:
@@ -167,8 +210,9 @@ def _bitmap(raw: bytes | None, n: int) -> np.ndarray:
 
 
 def _with_bitmaps(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
-    maps = keep_bitmaps(docs, min_chars, min_docs).hint("shuffle_hash")
-    return docs.join(maps, docs["doc_id"].cast("long") == maps["__drop_id"], "left").drop("__drop_id")
+    maps = lost_bitmaps(docs, min_chars, min_docs).hint("shuffle_hash")
+    mine = (docs["doc_id"].cast("long") == maps["__drop_id"]) & (F.xxhash64(docs["text"]) == maps["__drop_print"])
+    return docs.join(maps, mine, "left").drop("__drop_id", "__drop_print")
 
 
 def line_dedup_report(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:

@@ -11,7 +11,8 @@ level, until one group per source is left, whose last two documents land on the
 Group seeds come from source rank, bucket and level, so reruns agree.
 
 Defined cases: null texts have size 0 and take 0; a null source is a source of its own, ranked last;
-an empty table gives an empty result; repeated rows are separate documents.
+an empty table gives an empty result; repeated rows, and rows with a null id, are separate documents, dealt
+by id and text; ``mixed`` replaces columns named like an output.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from figmine.llm.common import bound_batches, stored
+from figmine.llm.common import bound_batches, fresh, stored
 from figmine.llm.kernels import BLANK, Words, text_slices
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -35,18 +37,21 @@ FAN_IN = 1024
 _EPS = 1e-9
 
 
-def document_sizes(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size``: the words of each text."""
+def document_sizes(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """``carry`` columns (doc_id, source) with ``mix`` (a hash of id and text, by which rows are dealt) and
+    ``size``, the words of each text."""
+    kept = ["doc_id", "source"] if carry is None else carry
+    mix, size = ("mix", "size") if carry is None else (fresh(docs, "mix"), fresh(docs, "size"))
 
     def run(batches):
         for batch in batches:
-            counts = [Words(data, offsets, BLANK, False).counts for _, _, data, offsets in text_slices(batch.column(2))]
-            size = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size, pa.int64())], ["doc_id", "source", "size"])
+            counts = [Words(data, offsets, BLANK, False).counts for _, _, data, offsets in text_slices(batch.column(batch.num_columns - 1))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate([np.zeros(0, np.int64), *counts]))], [*kept, mix, size])
 
     bound_batches(docs.sparkSession)
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    return docs.select("doc_id", "source", "text").mapInArrow(run, f"doc_id {kinds['doc_id']}, source {kinds['source']}, size long")
+    asked = docs.select(*kept, F.xxhash64("doc_id", "text").alias(mix), F.col("text").alias(fresh(docs, "text")))
+    schema = T.StructType([docs.schema[c] for c in kept]).add(mix, "long").add(size, "long")
+    return asked.mapInArrow(run, schema)
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
@@ -108,17 +113,18 @@ def land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out
 
 
-_ROW = "doc_id {}, rank long, bucket long, size long, p double"
+_ROW = "row long, rank long, mix long, bucket long, size long, p double"
+_COLUMNS = ["row", "rank", "mix", "bucket", "size", "p"]
 
 
-def _level(rows: DataFrame, level: int, last: bool, kind: str) -> DataFrame:
+def _level(rows: DataFrame, level: int, last: bool) -> DataFrame:
     def solve(table: pa.Table):
         p, size = table["p"].to_numpy(), table["size"].to_numpy()
         key = [int(table[c][0].as_py()) for c in ("rank", "bucket")]
         p = flight(p, size, np.random.default_rng([7, level, *key]))
         if last:
             p = land(p, size)
-        return table.set_column(table.schema.get_field_index("p"), "p", pa.array(p)).select(["doc_id", "rank", "bucket", "size", "p"])
+        return table.set_column(table.schema.get_field_index("p"), "p", pa.array(p)).select(_COLUMNS)
 
     def run(batches):
         rest = None
@@ -132,26 +138,25 @@ def _level(rows: DataFrame, level: int, last: bool, kind: str) -> DataFrame:
         if rest is not None and rest.num_rows:
             yield from solve(rest).to_batches()
 
-    dealt = rows.repartition("rank", "bucket").sortWithinPartitions("rank", "bucket", F.xxhash64("doc_id"), "doc_id", "size")
-    return dealt.mapInArrow(run, _ROW.format(kind))
+    # rows that tie in hash and size are equal rows: which of them is drawn makes no difference
+    dealt = rows.select(*_COLUMNS).repartition("rank", "bucket").sortWithinPartitions("rank", "bucket", "mix", "size", "row")
+    return dealt.mapInArrow(run, _ROW)
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, group_docs: int = GROUP_DOCS) -> DataFrame:
-    """Per document: size, source_size, target (its source's) and taken words."""
-    sizes = stored(document_sizes(docs), "sizes")
+def _copies(sizes: DataFrame, weights, share: float, cap: float, group_docs: int) -> DataFrame:
+    """``row, size, source_size, target, taken`` of every row of ``sizes`` (row, source, mix, size)."""
     targets = source_targets(sizes, weights, share, cap)
-    kind = docs.schema["doc_id"].dataType.simpleString()
     known = targets.withColumn("ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     known = known.withColumn("whole", F.floor(F.col("ratio") + _EPS)).withColumn("p", F.greatest(F.lit(0.0), F.col("ratio") - F.col("whole"))).withColumn("p", F.when(F.col("p") < _EPS, 0.0).otherwise(F.col("p")))
     known = known.withColumn("n_groups", F.ceil(F.col("n_docs") / group_docs))
     rows = sizes.join(known, sizes["source"].eqNullSafe(known["name"]))
     most = targets.agg(F.max("n_docs")).first()[0] or 0
     groups = max(1, math.ceil(most / group_docs))
-    current = rows.select("doc_id", "rank", F.pmod(F.xxhash64("doc_id"), "n_groups").alias("bucket"), "size", "p")
+    current = rows.select("row", "rank", "mix", F.pmod("mix", "n_groups").alias("bucket"), "size", "p")
     done, level = [], 0
     while True:
         last = groups == 1
-        made = stored(_level(current, level, last, kind), "flight")
+        made = stored(_level(current, level, last), "flight")
         done.append(made if last else made.where("p = 0 or p = 1"))
         if last:
             break
@@ -161,4 +166,28 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     for d in done[1:]:
         chosen = chosen.unionByName(d)
     brief = known.select("rank", "source_size", "target", "whole")
-    return chosen.join(brief, "rank").select("doc_id", "size", "source_size", "target", (F.col("size") * (F.col("whole") + F.col("p").cast("long"))).cast("long").alias("taken"))
+    taken = (F.col("size") * (F.col("whole") + F.col("p").cast("long"))).cast("long")
+    return chosen.join(brief, "rank").select("row", "size", "source_size", "target", taken.alias("taken"))
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, group_docs: int = GROUP_DOCS) -> DataFrame:
+    """Per document: size, source_size, target (its source's) and taken words."""
+    sizes = stored(document_sizes(docs).withColumn("row", F.monotonically_increasing_id()), "sizes")
+    taken = _copies(sizes, weights, share, cap, group_docs).withColumnRenamed("row", "taken_row")
+    return sizes.select("doc_id", "row").join(taken, F.col("row") == F.col("taken_row")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+OUTPUTS = ("size", "source_size", "target", "taken")
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, group_docs: int = GROUP_DOCS) -> DataFrame:
+    """``docs``, row by row, with size, source_size, target and taken words; columns of these names are
+    replaced.  Rows are known by a key that is made once and stored with them."""
+    kept = docs.select(*[c for c in docs.columns if c.lower() not in OUTPUTS])
+    row, key = fresh(docs, "row"), fresh(docs, "key")
+    keyed = stored(kept.withColumn(row, F.monotonically_increasing_id()), "rows")
+    inner = keyed.select("doc_id", "source", "text", F.col(row).alias("row"))
+    sizes = document_sizes(inner, ["row", "source"])
+    sizes = stored(sizes.toDF("row", "source", "mix", "size"), "sizes")
+    taken = _copies(sizes, weights, share, cap, group_docs).withColumnRenamed("row", key)
+    return keyed.join(taken, F.col(row) == F.col(key)).drop(row, key)

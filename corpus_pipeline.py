@@ -6,13 +6,12 @@ Parquet and read again as the next stage's input.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from figmine.llm import decontaminate, jaccard, line_dedup, mixing, toxicity
-from figmine.llm.common import shared_dir
+from figmine.llm.common import release, written
+from figmine.sinks.shared import remove, shared_path
 
 
 def _recounted(docs: DataFrame) -> DataFrame:
@@ -21,29 +20,43 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go.  The model learns from the labels of ``docs``."""
+    """Documents that the toxicity model rejects go.  The model learns from the labels of ``docs``.
+
+    Null and empty texts get the score of a text without words; repeated rows are scored each; rows with
+    a null id are scored and not learned from; without usable labels, or documents, all rows stay."""
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that three or more documents share stay in one of them only."""
+    """Lines that three or more documents share stay in the largest doc_id only.
+
+    Null and empty texts stay as they are; rows that repeat an id count as one document, and each loses its
+    own lines; rows with a null id lose nothing; an empty table stays empty."""
     return _recounted(line_dedup.without_repeated_lines(docs))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the first stays."""
+    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the smallest doc_id stays.
+
+    Texts without words are linked with nothing and stay; rows that repeat an id stay or go together; rows
+    with a null id stay; an empty table stays empty."""
     return jaccard.one_of_each(docs, n=5, percent=80)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Spans that repeat a window of a benchmark item are removed from the texts."""
+    """Spans that repeat a window of a benchmark item are removed from the texts.
+
+    Null and wordless texts stay as they are; every row is judged by its own text, whatever its id; an empty
+    benchmark removes nothing."""
     return _recounted(decontaminate.without_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: documents taken at least once, with size, source_size, target and taken words."""
-    mixed = mixing.mix(docs).where("taken > 0").withColumnRenamed("doc_id", "__mixed")
-    return docs.join(mixed, F.col("doc_id") == F.col("__mixed")).drop("__mixed")
+    """The mix: rows taken at least once, with size, source_size, target and taken words.
+
+    Every row is drawn for itself, whatever its id; rows without words take none and go; a null source is
+    a source of its own; columns named like one of the four are replaced; an empty table stays empty."""
+    return mixing.mixed(docs).where("taken > 0")
 
 
 STAGES = [
@@ -59,9 +72,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``.  Once a stage's result is written, the tables it was made from go."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        path = f"{shared_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
+        mark, path = written(), shared_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        release(spark, mark)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

@@ -46,10 +46,10 @@ def bound_batches(spark: SparkSession, size: str = "4m") -> None:
 
 
 def n_buckets(spark: SparkSession) -> int:
-    """Hash buckets for blob exchanges: eight a shuffle partition, which is where a cluster says how finely
-    its data must be cut to fit executor memory.  A task holds one bucket at a time, an eighth of its
+    """Hash buckets for blob exchanges: four a shuffle partition, which is where a cluster says how finely
+    its data must be cut to fit executor memory.  A task holds one bucket at a time, a fourth of its
     partition on average, and buckets are many enough to even out over the partitions."""
-    return 8 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def fold_column(column) -> F.Column:

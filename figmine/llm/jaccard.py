@@ -39,10 +39,12 @@ from figmine.llm.kernels import BLANK, Words, mix64, text_slices, window_hashes
 
 SHINGLE = 3
 PERCENT = 90
-BLOCK_ROWS = 64
+#: rows of a block, at least; blocks of large clusters have half the square root of the cluster's rows
+BLOCK_ROWS = 32
 #: shingles of a block of rows, about: bounds the memory of a task where rows are long
 BLOCK_SHINGLES = 4_000_000
-COLUMN_BLOCK = 8192
+COLUMN_BLOCK = 4096
+_PIECE = 1 << 20
 _U = np.uint64
 
 
@@ -225,7 +227,7 @@ def _shared_blocks(docs: DataFrame, n: int, percent: int, buckets: int, conflict
                 if len(sheets.signature):
                     held.append(sheets)
                     size += len(sheets.signature)
-                if size > 1_500_000:
+                if size > 750_000:
                     yield out()
                     held, size = [], 0
         if size:
@@ -288,9 +290,13 @@ def _sparse_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     (cx, rx), (cy, ry) = np.nonzero(x.T), np.nonzero(y.T)
     first = np.searchsorted(cy, np.arange(a.shape[1] + 1))
     times = np.diff(first)[cx]  # each entry of x meets the entries of y in its column
-    start = np.cumsum(times) - times
-    other = ry[np.arange(int(times.sum())) - np.repeat(start - first[cx], times)]
-    met = np.bincount(np.repeat(rx, times) * len(b) + other, minlength=len(a) * len(b))
+    ends, met, i = np.cumsum(times), np.zeros(len(a) * len(b), np.int64), 0
+    while i < len(cx):  # in pieces of bounded size
+        z = max(i + 1, int(np.searchsorted(ends, ends[i] + _PIECE)))
+        part = times[i:z]
+        other = np.arange(int(part.sum())) - np.repeat(np.cumsum(part) - part - first[cx[i:z]], part)
+        met += np.bincount(np.repeat(rx[i:z], part) * len(b) + ry[other], minlength=len(met))
+        i = z
     return full + met.reshape(len(a), len(b))
 
 
@@ -393,7 +399,7 @@ def class_components(docs: DataFrame, classes: DataFrame, conflicts: np.ndarray,
     clusters = stored(components(_candidate_edges(docs, n, percent, n_buckets(spark), conflicts, bits)), "clusters")
     nodes = clusters.withColumnsRenamed({"node": "key", "root": "cluster"}).join(classes.select("key", F.col("low").alias("rep"), "n_shingles"), "key")
     sizes = nodes.groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("all"))
-    sizes = sizes.select("cluster", F.greatest(F.ceil(F.col("m") / block_rows), F.ceil(F.col("all") / BLOCK_SHINGLES)).alias("n_blocks"))
+    sizes = sizes.select("cluster", F.greatest(F.ceil(F.col("m") / F.greatest(F.lit(block_rows), F.sqrt("m") / 2)), F.ceil(F.col("all") / BLOCK_SHINGLES)).alias("n_blocks"))
     nodes = nodes.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("key"), "n_blocks"))
     rows = stored(_rows_of(docs, nodes.select("rep", "key", "cluster", "block", "n_blocks"), n, conflicts, bits), "incidence")
 

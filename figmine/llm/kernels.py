@@ -2,7 +2,7 @@
 
 Every function works on whole Arrow string columns at once: the UTF-8 buffer is viewed as a
 ``uint8`` array, word boundaries are found with a 256-entry class table, and words are hashed to
-64 bits (twice, where a hash alone decides: 128 bits) by a segmented sum of mixed bytes.  Every place of
+64 bits (and by a second hash, where hashes alone decide) by a segmented sum of mixed bytes.  Every place of
 a word has its own pseudo-random factor and every product is folded before it is added, so no algebra
 of the places (as of powers of one number) makes unequal words equal.  No Python object is made per word.  ASCII separators never
 occur inside a multi-byte UTF-8 sequence, so splitting bytes equals splitting code points.
@@ -33,7 +33,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
 #: texts of one batch are handled in slices of about this many bytes, which bounds memory
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -94,8 +94,8 @@ def text_slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES):
 
 class Words:
     """The words of several texts: ``start``/``end`` byte positions, ``row`` of each word,
-    ``first`` (index of each row's first word, with one entry more at the end) and ``hash``; ``second()``
-    makes another hash, independent of the first."""
+    ``first`` (index of each row's first word, with one entry more at the end) and ``hash``; ``second``
+    makes another hash of given runs of words, independent of the first."""
 
     __slots__ = ("data", "start", "end", "row", "first", "hash")
 
@@ -118,21 +118,27 @@ class Words:
         self.end = np.flatnonzero(inside & ~after) + 1
         self.first = np.searchsorted(self.start, offsets)
         self.row = np.repeat(np.arange(n_rows), np.diff(self.first))
-        self.hash = self._hashed(0, np.flatnonzero(inside))
+        self.hash = self._hashed(0, self.start, self.end - self.start, np.flatnonzero(inside))
 
-    def _hashed(self, which: int, at: np.ndarray | None = None) -> np.ndarray:
-        if not len(self.start):
+    def _hashed(self, which: int, start: np.ndarray, length: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+        if not len(start):
             return np.zeros(0, _U)
-        length = self.end - self.start
         bounds = np.cumsum(length) - length
         place = np.arange(int(length.sum())) - np.repeat(bounds, length)
         if at is None:
-            at = place + np.repeat(self.start, length)
+            at = place + np.repeat(start, length)
         total = _segment_sums(self.data[at], place, bounds, int(length.max()), which)
         return mix64(total + length.astype(_U) * _WORD_STEP)
 
-    def second(self) -> np.ndarray:
-        return self._hashed(1)
+    def second(self, at: np.ndarray, k: int) -> np.ndarray:
+        """32 bits of another hash of the runs of ``k`` words that start at ``at``."""
+        needed = covered(at, k, len(self.start))
+        word = np.zeros(len(self.start), _U)
+        word[needed] = self._hashed(1, self.start[needed], (self.end - self.start)[needed])
+        total = np.zeros(len(at), _U)
+        for d, factor in enumerate(_FACTORS[1](k)[:k]):
+            total += word[at + d] * factor
+        return (mix64(total) >> _U(32)).astype(np.uint32)
 
     @property
     def counts(self) -> np.ndarray:

@@ -7,7 +7,7 @@ share an anchor at the same shift, inside the window (6 + 7 = 13 words).
 
 1. Every chunk of documents sends the hashes of its anchors, once each, to buckets.
 2. A bucket answers each chunk with those of its anchors that some other document holds too.
-3. Only windows that contain such an anchor are extended to 13 words and hashed, to 128 bits; a chunk
+3. Only windows that contain such an anchor are extended to 13 words and hashed, to 96 bits; a chunk
    sends each such hash once, with the smallest document that starts it and whether others do.
 4. A bucket answers with the hashes that start in a smaller document, of this chunk or of another, and
    with that document.
@@ -77,13 +77,13 @@ class _Chunk:
 
 def _windows(w: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Both hashes of the windows that start at the given words."""
-    return window_hashes(w.hash, WINDOW)[at], window_hashes(w.second(), WINDOW)[at]
+    return window_hashes(w.hash, WINDOW)[at], w.second(at, WINDOW)
 
 
 def _lowest(h: np.ndarray, ids: np.ndarray, second: np.ndarray | None = None):
     """Sorted distinct hashes (pairs, with ``second``) with the smallest and largest document of each:
     ``h, second, low, high``."""
-    second = np.zeros(len(h), _U) if second is None else second
+    second = np.zeros(len(h), np.uint32) if second is None else second
     order = np.argsort(h, kind="stable")
     if ((h[order][1:] == h[order][:-1]) & (second[order][1:] != second[order][:-1])).any():
         order = np.lexsort((second, h))
@@ -198,7 +198,7 @@ def _ask_windows(n: int):
 
 def _answer_windows(key, table):
     """To each chunk: its windows that start in a smaller document, and the smallest one."""
-    asked = [(np.frombuffer(h, _U), np.frombuffer(s, _U), read_small_ints(low)) for h, s, low in zip(*(table[c].to_pylist() for c in ("hashes", "seconds", "lows")), strict=True)]
+    asked = [(np.frombuffer(h, _U), np.frombuffer(s, np.uint32), read_small_ints(low)) for h, s, low in zip(*(table[c].to_pylist() for c in ("hashes", "seconds", "lows")), strict=True)]
     h, second, low, _ = _lowest(*(np.concatenate([x[i] for x in asked]) for i in (0, 2, 1)))
     rows = []
     for chunk, (own, own2, mine), many in zip(table["chunk"].to_pylist(), asked, table["many"].to_pylist(), strict=True):
@@ -213,7 +213,7 @@ def _answer_windows(key, table):
 def _removed(c: _Chunk, answers: pa.Table):
     """Per part of the chunk: its words and the mask of removed ones.  Only windows among the answers,
     which hold a shared anchor, can remove a word."""
-    h, second = (blobs(answers[x], _U) for x in ("hashes", "seconds"))
+    h, second = (blobs(answers[x], t) for x, t in (("hashes", _U), ("seconds", np.uint32)))
     low = np.concatenate([np.zeros(0, np.int64), *(read_small_ints(x) for x in answers["lows"].to_pylist())])
     order = np.lexsort((second, h))
     h, second, low = h[order], second[order], low[order]
@@ -223,9 +223,10 @@ def _removed(c: _Chunk, answers: pa.Table):
             at = c.starts(first, w, WINDOW)
             one = window_hashes(w.hash, WINDOW)[at]
             j = np.minimum(np.searchsorted(h, one), len(h) - 1)
-            at = at[h[j] == one]
+            same = h[j] == one
+            at, one = at[same], one[same]
             if len(at):
-                j, hit = _find(h, second, *_windows(w, at))
+                j, hit = _find(h, second, one, w.second(at, WINDOW))
                 gone = covered(at[hit & (low[j] < c.owners(first, w, at))], WINDOW, len(w.start))
         yield first, w, gone
 

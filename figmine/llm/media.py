@@ -2,8 +2,9 @@
 written as NPY tiles with difference hashes.
 
 Defined cases: null or broken content gives null outputs (``decode`` raises ``ValueError``); images with
-no pixels are broken; extra columns pass through,
-columns named like an output are replaced.  A null text is an empty payload.
+no pixels, or with samples that are no numbers or above their maximum, are broken; extra columns pass
+through, columns named like an output are replaced.  A null text is an empty payload.  Integral images are
+made in strips along the longer side, so a very long one costs little beside itself.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from figmine.llm.common import bound_batches
 
 UNIT = 576
 TILE = 32
+#: pixels of a strip of an integral image
+STRIP = 1 << 18
 
 
 def _header(raw: bytes, n: int) -> tuple[list[int], int]:
@@ -54,16 +57,17 @@ def decode_netpbm(raw: bytes) -> np.ndarray:
     if not w or not h or not 0 < top < 65536:
         raise ValueError("bad Netpbm header")
     n = w * h * depth
+    if at > len(raw) or n > 8 * len(raw):  # no format has more than eight samples a byte
+        raise ValueError("truncated")
     if kind == b"P1":
-        digits = np.frombuffer(raw[at - 1 :].translate(None, b" \t\n\v\f\r"), np.uint8)[:n]
-        a = digits - 0x30
+        a = np.frombuffer(raw[at - 1 :].translate(None, b" \t\n\v\f\r"), np.uint8)[:n].astype(np.int64) - 0x30
     elif kind in (b"P2", b"P3"):
-        a = np.array(raw[at - 1 :].split()[:n], dtype=np.int64)
+        a = np.array([_sample(x) for x in raw[at - 1 :].split(None, n)[:n]], np.int64)
     elif kind == b"P4":
         stride = (w + 7) // 8
-        rows = np.frombuffer(raw, np.uint8, count=min(len(raw) - at, stride * h), offset=at)
-        if len(rows) < stride * h:
+        if len(raw) - at < stride * h:
             raise ValueError("truncated")
+        rows = np.frombuffer(raw, np.uint8, count=stride * h, offset=at)
         a = np.unpackbits(rows.reshape(h, stride), axis=1)[:, :w].ravel()
     else:
         dtype = np.dtype(">u2" if top > 255 else np.uint8)
@@ -72,12 +76,20 @@ def decode_netpbm(raw: bytes) -> np.ndarray:
         a = np.frombuffer(raw, dtype, count=n, offset=at)
     if len(a) < n:
         raise ValueError("truncated")
+    if a.min() < 0 or a.max() > top:
+        raise ValueError("sample out of range")
     if bitmap:
         a = (1 - a.astype(np.uint8)) * np.uint8(255)
     a = a.astype(np.uint16 if top > 255 else np.uint8)
     return a.reshape((h, w, 3) if depth == 3 else (h, w))
 
 
+def _sample(raw: bytes) -> int:
+    if not raw.isdigit() or len(raw.lstrip(b"0")) > 5:
+        raise ValueError("bad sample")
+    return int(raw)
+
+
 def encode_pgm(a: np.ndarray) -> bytes:
     return b"P5\n%d %d\n255\n" % (a.shape[1], a.shape[0]) + np.ascontiguousarray(a, np.uint8).tobytes()
 
@@ -114,19 +126,28 @@ def gray(a: np.ndarray) -> np.ndarray:
     return a if a.ndim == 2 else (a.astype(np.uint32) @ np.array([299, 587, 114], np.uint32) + 500) // 1000
 
 
-def _sums(integral: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    """The integral image at fractional edges along its first axis."""
-    low = np.minimum(edges.astype(np.int64), len(integral) - 2)
-    part = (edges - low).reshape(-1, *[1] * (integral.ndim - 1))
-    return integral[low] + (integral[low + 1] - integral[low]) * part
+def _sums(a: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """The integral image along the first axis at fractional edges, made in strips."""
+    low = np.minimum(edges.astype(np.int64), len(a) - 1)
+    part = (edges - low).reshape(-1, *[1] * (a.ndim - 1))
+    out, total = np.empty((len(edges), *a.shape[1:])), np.zeros(a.shape[1:])
+    step = max(1, STRIP // max(1, a[0].size))
+    for start in range(0, len(a), step):
+        rows = a[start : start + step].astype(np.float64)
+        sums = np.cumsum(np.concatenate([total[None], rows]), axis=0)
+        mine = np.flatnonzero((low >= start) & (low < start + len(rows)))
+        at = low[mine] - start
+        out[mine] = sums[at] + rows[at] * part[mine]
+        total = sums[-1]
+    return out
 
 
 def area_resize(a: np.ndarray, height: int, width: int) -> np.ndarray:
     """Means over exact areas, read off the integral image: (height, width[, channels]) of doubles."""
-    integral = np.zeros((a.shape[0] + 1, a.shape[1] + 1, *a.shape[2:]))
-    np.cumsum(np.cumsum(a, axis=0, dtype=np.float64), axis=1, out=integral[1:, 1:])
+    if a.shape[1] > a.shape[0]:  # strips run along the longer side
+        return np.swapaxes(area_resize(np.swapaxes(a, 0, 1), width, height), 0, 1)
     ys, xs = np.arange(height + 1) * (a.shape[0] / height), np.arange(width + 1) * (a.shape[1] / width)
-    rows = np.diff(_sums(integral, ys), axis=0)
+    rows = np.diff(_sums(a, ys), axis=0)
     cols = np.moveaxis(_sums(np.moveaxis(rows, 1, 0), xs), 0, 1)
     return np.diff(cols, axis=1) / (a.shape[0] / height * (a.shape[1] / width))
 
@@ -147,7 +168,7 @@ def difference_hash(a: np.ndarray, size: int = 8) -> str:
 def media_columns(df: DataFrame, content: str = "content", tile: int = TILE) -> DataFrame:
     """``df`` with ``media_height, media_width, media_channels, media_tile`` (NPY) and ``media_hash``."""
     names = ("media_height", "media_width", "media_channels", "media_tile", "media_hash")
-    kept = df.select(*[c for c in df.columns if c not in names])
+    kept = df.select(*[c for c in df.columns if c.lower() not in names])
     at = kept.columns.index(content)
 
     def run(batches):

@@ -57,6 +57,12 @@ def fold_column(column) -> F.Column:
     return F.crc32(column.cast("string").cast("binary")) % 5
 
 
+def in_sample(column, share) -> F.Column:
+    """Whether the 64-bit hash of a key lies in the first ``share`` of all hashes (all of them from 1 on):
+    the same rule at every size of the table."""
+    return (share >= 1) | (F.xxhash64(column).cast("double") < share * 2.0**64 - 2.0**63)
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have, in any case."""
     taken, name = {c.lower() for c in df.columns}, f"__{base}"

@@ -7,8 +7,8 @@ context that was never seen costs nothing and is skipped.  Statistics are frozen
 code length of a whole text is an exact sum over its bytes, and each distinct 5-gram is costed once a
 slice for all languages together.
 
-The model is trained on at most about ``train_docs`` documents a language, drawn by a hash of the id:
-a bounded sample of labelled rows.  Texts are scored whole.
+The model is trained on a bounded sample of labelled rows: about ``train_docs`` documents a language, drawn
+by a hash of the id, of the ``most_languages`` most frequent languages.  Texts are scored whole.
 
 Defined cases: null texts and texts without letters are ``und`` with score 0; documents with a null id or
 language are never learned from; with no training rows at all everything is ``und``; ties go to the
@@ -23,11 +23,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from figmine.llm.common import bound_batches, fold_column
+from figmine.llm.common import bound_batches, fold_column, in_sample
 from figmine.llm.kernels import Grams, gram_slices, text_slices
 
 ORDER = 4
 TRAIN_DOCS = 300
+MOST_LANGUAGES = 64
 _U = np.uint64
 _MASK = [_U((1 << 8 * k) - 1) for k in range(9)]
 _ASCII_LETTER = np.zeros(256, bool)
@@ -119,13 +120,12 @@ def has_letters(column) -> np.ndarray:
     return out
 
 
-def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, order: int = ORDER) -> ContextTrees:
+def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, order: int = ORDER, most_languages: int = MOST_LANGUAGES) -> ContextTrees:
     """Context trees from documents outside fold 0 with a known language; the sample of a language is
     those whose id hash lies below train_docs over its number of documents."""
     known = docs.select("doc_id", "text", "lang").where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_column(F.col("doc_id")) != 0))
-    counts = known.groupBy("lang").count()
-    share = F.least(F.lit(1.0), F.lit(float(train_docs)) / F.col("count"))
-    drawn = known.join(F.broadcast(counts.select("lang", share.alias("share"))), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    counts = known.groupBy(F.col("lang").alias("of")).count().orderBy(F.desc("count"), "of").limit(most_languages)
+    drawn = known.join(F.broadcast(counts), F.col("lang") == F.col("of")).where(in_sample(F.col("doc_id"), F.lit(float(train_docs)) / F.col("count")))
     table = drawn.select("lang", "doc_id", "text").toArrow().sort_by([("lang", "ascending"), ("doc_id", "ascending")])
     languages = sorted(set(table["lang"].to_pylist()))
     by = [table.filter(pc.equal(table["lang"], x))["text"].combine_chunks() for x in languages]

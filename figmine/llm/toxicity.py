@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from figmine.llm.common import bound_batches, fold_column
+from figmine.llm.common import bound_batches, fold_column, fresh, in_sample
 from figmine.llm.kernels import NON_WORD, Words, text_slices
 
 TRAIN_DOCS = 8000
@@ -243,8 +243,7 @@ class ToxicityModel:
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> ToxicityModel:
     usable = labels.select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("toxic")).where("label_id is not null and toxic in (0, 1)").where(fold_column(F.col("label_id")) != 0)
     n = usable.count()
-    share = int((1 << 20) * min(1.0, train_docs / max(n, 1)))
-    drawn = usable.where(F.pmod(F.xxhash64("label_id"), F.lit(1 << 20)) < share)  # about train_docs rows at most
+    drawn = usable.where(in_sample(F.col("label_id"), F.lit(train_docs / max(n, 1))))  # about train_docs rows at most
     base = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("label_id"))
     table = base.select("doc_id", "text", "toxic", fold_column(F.col("doc_id")).alias("fold")).toArrow().sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
     y, fold = table["toxic"].to_numpy().astype(float), table["fold"].to_numpy()
@@ -260,7 +259,7 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> T
 
 
 def score(docs: DataFrame, model: ToxicityModel, name: str = "toxicity") -> DataFrame:
-    """``docs`` (any columns, with ``text``) with their score as ``name``; existing columns stay."""
+    """``docs`` (any columns, with ``text``) with their score as ``name``; a column of that name is replaced."""
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.drop(name)
@@ -282,4 +281,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -
 
 def without_toxic(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """The documents scored below 0.5, with their columns unchanged."""
-    return score(docs, train(docs, labels, train_docs), "__toxicity").where("__toxicity < 0.5").drop("__toxicity")
+    name = fresh(docs, "toxicity")
+    return score(docs, train(docs, labels, train_docs), name).where(F.col(name) < 0.5).drop(name)

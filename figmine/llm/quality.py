@@ -5,7 +5,9 @@ chosen by the two bytes before the predicted one: a 5-gram, its suffixes down to
 contexts then lie in one shard, and shorter orders are tables of at most 65,536 and 256 entries.
 
 Scoring joins counts by shard: a chunk of documents sends each of its distinct 5-grams once to the
-shard, which answers with log probabilities; the chunk sums them over all bytes of each text.
+shard, which answers with log probabilities; the chunk sums them over all bytes of each text.  A shard's
+counts are bounded by the alphabet (at most 2^24 grams for one pair of bytes), its requests are not: every
+``REPLICA_DOCS`` documents there is one more replica of all shards, and a chunk asks one of them.
 Perplexity is per byte.  A language's threshold is a quantile of the perplexity of trusted documents
 in fold 0, which the model has not seen; languages with fewer than ``least`` of them use the quantile
 over all.
@@ -32,6 +34,8 @@ CHUNK_BYTES = 6 << 20
 #: bytes worked on at once: bounds the memory of a task
 SLICE = 2 << 20
 MAX_BROADCAST_IDS = 1_000_000
+MAX_BROADCAST_LANGUAGES = 100_000
+REPLICA_DOCS = 4_000_000
 _U = np.uint64
 
 
@@ -191,7 +195,7 @@ def _requests(table: pa.Table, shards: int) -> tuple[np.ndarray, np.ndarray]:
     return g[order], np.searchsorted(shard[order], np.arange(shards + 1))
 
 
-def log_probabilities(docs: DataFrame, model: DataFrame, common: Common, shards: int, carry: list[str]) -> DataFrame:
+def log_probabilities(docs: DataFrame, model: DataFrame, common: Common, shards: int, carry: list[str], replicas: int = 1) -> DataFrame:
     """``carry`` columns with ``n_bytes`` and ``log2_p`` of each text."""
     chunks = pack(docs, [*carry, "text"], CHUNK_BYTES)
     shared = docs.sparkSession.sparkContext.broadcast(common)
@@ -216,7 +220,9 @@ def log_probabilities(docs: DataFrame, model: DataFrame, common: Common, shards:
         return pa.table([asked["chunk"], asked["shard"], pa.array([to_bytes(p[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], names=["chunk", "shard", "log2_p"])
 
     asked = chunks.mapInArrow(ask, "shard int, chunk long, asked binary")
-    answers = model.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(answer, "chunk long, shard int, log2_p binary")
+    copies = model.withColumn("replica", F.explode(F.sequence(F.lit(0), F.lit(replicas - 1))))
+    asked = asked.withColumn("replica", F.pmod("chunk", F.lit(replicas)).cast("int"))
+    answers = copies.groupBy("shard", "replica").cogroup(asked.groupBy("shard", "replica")).applyInArrow(answer, "chunk long, shard int, log2_p binary")
 
     def add(key, docs_, got):
         out = []
@@ -260,15 +266,18 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, leas
     bound_batches(spark)
     shards = n_buckets(spark)
     base = docs.select("doc_id", "lang", "text")
+    replicas = -(-docs.count() // REPLICA_DOCS) or 1
     trusted = trusted_ids(labels)
     training = base.where(fold_column(F.col("doc_id")) != 0).join(trusted, F.col("doc_id") == F.col("trusted_id"), "left_semi")
     model = stored(count_shards(training, shards), "ngrams")
-    scored = stored(log_probabilities(base, model, common_tables(model), shards, ["doc_id", "lang"]), "scored")
+    scored = stored(log_probabilities(base, model, common_tables(model), shards, ["doc_id", "lang"], replicas), "scored")
     scored = scored.withColumn("perplexity", F.when(F.col("n_bytes") > 0, F.pow(F.lit(2.0), -F.col("log2_p") / F.col("n_bytes"))))
     unseen = scored.where((fold_column(F.col("doc_id")) == 0) & F.col("perplexity").isNotNull()).join(trusted, F.col("doc_id") == F.col("trusted_id"), "left_semi")
     limit = F.percentile_approx("perplexity", quantile, 10000)
     overall = unseen.agg(limit.alias("t")).first()["t"]
     by_lang = unseen.groupBy(F.col("lang").alias("of")).agg(limit.alias("own"), F.count("*").alias("n")).where(F.col("n") >= least)
     everyone = F.lit(float("inf") if overall is None else overall)
-    out = scored.join(F.broadcast(by_lang), scored["lang"].eqNullSafe(by_lang["of"]), "left").withColumn("threshold", F.coalesce("own", everyone))
+    by_lang = stored(by_lang, "languages")
+    by_lang = F.broadcast(by_lang) if by_lang.count() <= MAX_BROADCAST_LANGUAGES else by_lang
+    out = scored.join(by_lang, scored["lang"].eqNullSafe(by_lang["of"]), "left").withColumn("threshold", F.coalesce("own", everyone))
     return out.select("doc_id", "lang", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)).alias("keep"))

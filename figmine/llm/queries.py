@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from figmine.llm import decontaminate, jaccard, langid, line_dedup, media, mixing, quality, substring, toxicity, url_filter
-from figmine.llm.common import documents
+from figmine.llm.common import documents, stored
 
 LISTED_FROM = "2024-01-01"
 #: hosts that the list of op7_url_filter names outright
@@ -69,7 +69,7 @@ def dated_list(pages: DataFrame) -> DataFrame:
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     captures = pages.withColumn("fetched_at", F.expr(f"date_add(date'{LISTED_FROM}', cast(page_id % 365 as int))"))
-    return url_filter.url_filter(captures, dated_list(pages))
+    return url_filter.url_filter(captures, stored(dated_list(pages), "list"))
 
 
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,9 @@ A list is a table of dated entries ``kind`` ('domain' or 'path'), ``pattern``, `
 every capture is evaluated against those active when it was fetched: the latest entry among its host,
 the parent domains and the path prefixes decides.
 
+A list of up to ``max_broadcast`` intervals is broadcast.  Beyond that captures and list meet by key in a
+shuffle, which only keys that pass a broadcast bit table of the listed ones enter.
+
 Defined cases: two entries of a pattern on one day count as the removal; an addition of what is active
 goes on with the newer date; a null url or fetch date, or a url without a host, is never blocked;
 repeated captures (same id, url and date) give one row; entries with a null part are ignored; extra columns of
@@ -17,9 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from figmine.llm.common import stored
+
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
 PATH = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(/[^?#]*)"
 MAX_BROADCAST = 200_000
+#: words of 64 bits in the filter of a larger list: 16 MB as rows
+FILTER_WORDS = 1 << 20
 
 
 def host_of(url):
@@ -48,16 +55,35 @@ def validity(entries: DataFrame) -> DataFrame:
     return daily.withColumn("valid_to", nxt).where("action = 'add'").select("pattern_key", F.col("dated").alias("valid_from"), "valid_to")
 
 
+def _bits(key):
+    """Word and bit of a key in a table of ``FILTER_WORDS`` words of 64 bits."""
+    h = F.xxhash64(key)
+    return F.pmod(F.shiftright(h, 6), F.lit(FILTER_WORDS)), F.pmod(h, F.lit(64)).cast("int")
+
+
+def _listed(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """Those rows whose key may be on the list: a bit table of the list's keys, at most ``FILTER_WORDS`` rows,
+    is broadcast, so that keys of a third of all captures that no entry names never reach the shuffle."""
+    word, bit = _bits(F.col("pattern_key"))
+    table = spans.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("one")).groupBy("word").agg(F.bit_or("one").alias("bits"))
+    at, mine = _bits(F.col("key"))
+    return rows.withColumn("at", at).join(F.broadcast(table), (F.col("at") == F.col("word")) & (F.bit_get("bits", mine) == 1), "left_semi").drop("at")
+
+
 def url_filter(captures: DataFrame, entries: DataFrame, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """Per capture: page_id, host, fetched_at, blocked, matched (pattern key), listed_at."""
-    spans = validity(entries)
+    spans = stored(validity(entries), "intervals")
     small = spans.limit(max_broadcast + 1).count() <= max_broadcast
-    spans = F.broadcast(spans) if small else spans
     asked = captures.select("page_id", "url", "fetched_at")
-    rows = asked.select("page_id", host_of(F.col("url")).alias("host"), "fetched_at", "url", F.explode_outer(url_keys(F.col("url"))).alias("key"))
+    keys, when = url_keys(F.col("url")), ("page_id", "url", "fetched_at")
     active = (F.col("key") == F.col("pattern_key")) & (F.col("fetched_at") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("fetched_at") < F.col("valid_to")))
-    joined = rows.join(spans, active, "left")
     # a match sorts above none; the latest entry wins, then the longer and later pattern
-    found = F.max(F.when(F.col("pattern_key").isNotNull(), F.struct("valid_from", F.length("pattern_key").alias("size"), "pattern_key"))).alias("found")
-    verdict = joined.groupBy("page_id", "url", "fetched_at").agg(F.first("host").alias("host"), found)
-    return verdict.select("page_id", "host", "fetched_at", F.col("found").isNotNull().alias("blocked"), F.col("found.pattern_key").alias("matched"), F.col("found.valid_from").alias("listed_at"))
+    match = F.struct("valid_from", F.length("pattern_key").alias("size"), "pattern_key")
+    if small:
+        joined = asked.select(*when, F.explode_outer(keys).alias("key")).join(F.broadcast(spans), active, "left")
+        found = joined.select(*when, F.when(F.col("pattern_key").isNotNull(), match).alias("found"))
+    else:
+        hits = _listed(asked.select(*when, F.explode(keys).alias("key")), spans).join(spans, active).select(*when, match.alias("found"))
+        found = asked.select(*when, F.lit(None).cast(hits.schema["found"].dataType).alias("found")).unionByName(hits)
+    verdict = found.groupBy(*when).agg(F.max("found").alias("found"))
+    return verdict.select("page_id", host_of(F.col("url")).alias("host"), "fetched_at", F.col("found").isNotNull().alias("blocked"), F.col("found.pattern_key").alias("matched"), F.col("found.valid_from").alias("listed_at"))

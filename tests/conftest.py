@@ -1,5 +1,7 @@
 import os
+import shutil
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -12,13 +14,15 @@ os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, [os.environ.get(
 
 @pytest.fixture(scope="session")
 def spark():
+    shared = tempfile.mkdtemp(prefix="figmine-tests-")
     s = (
-        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
+        SparkSession.builder.master("local[4]").config("spark.checkpoint.dir", f"file://{shared}").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     s.sparkContext.setLogLevel("OFF")
     yield s
     s.stop()
+    shutil.rmtree(shared, ignore_errors=True)
 
 
 @pytest.fixture(scope="session")

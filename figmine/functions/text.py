@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from figmine import vocab
 
-FIGURE_START = r"(?i)\bFig(?:ure|\.)?\s+"
+#: all Unicode blanks, as a character class that reads the same in Java and RE2 (Java's ``\\s`` is ASCII)
+BLANK = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: the same, the quicker way in Java
+_SPACE = r"[\s\x1c-\x1f]"
+FIGURE_START = rf"(?i)\bFig(?:ure|\.)?[{BLANK}]+"
 NUMBER = r"[-−]?\d+"
 WORD3 = r"\b[a-zA-Z]{3,}\b"
 
 
 def strip(x: Column) -> Column:
-    return F.regexp_replace(x, r"^\s+|\s+$", "")
+    return F.regexp_replace(x, rf"(?U)^{_SPACE}+|{_SPACE}+$", "")
+
+
+def squeeze(x: Column) -> Column:
+    """Runs of blanks as one space."""
+    return F.regexp_replace(x, rf"(?U){_SPACE}+", " ")
 
 
 def let(x: Column, then) -> Column:
@@ -42,34 +53,34 @@ def last_dot(x: Column) -> Column:
 
 def clean_caption(raw: Column) -> Column:
     def first_sentence(t):
-        sentence = F.regexp_extract(F.substring(t, 51, 1 << 30), r"(?s)^(.*?\.)\s+[A-Z]", 1)
+        sentence = F.regexp_extract(F.substring(t, 51, 1 << 30), r"(?sU)^(.*?\.)\s+[A-Z]", 1)
         return let(sentence, lambda s: F.when((F.length(t) > 50) & (s != ""), F.concat(F.left(t, F.lit(50)), s)).otherwise(t))
 
     def bounded(t):
         head = F.left(t, F.lit(500))
         return F.when(F.length(t) <= 500, t).when(last_dot(head) > 100, F.left(head, last_dot(head) + 1)).otherwise(F.concat(head, F.lit("...")))
 
-    t = F.substring_index(F.regexp_extract(raw, r"(?is)(\bFig(?:ure|\.)?\s+.*)$", 1), "\n\n", 1)
+    t = F.substring_index(F.regexp_extract(raw, rf"(?is)(\bFig(?:ure|\.)?[{BLANK}]+.*)$", 1), "\n\n", 1)
     t = let(let(t, first_sentence), bounded)
     for noise in (r"\s+\([a-z]\)\s*$", r"\s+\(a\)\s*\(b\)\s*\(c\)\s*$", r"\s*=\s*=\s*$", r"\s*=\s*\([a-z]\)\s*\([a-z]\)\s*=\s*$"):
-        t = F.regexp_replace(t, noise, "")
-    t = strip(F.regexp_replace(t, r"\s+", " "))
+        t = F.regexp_replace(t, "(?U)" + noise, "")
+    t = strip(squeeze(t))
     return F.when(F.coalesce(raw, F.lit("")) == "", F.lit("")).when(raw.rlike(FIGURE_START), t).otherwise(F.left(raw, F.lit(500)))
 
 
 def figure_number(caption: Column) -> Column:
-    arabic = F.coalesce(*(F.nullif(F.regexp_extract(caption, p, 1), F.lit("")).try_cast("int") for p in (r"(?i)\bFigure\s+(\d+)", r"(?i)\bFig\.?\s+(\d+)")))
-    roman = F.upper(F.regexp_extract(caption, r"(?i)\b(?:Figure|Fig\.?)\s+([IVX]+)", 1))
+    arabic = F.coalesce(*(F.nullif(F.regexp_extract(caption, p, 1), F.lit("")).try_cast("int") for p in (rf"(?i)\bFigure[{BLANK}]+(\d+)", rf"(?i)\bFig\.?[{BLANK}]+(\d+)")))
+    roman = F.upper(F.regexp_extract(caption, rf"(?i)\b(?:Figure|Fig\.?)[{BLANK}]+([IVX]+)", 1))
     table = F.create_map(*(F.lit(v) for pair in vocab.ROMAN.items() for v in pair))
     return F.coalesce(arabic, F.try_element_at(table, roman))
 
 
 def figure_number_simple(caption: Column) -> Column:
     """The variant without roman numerals, where the short form needs its period."""
-    return F.coalesce(*(F.nullif(F.regexp_extract(caption, p, 1), F.lit("")).try_cast("int") for p in (r"(?i)Figure\s+(\d+)", r"(?i)Fig\.\s*(\d+)")))
+    return F.coalesce(*(F.nullif(F.regexp_extract(caption, p, 1), F.lit("")).try_cast("int") for p in (rf"(?i)Figure[{BLANK}]+(\d+)", rf"(?i)Fig\.[{BLANK}]*(\d+)")))
 
 
-PREFIX = r"(?i)^(\s*(?:Figure|Fig\.?)\s+\d+[a-z]?(?:\([a-z]\))?(?:-[a-z])?[:.\s]+|\s*(?:Figure|Fig\.?)\s+[IVX]+[:.\s]+)"
+PREFIX = rf"(?i)^([{BLANK}]*(?:Figure|Fig\.?)[{BLANK}]+\d+[a-z]?(?:\([a-z]\))?(?:-[a-z])?[:.{BLANK}]+|[{BLANK}]*(?:Figure|Fig\.?)[{BLANK}]+[IVX]+[:.{BLANK}]+)"
 
 
 def remove_figure_prefix(text: Column, start: Column, end: Column) -> Column:
@@ -98,7 +109,7 @@ def normalize_gates(gates: Column, names: dict | None = None) -> Column:
 
 
 def normalize_text(x: Column) -> Column:
-    return strip(F.regexp_replace(F.lower(x), r"\s+", " "))
+    return strip(squeeze(F.lower(x)))
 
 
 def combine_text(*parts: Column) -> Column:
@@ -120,24 +131,41 @@ def is_matrix_text(x: Column) -> Column:
     digits = F.length(x) - F.length(F.regexp_replace(x, NUMBER, ""))
     numbers, words = F.regexp_count(x, F.lit(NUMBER)), F.regexp_count(x, F.lit(WORD3))
     symbols = F.regexp_count(x, F.lit(r"[=+\-−×÷√∑∏∫]"))
-    matrix = (digits > solid * F.lit(0.4)) | ((numbers > 10) & (words < 5)) | ((symbols > 5) & (words < 3)) | x.rlike(r"(\d+\s+){4,}")
+    matrix = (digits > solid * F.lit(0.4)) | ((numbers > 10) & (words < 5)) | ((symbols > 5) & (words < 3)) | x.rlike(rf"(\d+[{BLANK}]+){{4,}}")
     return F.coalesce((F.length(x) >= 10) & (solid > 0) & matrix, F.lit(False))
 
 
+def _literals(pattern: str) -> list[str] | None:
+    """The texts that a pattern of plain words can match (an optional space gives two), or None."""
+    plain = pattern.replace(r"\b", "")
+    out = [plain.replace(" ?", " "), plain.replace(" ?", "")] if " ?" in plain else [plain]
+    return out if all(c.isalnum() or c == " " for t in out for c in t) else None
+
+
+def pattern_hit(low: Column, pattern: str) -> Column:
+    """Whether a pattern matches: the regular expression runs only on texts that contain its words."""
+    words = _literals(pattern)
+    found = low.rlike(pattern)
+    return found if words is None else reduce(lambda a, b: a | b, (F.contains(low, F.lit(w)) for w in words)) & found
+
+
 def pattern_hits(x: Column, patterns) -> Column:
     """First match text of each pattern that matches, in list order."""
-    each = lambda low: F.array(*(F.regexp_extract(low, p if "(" in p else f"({p})", 1) for p in patterns))
-    return F.filter(let(F.lower(x), each), lambda m: m != "")
+    each = lambda low: F.array(*(F.when(pattern_hit(low, p), F.regexp_extract(low, p if "(" in p else f"({p})", 1)) for p in patterns))
+    return F.array_compact(let(F.lower(x), each))
 
 
-def caption_filter(caption: Column, accept=vocab.ACCEPT_PATTERNS, reject=vocab.REJECT_PATTERNS) -> Column:
-    def verdict(hits):
-        bad, good = hits["bad"], hits["good"]
-        decision = F.when(F.size(bad) > 0, "REJECT").when(F.size(good) > 0, "ACCEPT").otherwise("PASS")
-        words = F.when(F.size(bad) > 0, bad).otherwise(good)
-        return F.struct(decision.alias("decision"), F.when(decision == "PASS", "LOW").otherwise("HIGH").alias("confidence"), words.alias("matched"))
+def caption_decision(caption: Column, accept=vocab.ACCEPT_PATTERNS, reject=vocab.REJECT_PATTERNS) -> Column:
+    """REJECT before ACCEPT before PASS, without the list of matches."""
+    low = F.lower(caption)
+    any_ = lambda patterns: reduce(lambda a, b: a | b, (pattern_hit(low, p) for p in patterns))
+    return F.when(any_(reject), "REJECT").when(any_(accept), "ACCEPT").otherwise("PASS")
 
-    return let(F.struct(pattern_hits(caption, reject).alias("bad"), pattern_hits(caption, accept).alias("good")), verdict)
+
+def caption_filter(caption: Column, accept=vocab.ACCEPT_PATTERNS, reject=vocab.REJECT_PATTERNS) -> Column:
+    decision = caption_decision(caption, accept, reject)
+    matched = F.when(decision == "REJECT", pattern_hits(caption, reject)).when(decision == "ACCEPT", pattern_hits(caption, accept)).otherwise(F.array().cast("array<string>"))
+    return F.struct(decision.alias("decision"), F.when(decision == "PASS", "LOW").otherwise("HIGH").alias("confidence"), matched.alias("matched"))
 
 
 def first_label(text: Column, pairs) -> Column:
@@ -182,14 +210,14 @@ def figure_references(full_text: Column, n: Column) -> Column:
     """At most five sentences that mention figure n, pattern by pattern.  A match can only begin where a
     sentence does; saying so keeps the search linear in texts without full stops."""
     n = n.cast("string")
-    forms = (("[^.]*Figure\\s+", "\\b[^.]*\\."), ("[^.]*Fig\\.\\s*", "\\b[^.]*\\."), ("[^.]*shown in Fig\\.\\s*", "[^.]*\\."), ("[^.]*illustrated in Figure\\s+", "[^.]*\\."))
+    forms = ((f"[^.]*Figure[{BLANK}]+", "\\b[^.]*\\."), (f"[^.]*Fig\\.[{BLANK}]*", "\\b[^.]*\\."), (f"[^.]*shown in Fig\\.[{BLANK}]*", "[^.]*\\."), (f"[^.]*illustrated in Figure[{BLANK}]+", "[^.]*\\."))
     found = F.concat(*(F.regexp_extract_all(full_text, F.concat(F.lit("(?i)(?<![^.])" + a), n, F.lit(b)), F.lit(0)) for a, b in forms))
     return limit_references(F.filter(F.transform(found, strip), lambda t: sane_reference(t, n)))
 
 
 def sane_reference(text: Column, n: Column) -> Column:
     """Not over 500 characters, which is a parsing error, and not the bare name of the figure."""
-    bare = F.concat(F.lit("(?i)^Figure\\s+"), n.cast("string"), F.lit("\\s*[:.]?\\s*$"))
+    bare = F.concat(F.lit(f"(?i)^Figure[{BLANK}]+"), n.cast("string"), F.lit(f"[{BLANK}]*[:.]?[{BLANK}]*$"))
     return (F.length(text) <= 500) & ~F.regexp_like(text, bare)
 
 
@@ -213,9 +241,9 @@ def descriptions(caption: Column, surrounding: Column, references: Column, full:
 def text_position(full: Column, part: Column) -> Column:
     """(start, end) of a part in a text: exact, with blanks normalised, with flexible blanks, or by
     its first 50 characters.  Lengths count code points."""
-    clean = strip(F.regexp_replace(part, r"\s+", " "))
+    clean = strip(squeeze(part))
     escape = lambda x: F.regexp_replace(F.regexp_replace(x, r"([^a-zA-Z0-9_ ])", r"\\$1"), " ", r"\\s+")
-    flexible = lambda x: F.regexp_substr(full, F.concat(F.lit("(?i)"), escape(x)))
+    flexible = lambda x: F.regexp_substr(full, F.concat(F.lit("(?iuU)"), escape(x)))
     span = lambda start, end: F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"))
     exact, squeezed = F.instr(full, part), F.instr(full, clean)
     loose, head = flexible(clean), flexible(F.left(clean, F.lit(50)))

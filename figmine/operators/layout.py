@@ -37,7 +37,7 @@ def caption_join(figures: DataFrame, blocks: DataFrame, radius: float = 200.0, o
     return first_by(near, FIGURE, "gap", "block_no").select(*FIGURE, "block_no", "caption", "gap")
 
 
-EQUATION = r"(?i)^\s*(?:\((\d+(?:\.\d+)?)\)|Eq\.\s*\((\d+(?:\.\d+)?)\)|Equation\s*\((\d+(?:\.\d+)?)\)|\[(\d+(?:\.\d+)?)\])\s*$"
+EQUATION = r"(?iU)^\s*(?:\((\d+(?:\.\d+)?)\)|Eq\.\s*\((\d+(?:\.\d+)?)\)|Equation\s*\((\d+(?:\.\d+)?)\)|\[(\d+(?:\.\d+)?)\])\s*$"
 
 
 def equation_join(figures: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -82,7 +82,7 @@ def surrounding_join(figures: DataFrame, blocks: DataFrame, captions: DataFrame)
     return best.select(*FIGURE, "block_no", "tier", T.truncate_sentence(text, 600, 100).alias("surrounding"))
 
 
-MENTION = r"(?i)\bfig(?:\.\s*|\s+|ure\s*)(\d+)\b"
+MENTION = rf"(?i)\bfig(?:\.[{T.BLANK}]*|[{T.BLANK}]+|ure[{T.BLANK}]*)(\d+)\b"
 
 
 def figure_reference_join(figures: DataFrame, blocks: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 CAPTIONS = """SELECT doc_id, lang, lead, concat(lead, replace(text, chr(10), ' ')) AS caption, text AS body FROM (SELECT doc_id, lang, text,
   concat('Figure ', CAST(doc_id % 9 + 1 AS STRING), ': ',
   CASE doc_id % 7 WHEN 0 THEN 'Quantum circuit for ' WHEN 1 THEN 'Histogram of ' WHEN 2 THEN 'QAOA circuit and '
-    WHEN 3 THEN 'Plot of quantum circuit ' WHEN 4 THEN 'Surface code decoder ' WHEN 5 THEN 'Grover search ' ELSE '' END) AS lead FROM {documents})"""
+    WHEN 3 THEN 'Plot of quantum circuit ' WHEN 4 THEN 'Surface\u00a0code\u2003 decoder\u3000' WHEN 5 THEN 'Grover search ' ELSE '' END) AS lead FROM {documents})"""
 IDS = """SELECT doc_id AS line_no, CASE doc_id % 8 WHEN 0 THEN '' WHEN 1 THEN '# comment'
   WHEN 2 THEN concat('arXiv:', CAST(2401 + doc_id % 12 AS STRING), '.', lpad(CAST(doc_id % 500 AS STRING), 5, '0'))
   WHEN 3 THEN concat('  arxiv:quant-ph/', lpad(CAST(doc_id % 300 AS STRING), 7, '0'), ' ')
@@ -40,7 +40,8 @@ RAW_DUCKDB = """SELECT doc_id, i - 1 AS block_no, trim(line) AS line FROM (SELEC
 LAYOUT = """b AS (SELECT doc_id, CAST(block_no AS INT) AS block_no, CAST(floor(block_no / 8) AS INT) + 1 AS page,
   concat(CASE WHEN block_no % 4 = 1 THEN concat('Figure ', CAST(CAST(floor(block_no / 4) AS INT) + 1 AS STRING), ': ')
     WHEN block_no % 4 = 3 THEN concat('As shown in Fig. ', CAST(CAST(floor(block_no / 4) AS INT) + 1 AS STRING), ', ') ELSE '' END,
-    CASE WHEN block_no % 16 = 6 THEN concat('(', CAST(block_no AS STRING), ')') ELSE line END) AS text FROM raw),
+    CASE WHEN block_no % 8 = 2 AND doc_id % 3 = 0 THEN concat(CASE doc_id % 4 WHEN 0 THEN '(' WHEN 1 THEN ' Eq. (' WHEN 2 THEN '[' ELSE 'Equation (' END, CAST(block_no + 1 AS STRING),
+      CASE doc_id % 5 WHEN 0 THEN '.5' ELSE '' END, CASE doc_id % 4 WHEN 2 THEN ']' ELSE ')' END) ELSE line END) AS text FROM raw),
 g AS (SELECT *, 72.0E0 + (block_no % 2) * 40 AS x0, 60.0E0 + (block_no % 8) * 80 AS y0, 372.0E0 + (block_no % 2) * 40 AS x1,
   80.0E0 + (block_no % 8) * 80 + length(text) % 40 AS y1 FROM b),
 f AS (SELECT DISTINCT doc_id, page, k AS fig_no, 80.0E0 AS fx0, 60.0E0 + 240 * k AS fy0, 360.0E0 AS fx1, 130.0E0 + 240 * k AS fy1,

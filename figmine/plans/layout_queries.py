@@ -72,7 +72,10 @@ def caption_join(spark, sf):
     return L.caption_join(figures, blocks)
 
 
-@query(rf"""WITH {LAYOUT_SQL}, e AS (SELECT *, regexp_extract(text, '^\s*\((\d+(?:\.\d+)?)\)\s*$', 1) AS equation FROM g WHERE regexp_matches(text, '^\s*\((\d+(?:\.\d+)?)\)\s*$')),
+_EQUATION = L.EQUATION.replace("(?iU)", "(?i)")
+
+
+@query(rf"""WITH {LAYOUT_SQL}, e AS (SELECT *, {" || ".join(f"regexp_extract(text, '{_EQUATION}', {i})" for i in (1, 2, 3, 4))} AS equation FROM g WHERE regexp_matches(text, '{_EQUATION}')),
 n AS (SELECT f.doc_id, f.page, f.fig_no, block_no, equation, least(CASE WHEN x0 >= fx1 - 30 THEN abs(x0 - fx1) ELSE 999 END, CASE WHEN x1 <= fx0 + 30 THEN abs(fx0 - x1) ELSE 999 END, CASE WHEN y0 >= fy1 - 30 THEN abs(y0 - fy1) ELSE 999 END) AS gap
   FROM f JOIN e ON f.doc_id = e.doc_id AND f.page = e.page WHERE (((x0 >= fx1 - 30 AND abs(x0 - fx1) < 150) OR (x1 <= fx0 + 30 AND abs(fx0 - x1) < 150)) AND (y0 + y1) / 2 >= fy0 + (fy1 - fy0) * 0.25E0)
     OR (y0 >= fy1 - 30 AND abs(y0 - fy1) < 100 AND x0 >= fx0 - 50 AND x0 <= fx1 + 50))

@@ -312,7 +312,7 @@ dd AS (SELECT *, tier IN ('caption_whitelist', 'dinov2_high') AS is_target, roun
 
 def decided(spark, sf):
     """Cheap tests first: size and caption decide natively; only undecided rows look at the score."""
-    c = made(spark, sf, CAPTIONS).select("doc_id", "caption", T.caption_filter(F.col("caption"))["decision"].alias("decision"), T.phrase_topic(F.col("caption"))["category"].alias("category"))
+    c = made(spark, sf, CAPTIONS).select("doc_id", "caption", T.caption_decision(F.col("caption")).alias("decision"), T.phrase_topic(F.col("caption"))["category"].alias("category"))
     col = F.col
     return made(spark, sf, FIGURES).join(c, "doc_id").withColumn("r", K.decide(col("w"), col("h"), col("readable"), col("decision"), col("has_gates"), col("score"))).select("*", "r.*").drop("r")
 

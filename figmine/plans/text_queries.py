@@ -11,7 +11,9 @@ from figmine.plans.fixtures import CAPTIONS, IDS, in_sql, made
 from figmine.plans.registry import query
 
 C, I = in_sql(CAPTIONS), in_sql(IDS)
-STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
+#: Unicode blanks spelled out, as RE2's own class is ASCII; braces doubled for str.format
+_B = T.BLANK.replace("{", "{{").replace("}", "}}")
+STRIP = f"regexp_replace({{}}, '^[{_B}]+|[{_B}]+$', '', 'g')"
 CLEAN_ID = STRIP.format(f"regexp_replace(regexp_replace(regexp_replace({STRIP.format('raw')}, '^arXiv:', ''), '^arxiv:', ''), '^ARXIV:', '')")
 VALID_ID = r"(regexp_matches({0}, '^\d{{4}}\.\d{{4,5}}$') OR regexp_matches({0}, '^[a-z\-]+/\d{{7}}$'))"
 LINES = f"""l AS (SELECT line_no, raw, {CLEAN_ID} AS id FROM ({I})),
@@ -90,7 +92,7 @@ CAPTION_SQL = r"""
 s AS (SELECT doc_id, caption || chr(10) || chr(10) || 'x' AS raw FROM (%s)),
 a AS (SELECT *, split_part(regexp_extract(raw, '(?is)(\bFig(?:ure|\.)?\s+.*)$', 1), chr(10) || chr(10), 1) AS t FROM s),
 b AS (SELECT *, CASE WHEN length(t) > 50 AND regexp_extract(substr(t, 51), '(?s)^(.*?\.)\s+[A-Z]', 1) <> '' THEN left(t, 50) || regexp_extract(substr(t, 51), '(?s)^(.*?\.)\s+[A-Z]', 1) ELSE t END AS u FROM a),
-c AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(%s, '\s+\([a-z]\)\s*$', ''), '\s+\(a\)\s*\(b\)\s*\(c\)\s*$', ''), '\s*=\s*=\s*$', ''), '\s*=\s*\([a-z]\)\s*\([a-z]\)\s*=\s*$', ''), '\s+', ' ', 'g')) AS clean FROM b)""" % (C, BOUNDED)
+c AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(%s, '\s+\([a-z]\)\s*$', ''), '\s+\(a\)\s*\(b\)\s*\(c\)\s*$', ''), '\s*=\s*=\s*$', ''), '\s*=\s*\([a-z]\)\s*\([a-z]\)\s*=\s*$', ''), '[%s]+', ' ', 'g')) AS clean FROM b)""" % (C, BOUNDED, T.BLANK)
 
 
 @query(f"WITH {CAPTION_SQL} SELECT doc_id, clean AS caption FROM c")
@@ -141,10 +143,10 @@ def keyword_stats(spark, sf):
 
 @query(f"WITH {FILTERED} SELECT decision, count(*) AS n FROM r GROUP BY decision")
 def stage_stats(spark, sf):
-    return made(spark, sf, CAPTIONS).select(T.caption_filter(F.col("caption"))["decision"].alias("decision")).groupBy("decision").agg(F.count("*").alias("n"))
+    return made(spark, sf, CAPTIONS).select(T.caption_decision(F.col("caption")).alias("decision")).groupBy("decision").agg(F.count("*").alias("n"))
 
 
-NORM = STRIP.format(r"regexp_replace(lower({}), '\s+', ' ', 'g')")
+NORM = STRIP.replace("{}", f"regexp_replace(lower({{}}), '[{_B}]+', ' ', 'g')")
 
 
 def _topic_sql(x):
@@ -162,7 +164,7 @@ def phrase_match_join(spark, sf):
 
 @query(f"WITH {FILTERED} SELECT decision, {_topic_sql(NORM.format('caption'))} AS category, count(*) AS n FROM r GROUP BY 1, 2")
 def topic_decisions(spark, sf):
-    x = made(spark, sf, CAPTIONS).select(T.caption_filter(F.col("caption"))["decision"].alias("decision"), T.phrase_topic(F.col("caption"))["category"].alias("category"))
+    x = made(spark, sf, CAPTIONS).select(T.caption_decision(F.col("caption")).alias("decision"), T.phrase_topic(F.col("caption"))["category"].alias("category"))
     return x.groupBy("decision", "category").agg(F.count("*").alias("n"))
 
 
@@ -209,7 +211,7 @@ def figure_pattern_predicate(spark, sf):
     return made(spark, sf, CAPTIONS).select("doc_id", F.expr(VARIED).rlike(T.FIGURE_START).alias("ok"))
 
 
-@query(rf"SELECT doc_id, length(caption) >= 30 AND len(regexp_extract_all(regexp_replace(caption, '[^\x00-\x7F]', '0', 'g'), '\b[a-zA-Z]{{3,}}\b')) >= 5 AS long_enough FROM ({C})")
+@query(rf"SELECT doc_id, length(caption) >= 30 AND len(regexp_extract_all(regexp_replace(regexp_replace(caption, '[{T.BLANK}]', ' ', 'g'), '[^\x00-\x7F]', '0', 'g'), '\b[a-zA-Z]{{3,}}\b')) >= 5 AS long_enough FROM ({C})")
 def min_length_filters(spark, sf):
     return made(spark, sf, CAPTIONS).select("doc_id", ((F.length("caption") >= 30) & (F.regexp_count(F.col("caption"), F.lit(T.WORD3)) >= 5)).alias("long_enough"))
 
@@ -230,12 +232,27 @@ def classify_problem(spark, sf):
     return made(spark, sf, CAPTIONS).select("doc_id", F.when(F.length(F.coalesce("body", F.lit(""))) == 0, "no_text").when(known, "phrase").otherwise("similarity").alias("method"))
 
 
-@query()
+_FULL = "concat(caption, '. As shown in Fig. 2 we see. ', coalesce(body, ''), '. Illustrated in Figure 2, and')"
+_REFERENCE = " || ".join(f"regexp_extract_all(whole, '(?i)[^.]*{p}[^.]*\\.')" for p in (rf"Figure[{T.BLANK}]+2\b", rf"Fig\.[{T.BLANK}]*2\b", rf"shown in Fig\.[{T.BLANK}]*2", rf"illustrated in Figure[{T.BLANK}]+2"))
+
+
+@query(f"""SELECT doc_id, list_filter(list_transform({_REFERENCE}, lambda t: {STRIP.format('t')}), lambda t: length(t) <= 500 AND NOT regexp_matches(t, '(?i)^Figure[{T.BLANK}]+2[{T.BLANK}]*[:.]?[{T.BLANK}]*$'))[1:5] AS refs
+FROM (SELECT doc_id, {_FULL} AS whole FROM ({C}))""")
 def find_figure_references_text(spark, sf):
-    x = made(spark, sf, CAPTIONS).withColumn("full", F.concat("caption", F.lit(". As shown in Fig. 2 we see. "), F.coalesce("body", F.lit(""))))
-    return x.select("doc_id", T.figure_references(F.col("full"), F.lit(2)).alias("refs"))
+    return made(spark, sf, CAPTIONS).select("doc_id", T.figure_references(F.expr(_FULL), F.lit(2)).alias("refs"))
+
+
+#: a part of each body as it stands, with doubled blanks, in capitals, or with another end
+PART = """CASE doc_id % 4 WHEN 0 THEN substr(body, 11, 40) WHEN 1 THEN replace(substr(body, 11, 40), ' ', '  ') WHEN 2 THEN replace(upper(replace(substr(body, 11, 40), 'ß', '§')), '§', 'ß')
+  ELSE concat(substr(body, 11, 60), ' and an end that no text has') END"""
+_LOOSE = "regexp_extract(body, '(?i)' || replace(regexp_escape({}), '\\ ', '[" + _B + "]+'))"
 
 
-@query(f"""SELECT doc_id, CASE WHEN p <> '' THEN instr(body, p) - 1 END AS start FROM (SELECT doc_id, body, substr(body, 11, 40) AS p FROM ({C}))""")
+@query(f"""WITH p AS (SELECT doc_id, body, {PART} AS part FROM ({C})), c AS (SELECT *, {STRIP.format(f"regexp_replace(part, '[{T.BLANK}]+', ' ', 'g')")} AS clean FROM p),
+l AS (SELECT *, {_LOOSE.format('clean')} AS loose, {_LOOSE.format('left(clean, 50)')} AS head FROM c),
+s AS (SELECT *, CASE WHEN coalesce(part, '') = '' OR coalesce(body, '') = '' THEN NULL WHEN contains(body, part) THEN 'exact' WHEN contains(body, clean) THEN 'blanks' WHEN loose <> '' THEN 'loose' WHEN length(clean) > 50 AND head <> '' THEN 'head' END AS way FROM l)
+SELECT doc_id, CAST(instr(body, CASE way WHEN 'exact' THEN part WHEN 'blanks' THEN clean WHEN 'loose' THEN loose WHEN 'head' THEN head END) - 1 AS INT) AS begins,
+  CAST(CASE way WHEN 'exact' THEN instr(body, part) - 1 + length(part) WHEN 'blanks' THEN instr(body, clean) - 1 + length(clean) WHEN 'loose' THEN instr(body, loose) - 1 + length(loose)
+    WHEN 'head' THEN least(instr(body, head) - 1 + length(clean), length(body)) END AS INT) AS ends FROM s""")
 def find_text_position(spark, sf):
-    return made(spark, sf, CAPTIONS).select("doc_id", T.text_position(F.col("body"), F.substring("body", 11, 40))["start"].alias("start"))
+    return made(spark, sf, CAPTIONS).select("doc_id", T.text_position(F.col("body"), F.expr(PART)).alias("p")).select("doc_id", F.col("p.start").alias("begins"), F.col("p.end").alias("ends"))

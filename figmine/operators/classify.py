@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,36 +26,149 @@ def centroid_scores(vectors: DataFrame, centroids: DataFrame) -> DataFrame:
     return d.withColumn("centroid_score", F.when(F.col("d0") + F.col("d1") > 0, F.col("d0") / (F.col("d0") + F.col("d1"))).otherwise(0.5)).drop("c1", "c0")
 
 
-def knn(queries: DataFrame, references: DataFrame, k: int = 10, block: int = 4096) -> DataFrame:
-    """Exact nearest references by L2, ties by id: ``vec_id, ref_id, label, distance, rank``.
+_NEAR = "vec_id long, ref_id long, label int, d2 double"
+
 
-    References are cut into blocks of ``block`` rows; every query meets every block in numpy and keeps
-    its k best there, and the k best of the blocks give the answer: nothing quadratic is shuffled and no
-    side must fit in memory as a whole."""
-    n = references.count()
-    blocks = max(1, -(-n // block))
-    refs = references.select(F.col("vec_id").alias("ref_id"), F.col("embedding").alias("ref"), "label").withColumn("blk", F.pmod(F.xxhash64("ref_id"), F.lit(blocks)))
-    asked = queries.select("vec_id", "embedding").withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-
-    def nearest(key, q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(r):
-            return pd.DataFrame({"vec_id": [], "ref_id": [], "label": [], "d2": []}).astype({"vec_id": "int64", "ref_id": "int64", "label": "int32", "d2": "float64"})
-        r = r.sort_values("ref_id")
-        b = np.stack(r["ref"].to_numpy()).astype(np.float64)
+def _nearest(k: int):
+    """The k nearest references of each query within one group, ties by id."""
+
+    def run(key, asked: pa.Table, known: pa.Table) -> pa.Table:
+        names = ("vec_id", "ref_id", "label", "d2")
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.float64())
+        if not asked.num_rows or not known.num_rows:
+            return pa.table([pa.array([], t) for t in kinds], names=names)
+        known = known.sort_by("ref_id")
+        matrix = lambda t, c: t[c].combine_chunks().flatten().to_numpy().astype(np.float64).reshape(t.num_rows, -1)
+        a, b = matrix(asked, "embedding"), matrix(known, "ref")
+        ids, labels = known["ref_id"].to_numpy(), known["label"].to_numpy()
+        # candidates by a matrix product, then the distances themselves: no cancellation in what is returned
+        rough = (b * b).sum(axis=1)[None, :] - 2 * a @ b.T
+        wide = min(len(b), k + 16)
+        part = np.sort(np.argpartition(rough, wide - 1, axis=1)[:, :wide], axis=1)
+        cut = np.take_along_axis(rough, part, 1).max(axis=1)
+        d2 = np.stack([((b[j] - x) ** 2).sum(axis=1) for j, x in zip(part, a, strict=True)])
         out = []
-        for i in range(0, len(q), 1024):
-            a = np.stack(q["embedding"].iloc[i : i + 1024].to_numpy()).astype(np.float64)
-            d2 = np.stack([((b - x) ** 2).sum(axis=1) for x in a])
-            top = np.argsort(d2, axis=1, kind="stable")[:, :k]
-            ids = np.repeat(q["vec_id"].iloc[i : i + 1024].to_numpy(), top.shape[1])
-            out.append(pd.DataFrame({"vec_id": ids, "ref_id": r["ref_id"].to_numpy()[top.ravel()], "label": r["label"].to_numpy()[top.ravel()], "d2": np.take_along_axis(d2, top, 1).ravel()}))
-        return pd.concat(out)
-
-    near = asked.groupBy("blk").cogroup(refs.groupBy("blk")).applyInPandas(nearest, "vec_id long, ref_id long, label int, d2 double")
+        for i in range(len(a)):
+            j, d = part[i], d2[i]
+            top = np.argsort(np.round(d, 9), kind="stable")[:k]
+            scale = 1e-9 * (1 + (a[i] ** 2).sum() + abs(cut[i]))
+            if wide < len(b) and d[top[-1]] >= cut[i] + (a[i] ** 2).sum() - scale:  # ties may reach beyond: look at all
+                j, d = np.arange(len(b)), ((b - a[i]) ** 2).sum(axis=1)
+                top = np.argsort(np.round(d, 9), kind="stable")[:k]
+            out.append((j[top], d[top]))
+        rows = np.concatenate([x for x, _ in out])
+        asked_ids = np.repeat(asked["vec_id"].to_numpy(), [len(x) for x, _ in out])
+        return pa.table([pa.array(x, t) for x, t in zip((asked_ids, ids[rows], labels[rows], np.concatenate([d for _, d in out])), kinds, strict=True)], names=names)
+
+    return run
+
+
+def _ranked(near: DataFrame, k: int) -> DataFrame:
     ranked = near.withColumn("rank", F.row_number().over(W.partitionBy("vec_id").orderBy(F.round("d2", 9), "ref_id")))
     return ranked.where(F.col("rank") <= k).select("vec_id", "ref_id", "label", F.sqrt("d2").alias("distance"), "rank")
 
 
+def _sides(queries: DataFrame, references: DataFrame) -> tuple[DataFrame, DataFrame]:
+    asked = queries.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"))
+    known = references.select(F.col("vec_id").alias("ref_id"), F.col("embedding").cast("array<float>").alias("ref"), F.col("label").cast("int").alias("label"))
+    return asked, known
+
+
+def knn(queries: DataFrame, references: DataFrame, k: int = 10, block: int = 4096) -> DataFrame:
+    """Exact nearest references by L2, ties by id: ``vec_id, ref_id, label, distance, rank``.
+
+    Both sides are cut into blocks of about ``block`` rows and every pair of blocks is one group, so a
+    group holds two blocks, whatever the tables.  Each side is shuffled once for every block of the
+    other: 2 |Q| |R| / block rows.  That is the cost of an exact answer; ``knn_indexed`` asks fewer pairs."""
+    asked, known = _sides(queries, references)
+    blocks = lambda df: max(1, -(-df.count() // block))
+    n_q, n_r = blocks(asked), blocks(known)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asked = asked.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(n_q)).cast("int")).withColumn("rb", every(n_r))
+    known = known.withColumn("rb", F.pmod(F.xxhash64("ref_id"), F.lit(n_r)).cast("int")).withColumn("qb", every(n_q))
+    return _ranked(asked.groupBy("qb", "rb").cogroup(known.groupBy("qb", "rb")).applyInArrow(_nearest(k), _NEAR), k)
+
+
+#: rows that the index is fitted on, at most, and its cells, at most
+SAMPLE_ROWS, MOST_CELLS = 20_000, 4096
+
+
+def fit_cells(references: DataFrame, cells: int, k: int = 10, target: float = 0.95, sample: int = SAMPLE_ROWS, rounds: int = 8) -> tuple[np.ndarray, int]:
+    """Centres of ``cells`` cells by k-means on at most about ``sample`` rows, drawn by a hash of the id, and
+    how many cells a query must ask so that, within the sample, it finds ``target`` of its k neighbours."""
+    share = min(1.0, sample / max(1, references.count()))
+    drawn = references.where((F.lit(share) >= 1) | (F.xxhash64("vec_id").cast("double") < F.lit(share * 2.0**64 - 2.0**63)))
+    rows = drawn.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding")).orderBy("vec_id").toArrow()
+    if not rows.num_rows:
+        return np.zeros((0, 0)), 0
+    x = rows["embedding"].combine_chunks().flatten().to_numpy().astype(np.float64).reshape(rows.num_rows, -1)
+    centres = x[np.random.default_rng(1).permutation(len(x))[:cells]]
+    for _ in range(rounds):
+        near = _cells_of(x, centres, 1)[:, 0]
+        count = np.bincount(near, minlength=len(centres))
+        total = np.zeros_like(centres)
+        np.add.at(total, near, x)
+        centres = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], centres)
+    home, asks = _cells_of(x, centres, 1)[:, 0], x[:: max(1, len(x) // 500)]
+    d = (x * x).sum(axis=1)[None, :] - 2 * asks @ x.T
+    near = np.argpartition(d, min(k, len(x)) - 1, axis=1)[:, :k]
+    order = np.argsort(_cells_of(asks, centres, len(centres)), axis=1)  # place of each cell in a query's order
+    places = np.sort(np.take_along_axis(order, home[near], 1).ravel())
+    return centres, int(places[min(len(places) - 1, int(target * len(places)))]) + 1
+
+
+def _cells_of(x: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
+    """The n nearest cells of each row, nearest first."""
+    n = min(n, len(centres))
+    d = (centres * centres).sum(axis=1)[None, :] - 2 * x @ centres.T
+    near = np.argpartition(d, n - 1, axis=1)[:, :n]
+    return np.take_along_axis(near, np.argsort(np.take_along_axis(d, near, 1), axis=1, kind="stable"), 1)
+
+
+def knn_indexed(queries: DataFrame, references: DataFrame, k: int = 10, cells: int | None = None, probes: int | None = None, block: int = 4096) -> DataFrame:
+    """As ``knn``, by an inverted file: every reference lies in the cell of its nearest centre, and a query
+    asks its ``probes`` nearest cells (by default as many as the fit found enough).  Centres are fitted on a
+    bounded sample, all rows are indexed, and cells larger than ``block`` are split, so that no group grows.  Neighbours in cells that were not asked
+    are missed: ``recall`` measures how many."""
+    spark = queries.sparkSession
+    asked, known = _sides(queries, references)
+    n = known.count()
+    cells = cells or int(min(MOST_CELLS, max(1, round(n**0.5))))
+    centres, enough = fit_cells(references, cells, k)
+    probes = probes or enough
+    if not len(centres):
+        return knn(queries, references, k, block)
+    shared = spark.sparkContext.broadcast(centres)
+
+    def dealt(column: str, most: int):
+        def run(batches):
+            for batch in batches:
+                x = batch.column(batch.schema.get_field_index(column)).flatten().to_numpy().astype(np.float64).reshape(batch.num_rows, -1)
+                near = _cells_of(x, shared.value, most) if batch.num_rows else np.zeros((0, 1), int)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.astype(np.int32).tolist(), pa.list_(pa.int32()))], [*batch.schema.names, "cells"])
+
+        return run
+
+    held = known.mapInArrow(dealt("ref", 1), "ref_id long, ref array<float>, label int, cells array<int>").withColumn("cell", F.col("cells")[0]).drop("cells")
+    sizes = held.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))  # one row a cell, at most MOST_CELLS
+    held = held.join(F.broadcast(sizes), "cell").withColumn("part", F.pmod(F.xxhash64("ref_id"), "parts").cast("int")).drop("parts")
+    asking = asked.mapInArrow(dealt("embedding", probes), "vec_id long, embedding array<float>, cells array<int>").select("vec_id", "embedding", F.explode("cells").alias("cell"))
+    asking = asking.join(F.broadcast(sizes), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    # queries of a cell come in groups as well: a third of them may ask one cell
+    turns = max(1, -(-asked.count() // block))
+    asking = asking.withColumn("turn", F.pmod(F.xxhash64("vec_id"), F.lit(turns)).cast("int"))
+    held = held.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+    key = ("cell", "part", "turn")
+    return _ranked(asking.groupBy(*key).cogroup(held.groupBy(*key)).applyInArrow(_nearest(k), _NEAR), k)
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """``n, found, recall``: the share of exact neighbours that an index found."""
+    keys = ["vec_id", "ref_id"]
+    hit = exact.select(*keys).join(found.select(*keys).withColumn("hit", F.lit(1)), keys, "left")
+    return hit.agg(F.count("*").alias("n"), F.count("hit").alias("found"), (F.count("hit") / F.count("*")).alias("recall"))
+
+
 def knn_scores(neighbours: DataFrame) -> DataFrame:
     return neighbours.groupBy("vec_id").agg(F.count_if(F.col("label") == 1).alias("n_target"), F.count("*").alias("n")).withColumn("knn_score", F.col("n_target") / F.col("n"))
 

@@ -65,6 +65,15 @@ def knn_join(spark, sf):
     return _neighbours(spark, sf).withColumn("distance", F.round("distance", 4))
 
 
+@query(f"SELECT count(*) AS n_queries, count(*) * 10 AS n, true AS reached FROM ({VEC}) WHERE is_query")
+def knn_index_recall(spark, sf):
+    """The inverted file against brute force: every fiftieth row asks all rows; at least nine in ten found."""
+    q, r = _split(spark, sf)
+    r = r.select("vec_id", "embedding", F.col("is_target").alias("label"))
+    share = K.recall(K.knn_indexed(q, r), K.knn(q, r))
+    return share.crossJoin(q.agg(F.count("*").alias("n_queries"))).select("n_queries", "n", (F.col("recall") >= 0.9).alias("reached"))
+
+
 @query(f"WITH v AS ({VEC}), {KNN} SELECT vec_id, n_target, n FROM ks")
 def knn_label_counts(spark, sf):
     return K.knn_scores(_neighbours(spark, sf)).select("vec_id", "n_target", "n")
@@ -207,7 +216,7 @@ def bbox_codec(spark, sf):
 
 @query(f"SELECT page_key, min(x0) AS x0, count(*) AS n FROM ({BOX}) GROUP BY 1")
 def embedded_bbox(spark, sf):
-    return made(spark, sf, BOXES).groupBy("page_key").agg(F.try_element_at(F.array_sort(F.collect_list("x0")), F.lit(1)).alias("x0"), F.count("*").alias("n"))
+    return made(spark, sf, BOXES).groupBy("page_key").agg(F.min("x0").alias("x0"), F.count("*").alias("n"))
 
 
 METHODS = [("embedded", 0), ("vector", 1), ("rendered", 2)]
@@ -310,11 +319,15 @@ d AS (SELECT *, CASE WHEN NOT readable THEN 'error' WHEN w < 100 OR h < 100 THEN
 dd AS (SELECT *, tier IN ('caption_whitelist', 'dinov2_high') AS is_target, round(CASE tier WHEN 'error' THEN 0.0E0 WHEN 'too_small' THEN 0.0E0 WHEN 'caption_whitelist_no_gates' THEN 0.8E0 WHEN 'caption_whitelist' THEN 0.95E0 WHEN 'caption_blacklist' THEN 0.95E0 WHEN 'dinov2_high' THEN score ELSE 1 - score END, 6) AS confidence FROM d)"""
 
 
-def decided(spark, sf):
-    """Cheap tests first: size and caption decide natively; only undecided rows look at the score."""
-    c = made(spark, sf, CAPTIONS).select("doc_id", "caption", T.caption_decision(F.col("caption")).alias("decision"), T.phrase_topic(F.col("caption"))["category"].alias("category"))
-    col = F.col
-    return made(spark, sf, FIGURES).join(c, "doc_id").withColumn("r", K.decide(col("w"), col("h"), col("readable"), col("decision"), col("has_gates"), col("score"))).select("*", "r.*").drop("r")
+def decided(spark, sf, papers=None):
+    """Cheap tests first: size and caption decide natively; only undecided rows look at the score.  Where
+    ``papers`` (paper_idx) are given, only their figures meet captions, and only those are decided."""
+    figures, col = made(spark, sf, FIGURES), F.col
+    if papers is not None:
+        figures = figures.join(F.broadcast(papers), col("paper") == col("paper_idx"), "left_semi")
+    rows = figures.join(made(spark, sf, CAPTIONS).select("doc_id", "caption"), "doc_id")
+    rows = rows.withColumn("decision", T.caption_decision(col("caption"))).withColumn("category", T.phrase_topic(col("caption"))["category"])
+    return rows.withColumn("r", K.decide(col("w"), col("h"), col("readable"), col("decision"), col("has_gates"), col("score"))).select("*", "r.*").drop("r")
 
 
 @query(f"WITH {DECIDED} SELECT doc_id, tier, is_target, confidence FROM dd")

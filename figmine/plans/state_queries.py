@@ -215,10 +215,8 @@ def write_reference_index(spark, sf):
 def run_pipeline(spark, sf):
     """Papers in order, ten a batch, each batch detected, written and counted before the next."""
 
-    def detect(papers):
-        figures = Q.decided(spark, sf).where("is_target")
-        kept = figures.join(F.broadcast(papers), F.col("paper") == F.col("paper_idx"))  # at most one batch of ids
-        return kept.select("paper_idx", F.col("doc_id").alias("image_index"), "paper", "doc_id", "category")
+    def detect(papers):  # at most one batch of ids
+        return Q.decided(spark, sf, papers).where("is_target").select(F.col("paper").alias("paper_idx"), F.col("doc_id").alias("image_index"), "paper", "doc_id", "category")
 
     papers = made(spark, sf, FIGURES).select(F.col("paper").alias("paper_idx")).distinct()
     return _records(incremental.run(papers, detect, shared_path(spark, "run"), batch=10))

@@ -167,7 +167,3 @@ def select_description(spark, sf):
     return images(spark, sf).select(*L.FIGURE, F.when(long("reference", 15), "referenced").when(long("caption", 5), "caption").when(long("surrounding", 1), "surrounding").otherwise("none").alias("description"))
 
 
-@query(rf"WITH {LAYOUT_SQL}, {PAGES} SELECT doc_id, page, regexp_matches(page_text, '(?i)\b(SWAP)\s+gate') OR regexp_matches(page_text, '(?i)\b(CNOT|CX|controlled-NOT)\b') AS some FROM s")
-def gate_text_supplement(spark, sf):
-    g = T.text_gates(F.col("page_text"))
-    return _pages(spark, sf).select("doc_id", "page", (F.array_contains(g, "SWAP") | F.array_contains(g, "CNOT")).alias("some"))

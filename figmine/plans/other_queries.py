@@ -373,17 +373,6 @@ def image_index(spark, sf):
     return made(spark, sf, FIGURES).select("doc_id", "paper", (F.row_number().over(w) - 1).cast("long").alias("image_index"))
 
 
-@query(f"WITH {DECIDED} SELECT 'p' || paper || '_' || {SEQ} || '.png' AS filename, doc_id FROM dd WHERE is_target")
-def save_circuit(spark, sf):
-    return _numbered(spark, sf).select(F.concat(F.lit("p"), F.col("paper").cast("string"), F.lit("_"), F.col("n").cast("string"), F.lit(".png")).alias("filename"), "doc_id")
-
-
-@query(f"WITH {DECIDED} SELECT 'p' || paper AS arxiv_number, w % 9 + 1 AS page_number, category AS quantum_problem, cap AS description FROM dd WHERE is_target")
-def compile_metadata(spark, sf):
-    d = decided(spark, sf).where("is_target")
-    return d.select(F.concat(F.lit("p"), F.col("paper").cast("string")).alias("arxiv_number"), (F.col("w") % 9 + 1).alias("page_number"), F.col("category").alias("quantum_problem"), F.col("caption").alias("description"))
-
-
 @query(f"WITH {DECIDED} SELECT 'p' || paper AS arxiv_number, [[w, w + h]] AS text_positions FROM dd WHERE is_target")
 def output_record_projection(spark, sf):
     pos = F.transform(F.array(F.struct(F.col("w").alias("start"), (F.col("w") + F.col("h")).alias("end"))), lambda p: F.array(p["start"], p["end"]))

@@ -216,22 +216,6 @@ def min_length_filters(spark, sf):
     return made(spark, sf, CAPTIONS).select("doc_id", ((F.length("caption") >= 30) & (F.regexp_count(F.col("caption"), F.lit(T.WORD3)) >= 5)).alias("long_enough"))
 
 
-CASCADE = f"""c AS (SELECT doc_id, {_topic_sql(NORM.format('lead'))} AS c1, {_topic_sql(NORM.format('caption'))} AS c2, {_topic_sql(NORM.format("concat_ws(' ', caption, body)"))} AS c3 FROM ({C}))"""
-
-
-@query(f"WITH {CASCADE} SELECT doc_id, CASE WHEN c1 <> 'Unknown' THEN c1 WHEN c2 <> 'Unknown' THEN c2 ELSE c3 END AS category, CASE WHEN c1 <> 'Unknown' THEN 1 WHEN c2 <> 'Unknown' THEN 2 WHEN c3 <> 'Unknown' THEN 3 ELSE 0 END AS step FROM c")
-def classify_cascade(spark, sf):
-    x = made(spark, sf, CAPTIONS).select("doc_id", T.phrase_topic(F.col("lead"))["category"].alias("c1"), T.phrase_topic(F.col("caption"))["category"].alias("c2"), T.phrase_topic(F.concat_ws(" ", "caption", "body"))["category"].alias("c3"))
-    known = lambda c: F.col(c) != "Unknown"
-    return x.select("doc_id", F.when(known("c1"), F.col("c1")).when(known("c2"), F.col("c2")).otherwise(F.col("c3")).alias("category"), F.when(known("c1"), 1).when(known("c2"), 2).when(known("c3"), 3).otherwise(0).alias("step"))
-
-
-@query(f"SELECT doc_id, CASE WHEN length(coalesce(body, '')) = 0 THEN 'no_text' WHEN {_topic_sql(NORM.format('body'))} <> 'Unknown' THEN 'phrase' ELSE 'similarity' END AS method FROM ({C})")
-def classify_problem(spark, sf):
-    known = T.phrase_topic(F.col("body"))["category"] != "Unknown"
-    return made(spark, sf, CAPTIONS).select("doc_id", F.when(F.length(F.coalesce("body", F.lit(""))) == 0, "no_text").when(known, "phrase").otherwise("similarity").alias("method"))
-
-
 _FULL = "concat(caption, '. As shown in Fig. 2 we see. ', coalesce(body, ''), '. Illustrated in Figure 2, and')"
 _REFERENCE = " || ".join(f"regexp_extract_all(whole, '(?i)[^.]*{p}[^.]*\\.')" for p in (rf"Figure[{T.BLANK}]+2\b", rf"Fig\.[{T.BLANK}]*2\b", rf"shown in Fig\.[{T.BLANK}]*2", rf"illustrated in Figure[{T.BLANK}]+2"))
 

@@ -45,7 +45,3 @@ def detect_brackets(spark, sf):
     return made(spark, sf, STATS).select("event_id", R.bracket_score(F.col("quads") >= 3, F.col("n_lines") >= 4).alias("score"))
 
 
-@query(f"SELECT event_id, round((CASE WHEN quads >= 3 THEN 0.8E0 ELSE 0 END * 2.0E0 + 0.5E0 * 1.5E0 + {SCORES} * 1.5E0) / 6.0E0, 6) AS score FROM ({S})")
-def is_matrix(spark, sf):
-    side = R.bracket_score(F.col("quads") >= 3, F.lit(False))
-    return made(spark, sf, STATS).select("event_id", F.round(R.matrix_score(side, F.lit(0.5), R.line_score(F.col("h_lines")), F.lit(0.0)), 6).alias("score"))

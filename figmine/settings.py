@@ -18,8 +18,10 @@ class Settings:
         self._values = _overlaid(DEFAULTS, values or {})
 
     @classmethod
-    def load(cls, path: str) -> Settings:
-        return cls(json.loads(Path(path).read_text()))
+    def load(cls, path: str, spark=None) -> Settings:
+        """From a JSON file; with a session from any store that Spark reads."""
+        raw = Path(path).read_text() if spark is None else spark.read.text(path, wholetext=True).first()[0]
+        return cls(json.loads(raw))
 
     def get(self, key: str, default: Any = None) -> Any:
         """The value under a dotted key, ``default`` where any part of it is missing."""

@@ -5,11 +5,13 @@ approximations of edge- and Hough-based detectors, which a cluster can plug in w
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-STATS = "width int, height int, n_contours int, mean_area double, tiny_count int, density double, x_spread double, y_var double, h_lines int, n_lines int, quads int"
+STATS = "width int, height int, n_contours int, mean_area double, tiny_count int, density double, x_spread double, y_var double, h_lines int, n_lines int, quads int, left boolean, right boolean, tops array<int>, xs array<int>, ys array<int>"
 
 
 def to_gray(rgb: np.ndarray) -> np.ndarray:
@@ -18,37 +20,53 @@ def to_gray(rgb: np.ndarray) -> np.ndarray:
     return ((rgb[..., 0].astype(np.uint32) * 19595 + rgb[..., 1].astype(np.uint32) * 38470 + rgb[..., 2].astype(np.uint32) * 7471 + 0x8000) >> 16).astype(np.uint8)
 
 
+def cell_means(gray: np.ndarray, n: int) -> np.ndarray:
+    """Means of n x n cells of an image; a side shorter than n is repeated."""
+    a = gray.astype(np.float64)
+    for axis in (0, 1):
+        if a.shape[axis] < n:
+            a = np.repeat(a, -(-n // a.shape[axis]), axis=axis)
+        cut = np.arange(n) * a.shape[axis] // n
+        a = np.add.reduceat(a, cut, axis=axis) / np.diff(np.append(cut, a.shape[axis])).reshape((-1, 1) if axis == 0 else (1, -1))
+    return a
+
+
 def components(mask: np.ndarray) -> np.ndarray:
-    """Boxes and pixel counts (x, y, w, h, area) of 8-connected regions, by merging row runs."""
+    """Boxes and pixel counts (x, y, w, h, area) of 8-connected regions, by merging runs of rows.
+
+    All pairs of touching runs are found at once; labels then fall to the smallest of their neighbours,
+    and to their labels' labels, until nothing changes."""
     edges = np.diff(np.pad(mask.astype(np.int8), ((0, 0), (1, 1))), axis=1)
     ys, starts = np.nonzero(edges == 1)
     ends = np.nonzero(edges == -1)[1]
-    root = np.arange(len(ys))
-
-    def find(i):
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    first = np.searchsorted(ys, np.arange(mask.shape[0] + 1))
-    for y in range(1, mask.shape[0]):
-        a, b = first[y - 1], first[y]
-        for i in range(first[y], first[y + 1]):
-            while a < b and ends[a] < starts[i]:
-                a += 1
-            j = a
-            while j < b and starts[j] <= ends[i]:
-                x, z = find(i), find(j)
-                root[max(x, z)] = min(x, z)
-                j += 1
-    labels = np.array([find(i) for i in range(len(ys))], np.int64)
-    out = []
-    for k in np.unique(labels):
-        m = labels == k
-        x0, y0 = starts[m].min(), ys[m].min()
-        out.append((x0, y0, ends[m].max() - x0, ys[m].max() + 1 - y0, (ends[m] - starts[m]).sum()))
-    return np.array(out, np.int64).reshape(-1, 5)
+    if not len(ys):
+        return np.zeros((0, 5), np.int64)
+    width = mask.shape[1] + 2
+    # runs of the row above that touch a run: those that end at or after its start and start at or before its end
+    low = np.searchsorted(ys * width + ends, (ys - 1) * width + starts)
+    high = np.searchsorted(ys * width + starts, (ys - 1) * width + ends, "right")
+    n = np.maximum(high - low, 0)
+    a = np.repeat(np.arange(len(ys)), n)
+    b = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n - low, n)
+    label = np.arange(len(ys))
+    while True:
+        least = np.minimum(label[a], label[b])
+        before = label.copy()
+        for side in (a, b):
+            np.minimum.at(label, side, least)
+            np.minimum.at(label, before[side], least)
+        label = label[label]
+        if np.array_equal(label, before):
+            break
+    _, k = np.unique(label, return_inverse=True)
+    m = k.max() + 1
+    x0, y0, x1, y1, area = np.full(m, mask.shape[1]), np.full(m, mask.shape[0]), np.zeros(m, np.int64), np.zeros(m, np.int64), np.zeros(m, np.int64)
+    np.minimum.at(x0, k, starts)
+    np.minimum.at(y0, k, ys)
+    np.maximum.at(x1, k, ends)
+    np.maximum.at(y1, k, ys + 1)
+    np.add.at(area, k, ends - starts)
+    return np.stack([x0, y0, x1 - x0, y1 - y0, area], axis=1).astype(np.int64)
 
 
 def long_runs(mask: np.ndarray, least: int) -> int:
@@ -83,6 +101,72 @@ def all_gate_regions(gray: np.ndarray, thresholds: tuple[int, ...] = (150, 200))
     return np.column_stack([b[:, :2], b[:, :2] + b[:, 2:]]).astype(np.float64)
 
 
+def sobel(gray: np.ndarray) -> np.ndarray:
+    """Edges: pixels whose gradient (sum of both directions) is over 150."""
+    g = np.pad(gray.astype(np.int64), 1, mode="edge")
+    dx = g[:-2, 2:] + 2 * g[1:-1, 2:] + g[2:, 2:] - g[:-2, :-2] - 2 * g[1:-1, :-2] - g[2:, :-2]
+    dy = g[2:, :-2] + 2 * g[2:, 1:-1] + g[2:, 2:] - g[:-2, :-2] - 2 * g[:-2, 1:-1] - g[:-2, 2:]
+    return abs(dx) + abs(dy) > 150
+
+
+def brackets(gray: np.ndarray) -> tuple[bool, bool]:
+    """Whether a column of edges in the left and in the right tenth is higher than a quarter of the image."""
+    tall = sobel(gray).sum(axis=0) > gray.shape[0] * 0.25
+    w = gray.shape[1]
+    return bool(tall[: int(w * 0.1)].any()), bool(tall[int(w * 0.9) :].any())
+
+
+def equalized(gray: np.ndarray, limit: float = 2.0, tiles: int = 8) -> np.ndarray:
+    """Contrast-limited adaptive equalisation: each tile's clipped histogram gives a map of gray values, and a
+    pixel takes the mean of the maps of the four tiles around it, by distance."""
+    h, w = gray.shape
+    th, tw = -(-h // tiles), -(-w // tiles)
+    padded = np.pad(gray, ((0, th * tiles - h), (0, tw * tiles - w)), mode="edge" if min(h, w) else "constant")
+    cells = padded.reshape(tiles, th, tiles, tw).swapaxes(1, 2).reshape(tiles * tiles, th * tw)
+    hist = np.stack([np.bincount(c, minlength=256) for c in cells]).astype(np.float64)
+    most = max(1.0, limit * th * tw / 256)
+    over = np.maximum(hist - most, 0).sum(axis=1, keepdims=True)
+    maps = np.floor(np.cumsum(np.minimum(hist, most) + over / 256, axis=1) * 255 / (th * tw) + 0.5).clip(0, 255).reshape(tiles, tiles, 256)
+    y, x = (np.arange(h) + 0.5) / th - 0.5, (np.arange(w) + 0.5) / tw - 0.5
+    out = np.zeros((h, w))
+    for dy in (0, 1):
+        ty = np.clip(np.floor(y).astype(int) + dy, 0, tiles - 1)
+        wy = 1 - abs(y - (np.floor(y) + dy))
+        for dx in (0, 1):
+            tx = np.clip(np.floor(x).astype(int) + dx, 0, tiles - 1)
+            wx = 1 - abs(x - (np.floor(x) + dx))
+            out += wy[:, None] * wx[None, :] * maps[ty[:, None], tx[None, :], gray]
+    return np.floor(out + 0.5).astype(np.uint8)
+
+
+def adaptive_threshold(gray: np.ndarray, block: int = 11, less: float = 2.0) -> np.ndarray:
+    """White where a pixel is above the Gaussian mean of its surroundings less a constant, else black."""
+    sigma, r = 0.3 * ((block - 1) * 0.5 - 1) + 0.8, block // 2
+    kernel = np.exp(-(np.arange(-r, r + 1) ** 2) / (2 * sigma**2))
+    kernel /= kernel.sum()
+    mean = np.pad(gray.astype(np.float64), r, mode="edge")
+    mean = sum(k * mean[i : i + gray.shape[0], :] for i, k in enumerate(kernel))
+    mean = sum(k * mean[:, i : i + gray.shape[1]] for i, k in enumerate(kernel))
+    return np.where(gray > np.floor(mean + 0.5) - less, 255, 0).astype(np.uint8)
+
+
+def roi_variants(gray: np.ndarray) -> list[np.ndarray]:
+    """A region as it is, equalised, and thresholded: what a text reader is shown."""
+    return [gray, equalized(gray), adaptive_threshold(gray)]
+
+
+def read_region(gray: np.ndarray, box: tuple[int, int, int, int], read: Callable[[np.ndarray], list[tuple[str, float]]], pad: int = 10) -> tuple[str, float]:
+    """The text of highest confidence that ``read`` finds in any variant of a padded region; the first of equals."""
+    x, y, w, h = box
+    part = gray[max(0, y - pad) : min(gray.shape[0], y + h + pad), max(0, x - pad) : min(gray.shape[1], x + w + pad)]
+    best = ("", 0.0)
+    for variant in roi_variants(part) if part.size else ():
+        for text, confidence in read(variant):
+            if confidence > best[1]:
+                best = (text, confidence)
+    return best
+
+
 def statistics(gray: np.ndarray, threshold: int = 200) -> dict:
     mask = gray < threshold
     b = components(mask)
@@ -93,6 +177,7 @@ def statistics(gray: np.ndarray, threshold: int = 200) -> dict:
         "width": gray.shape[1], "height": gray.shape[0], "n_contours": len(b), "mean_area": float(area.mean()) if len(b) else 0.0, "tiny_count": int((area < 50).sum()),
         "density": float(mask.mean()), "x_spread": float(np.ptp(b[:, 0])) if len(b) else 0.0, "y_var": float(b[:, 1].var()) if len(b) else 0.0,
         "h_lines": h, "n_lines": h + long_runs(mask.T, max(1, gray.shape[0] // 4)), "quads": int(boxed.sum()),
+        **dict(zip(("left", "right"), brackets(gray), strict=True)), "tops": b[:, 1].tolist(), "xs": (b[:, 0] + b[:, 2] // 2).tolist(), "ys": (b[:, 1] + b[:, 3] // 2).tolist(),
     }
 
 
@@ -107,7 +192,7 @@ def with_statistics(images: DataFrame) -> DataFrame:
                 fits = raw is not None and w and h and len(raw) == w * h
                 out.append(statistics(np.frombuffer(raw, np.uint8).reshape(h, w)) if fits else None)
             names = [x.split()[0] for x in STATS.split(", ")]
-            kinds = [pa.float64() if x.endswith("double") else pa.int32() for x in STATS.split(", ")]
+            kinds = [{"double": pa.float64(), "int": pa.int32(), "boolean": pa.bool_()}.get(x.split()[1], pa.list_(pa.int32())) for x in STATS.split(", ")]
             yield pa.RecordBatch.from_arrays([ids, *(pa.array([s and s[n] for s in out], k) for n, k in zip(names, kinds, strict=True))], ["image_id", *names])
 
     return images.select("image_id", "width", "height", "pixels").mapInArrow(run, f"image_id long, {STATS}")

@@ -79,6 +79,11 @@ def spacing_score(xs: Column, ys: Column) -> Column:
     return F.when(F.size(xs) < 4, 0.0).when((a < 500) & (b < 500), 1.0).when((a < 1000) | (b < 1000), 0.5).otherwise(0.0)
 
 
+def matrix(s: Column) -> Column:
+    """The matrix rule from the statistics of an image: brackets, rows, lines and spacing together."""
+    return is_matrix(bracket_score(s["left"], s["right"]), grid_score(s["tops"]), line_score(s["h_lines"]), spacing_score(s["xs"], s["ys"]))
+
+
 def embedded_image(s: Column, matrix: Column, min_w: int = 200, min_h: int = 150) -> Column:
     """An embedded image stays: large enough, shape 0.2 to 5, not portrait, no matrix."""
     w, h = s["width"], s["height"]

@@ -67,11 +67,11 @@ def merge_near(boxes: np.ndarray, gap: float) -> np.ndarray:
 
 def drop_overlapped(boxes: np.ndarray, share: float = 0.5) -> np.ndarray:
     """Boxes x, y, w, h: largest first, drop those overlapped by more than a share of their own area."""
+    corner, size = boxes[:, :2].astype(float), boxes[:, 2:4].astype(float)
     keep, kept = np.zeros(len(boxes), bool), []
-    for i in np.argsort(-(boxes[:, 2] * boxes[:, 3]), kind="stable"):
-        x, y, w, h = boxes[i]
-        clash = any(max(0, min(x + w, a + c) - max(x, a)) * max(0, min(y + h, b + d) - max(y, b)) > share * w * h for a, b, c, d in kept)
-        if not clash:
+    for i in np.argsort(-(size[:, 0] * size[:, 1]), kind="stable"):
+        both = np.clip(np.minimum(corner[i] + size[i], corner[kept] + size[kept]) - np.maximum(corner[i], corner[kept]), 0, None)
+        if not (both[:, 0] * both[:, 1] > share * size[i, 0] * size[i, 1]).any():
             keep[i] = True
-            kept.append(tuple(boxes[i]))
+            kept.append(int(i))
     return keep

@@ -132,9 +132,9 @@ def top3_categories(spark, sf):
     return _topic(spark, sf).select("vec_id", "top3")
 
 
-@query("SELECT vec_id, round(sqrt(abs(embedding[1]::DOUBLE)), 4) AS s4 FROM embeddings")
+@query("SELECT vec_id, round_even(sqrt(abs(embedding[1]::DOUBLE)), 4) AS s4 FROM embeddings")
 def round_scores(spark, sf):
-    return spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", F.round(F.sqrt(F.abs(F.col("embedding")[0].cast("double"))), 4).alias("s4"))
+    return spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", F.bround(F.sqrt(F.abs(F.col("embedding")[0].cast("double"))), 4).alias("s4"))
 
 
 # boxes -------------------------------------------------------------------------------------------
@@ -168,17 +168,44 @@ def px_to_pt(spark, sf):
     return made(spark, sf, BOXES).select("page_key", B.px_to_pt(F.col("x0")).alias("x0"), B.px_to_pt(F.col("y1")).alias("y1"))
 
 
-@query()
+def _greedy(clash: str) -> str:
+    """Boxes largest first, each kept unless it clashes with a kept one: a recursion over ranks, page by page."""
+    return f"""WITH RECURSIVE o AS (SELECT page_key, struct_pack(x0 := x0, y0 := y0, x1 := x1, y1 := y1) AS b, row_number() OVER (PARTITION BY page_key ORDER BY (x1 - x0) * (y1 - y0) DESC, x0, y0, x1, y1) AS r FROM ({BOX})),
+k AS (SELECT page_key, r, [b] AS kept FROM o WHERE r = 1 UNION ALL SELECT o.page_key, o.r, CASE WHEN len(list_filter(kept, lambda a: {clash})) > 0 THEN kept ELSE list_append(kept, b) END FROM k JOIN o ON o.page_key = k.page_key AND o.r = k.r + 1),
+e AS (SELECT page_key, unnest(arg_max(kept, r)) AS b FROM k GROUP BY 1) SELECT page_key, b.x0 AS x0, b.y0 AS y0, b.x1 AS x1, b.y1 AS y1 FROM e"""
+
+
+_BOTH = "greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0))"
+_AREA = "({0}.x1 - {0}.x0) * ({0}.y1 - {0}.y0)"
+_UNION = f"({_AREA.format('a')} + {_AREA.format('b')} - {_BOTH})"
+
+
+def _merged(boxes: str) -> str:
+    """CTEs with ``done`` (page_key, bs): of each page, two boxes within 50 become one until none are left."""
+    at = "flatten(list_transform(range(1, len(bs) + 1), lambda i: list_transform(range(i + 1, len(bs) + 1), lambda j: [i, j])))"
+    near = "greatest(bs[p[1]].x0, bs[p[2]].x0) - least(bs[p[1]].x1, bs[p[2]].x1) <= 50 AND greatest(bs[p[1]].y0, bs[p[2]].y0) - least(bs[p[1]].y1, bs[p[2]].y1) <= 50"
+    pair = f"list_filter({at}, lambda p: {near})[1]"
+    both = "{'x0': least(bs[p[1]].x0, bs[p[2]].x0), 'y0': least(bs[p[1]].y0, bs[p[2]].y0), 'x1': greatest(bs[p[1]].x1, bs[p[2]].x1), 'y1': greatest(bs[p[1]].y1, bs[p[2]].y1)}"
+    return f"""m AS (SELECT page_key, bs, {pair} AS p FROM (SELECT page_key, list(struct_pack(x0 := x0, y0 := y0, x1 := x1, y1 := y1) ORDER BY x0, y0, x1, y1) AS bs FROM ({boxes}) GROUP BY 1)
+UNION ALL SELECT page_key, bs, {pair} AS p FROM (SELECT page_key, list_append(list_filter(bs, lambda x, i: i <> p[1] AND i <> p[2]), {both}) AS bs FROM m WHERE p IS NOT NULL)),
+done AS (SELECT page_key, b.x0 AS x0, b.y0 AS y0, b.x1 AS x1, b.y1 AS y1 FROM (SELECT page_key, unnest(bs) AS b FROM m WHERE p IS NULL))"""
+
+
+_GROUPED = f"""WITH RECURSIVE {_merged(f"SELECT * FROM ({BOX}) WHERE x1 - x0 > 5 AND y1 - y0 > 5")},
+grouped AS (SELECT * FROM done WHERE x1 - x0 >= 20 AND y1 - y0 >= 10 AND (x1 - x0) * (y1 - y0) > 200 AND (x1 - x0) / (y1 - y0) BETWEEN 0.2 AND 5.0 AND y1 - y0 <= x1 - x0 AND x1 - x0 < 612 * 0.95 AND y1 - y0 < 792 * 0.8)"""
+
+
+@query(_greedy(f"{_BOTH} > 0 AND {_BOTH} > 0.4E0 * {_UNION}"))
 def dedup_figures(spark, sf):
     return by_page(made(spark, sf, BOXES), lambda b: b[B.suppress(np.column_stack([b, b[:, 2] - b[:, 0], b[:, 3] - b[:, 1]]))])
 
 
-@query()
+@query(f"WITH RECURSIVE {_merged(BOX)} SELECT * FROM done")
 def merge_boxes(spark, sf):
     return by_page(made(spark, sf, BOXES), lambda b: B.merge_near(b, 50.0))
 
 
-@query()
+@query(f"{_GROUPED} SELECT * FROM grouped")
 def group_drawings(spark, sf):
     """Drawings larger than 5 on both sides, merged within 50, then filtered by size and shape."""
     big = made(spark, sf, BOXES).where("x1 - x0 > 5 and y1 - y0 > 5")
@@ -186,7 +213,7 @@ def group_drawings(spark, sf):
     return by_page(big, lambda b: B.merge_near(b, 50.0)).where((w >= 20) & (h >= 10) & (w * h > 200) & (w / h).between(0.2, 5.0) & (h <= w) & (w < 612 * 0.95) & (h < 792 * 0.8))
 
 
-@query()
+@query(_greedy(f"{_BOTH} > 0.5E0 * {_AREA.format('b')}"))
 def remove_duplicate_boxes(spark, sf):
     return by_page(made(spark, sf, BOXES), lambda b: b[B.drop_overlapped(np.column_stack([b[:, :2], b[:, 2] - b[:, 0], b[:, 3] - b[:, 1]]))])
 

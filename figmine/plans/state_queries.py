@@ -98,7 +98,7 @@ def rendered_region_scan(spark, sf):
     return s.where(R.rendered_region(row, matrix)).select("event_id", F.round(F.col("width") * 72 / 300, 6).alias("w"), F.round(F.col("height") * 72 / 300, 6).alias("h"))
 
 
-@query()
+@query(f"{Q._GROUPED} SELECT *, CAST(round((x1 - x0) * 300 / 72) AS BIGINT) AS width, CAST(round((y1 - y0) * 300 / 72) AS BIGINT) AS height FROM grouped")
 def vector_region_scan(spark, sf):
     """Grouped drawings with the size of their clip at 300 dpi; no matrix rule here."""
     px = lambda a, b: F.round((F.col(b) - F.col(a)) * 300 / 72).cast("long")

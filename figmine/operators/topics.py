@@ -38,7 +38,7 @@ def match_phrases(df: DataFrame, text: str, topics=vocab.TOPIC_PHRASES) -> DataF
     rows = df.drop("category", "phrase")
     if sum(len(p) for _, p in topics) <= CHAIN:
         return rows.withColumn("__t", T.phrase_topic(F.col(text), topics)).select(*rows.columns, "__t.category", "__t.phrase")
-    order = [(topic, p) for topic, phrases in topics for p in phrases]
+    order, names = [(topic, p) for topic, phrases in topics for p in phrases], rows.columns
 
     def run(batches):
         automaton = ahocorasick.Automaton()
@@ -49,7 +49,7 @@ def match_phrases(df: DataFrame, text: str, topics=vocab.TOPIC_PHRASES) -> DataF
         for batch in batches:
             low = [min((i for _, i in automaton.iter(t)), default=None) if t else None for t in batch.column(batch.num_columns - 1).to_pylist()]
             found = [("Unknown", None) if i is None else order[i] for i in low]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([c for c, _ in found], pa.string()), pa.array([p for _, p in found], pa.string())], [*rows.columns, "category", "phrase"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([c for c, _ in found], pa.string()), pa.array([p for _, p in found], pa.string())], [*names, "category", "phrase"])
 
     schema = type(rows.schema)([*rows.schema.fields]).add("category", "string").add("phrase", "string")
     return rows.withColumn("__t", T.normalize_text(F.col(text))).mapInArrow(run, schema)

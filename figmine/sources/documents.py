@@ -8,7 +8,9 @@ library plugs in another."""
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -22,11 +24,15 @@ SCHEMA = "path string, success boolean, error string, blocks array<struct<page:i
 
 
 def read_files(spark: SparkSession, folder: str, ending: str = "pdf") -> DataFrame:
-    """``path, length, content`` of the files of a folder; none where the folder is missing."""
+    """``path, length, content`` of the files of a folder; none where the folder is missing.  Spark's reader
+    passes over empty files; they come back from its list of files, without content."""
     try:
-        return spark.read.format("binaryFile").option("pathGlobFilter", f"*.{ending}").load(folder).select("path", "length", "content")
+        found = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{ending}").load(folder).select("path", "length", "content")
     except AnalysisException:
         return spark.createDataFrame([], "path string, length long, content binary")
+    listed = [(re.sub("^([a-z0-9+.-]+):///", r"\1:/", unquote(p)),) for p in found.inputFiles()]
+    empty = spark.createDataFrame(listed, "path string").join(found.select("path"), "path", "left_anti")
+    return found.unionByName(empty.select("path", F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content")))
 
 
 def to_fetch(papers: DataFrame, files: DataFrame, ending: str = "pdf") -> DataFrame:

@@ -229,14 +229,13 @@ def test_two_stages(spark):
     assert got[3][0] == got[6][0] == "Unknown" and got[3][1] == "embedding_similarity"
 
 
-class broken_encoder:
-    size = 1
-
-    def __call__(self):
-        raise ImportError("no such library")
+def test_encoders(spark):
+    class broken_encoder:
+        size = 1
 
+        def __call__(self):
+            raise ImportError("no such library")
 
-def test_encoders(spark):
     files = [bytearray(png.encode(np.full((9, 5), 7, np.uint8))), bytearray(b"junk"), None]
     df = spark.createDataFrame(list(enumerate(files)), "id long, content binary")
     got = {r["id"]: r["embedding"] for r in E.encode(df, "content", E.image_encoder()).collect()}

@@ -37,12 +37,17 @@ def release(spark: SparkSession, mark: int = 0) -> None:
         remove(spark, _WRITTEN.pop())
 
 
-def bound_batches(spark: SparkSession, size: str = "4m") -> None:
-    """Bound the bytes of an Arrow batch, whose default counts rows only, where the cluster has set no
-    bound: texts and hash sets of any length then cost a task the same memory."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.sparkContext.getConf().get(key) is None:
-        spark.conf.set(key, size)
+#: bounds of what a task holds at once, where the cluster has set none
+_BOUNDS = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m", "spark.sql.parquet.columnarReaderBatchSize": "512"}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the bytes of an Arrow batch and the rows of a batch read from Parquet, whose defaults count rows
+    by the thousand, where the cluster has set no bound: texts and hash sets of any length then cost a task
+    about the same memory."""
+    for key, value in _BOUNDS.items():
+        if spark.sparkContext.getConf().get(key) is None:
+            spark.conf.set(key, value)
 
 
 def n_buckets(spark: SparkSession) -> int:

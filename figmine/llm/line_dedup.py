@@ -153,7 +153,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     spark = docs.sparkSession
     lines = stored(line_table(docs, min_chars), "lines")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    ordered = lines.repartitionByRange(2 * parts, "h1", "h2", F.desc("doc_id")).sortWithinPartitions("h1", "h2", F.desc("doc_id"), "first")
+    ordered = lines.repartitionByRange(parts, "h1", "h2", F.desc("doc_id")).sortWithinPartitions("h1", "h2", F.desc("doc_id"), "first")
 
     def decide(batches):
         stream = _Stream(min_docs)

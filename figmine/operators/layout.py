@@ -70,12 +70,14 @@ def surrounding_join(figures: DataFrame, blocks: DataFrame, captions: DataFrame)
     other = ~F.coalesce((text == c("caption")) | (c("block_no") == c("caption_no")), F.lit(False))
     dx, dy = (c("x0") + c("x1")) / 2 - (c("fx0") + c("fx1")) / 2, (c("y0") + c("y1")) / 2 - (c("fy0") + c("fy1")) / 2
     far = F.sqrt(dx * dx + dy * dy)
-    near = on_page(named, blocks, (far <= 400.0) & other).withColumn("rank", F.row_number().over(W.partitionBy(*FIGURE).orderBy(far, "block_no")))
+    # how strict a tier a text passes depends on the text alone: judged once a block, not once a figure
     math, size = F.regexp_count(text, F.lit(MATH)), F.length(text)
     plain = ~T.is_matrix_text(text)
-    tier = (F.when((c("rank") <= 15) & (size >= 30) & (F.regexp_count(text, F.lit(T.WORD3)) >= 3) & plain & (math <= size * 0.3), 1)
-            .when((c("rank") <= 15) & (size >= 20) & (F.regexp_count(text, F.lit(r"\b[a-zA-Z]{2,}\b")) >= 1) & plain & (math <= size * 0.5), 2)
-            .when((c("rank") <= 10) & (size >= 15) & plain, 3))
+    level = (F.when((size >= 30) & (F.regexp_count(text, F.lit(T.WORD3)) >= 3) & (math <= size * 0.3) & plain, 1)
+             .when((size >= 20) & (F.regexp_count(text, F.lit(r"\b[a-zA-Z]{2,}\b")) >= 1) & (math <= size * 0.5) & plain, 2)
+             .when((size >= 15) & plain, 3))
+    near = on_page(named, blocks.withColumn("level", level), (far <= 400.0) & other).withColumn("rank", F.row_number().over(W.partitionBy(*FIGURE).orderBy(far, "block_no")))
+    tier = F.when((c("rank") <= 15) & (c("level") <= 2) | (c("rank") <= 10), c("level"))
     ranked = near.withColumn("tier", tier).where("tier is not null").withColumn("best", F.min("tier").over(W.partitionBy(*FIGURE))).where("tier = best")
     ranked = ranked.withColumn("place", F.row_number().over(W.partitionBy(*FIGURE).orderBy("rank"))).where(c("place") <= F.element_at(F.array(F.lit(5), F.lit(3), F.lit(2)), c("tier")))
     best = first_by(ranked, FIGURE, F.desc(size), "rank")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from figmine.sources.spread import spread
+
 CAPTIONS = """SELECT doc_id, lang, lead, concat(lead, replace(text, chr(10), ' ')) AS caption, text AS body FROM (SELECT doc_id, lang, text,
   concat('Figure ', CAST(doc_id % 9 + 1 AS STRING), ': ',
   CASE doc_id % 7 WHEN 0 THEN 'Quantum circuit for ' WHEN 1 THEN 'Histogram of ' WHEN 2 THEN 'QAOA circuit and '
@@ -25,8 +27,9 @@ TABLES = ("documents", "events", "lineitem", "embeddings", "labels", "conversati
 
 
 def made(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """A fixture over the tables that its text names."""
-    return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in text})
+    """A fixture over the tables that its text names; whole texts are dealt over all cores."""
+    read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
+    return spark.sql(text, **{t: spread(read(t)) if text == CAPTIONS else read(t) for t in TABLES if "{" + t + "}" in text})
 
 
 def in_sql(text: str) -> str:
@@ -50,7 +53,7 @@ f AS (SELECT DISTINCT doc_id, page, k AS fig_no, 80.0E0 AS fx0, 60.0E0 + 240 * k
 
 def layout(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(blocks, figures)"""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     text = f"WITH raw AS ({RAW_SPARK}), {LAYOUT} SELECT "
     return spark.sql(text + "* FROM g", documents=docs), spark.sql(text + "* FROM f", documents=docs)
 

@@ -15,6 +15,8 @@ from figmine.operators.boxes import by_page
 from figmine.plans.fixtures import BOXES, CAPTIONS, FIGURES, GATES, VECTORS, in_sql, made
 from figmine.plans.registry import query
 from figmine.plans.text_queries import FILTERED, _topic_sql, NORM
+from figmine.sinks import outputs as O
+from figmine.sinks.shared import shared_path
 from figmine.sources.paper_list import indexed
 
 VEC, BOX, GATE, FIG = (in_sql(x) for x in (VECTORS, BOXES, GATES, FIGURES))
@@ -93,9 +95,12 @@ def index_metadata(spark, sf):
     return made(spark, sf, VECTORS).groupBy("is_target").agg(F.count("*").alias("n"), F.max(F.size("embedding")).cast("long").alias("dim"))
 
 
-@query(f"SELECT vec_id, is_target, 'ref-' || vec_id AS path FROM ({VEC})")
+@query(f"SELECT vec_id, is_target, len(embedding) AS dim FROM ({VEC})")
 def reference_index_load(spark, sf):
-    return made(spark, sf, VECTORS).select("vec_id", "is_target", F.concat(F.lit("ref-"), F.col("vec_id").cast("string")).alias("path"))
+    """An index written before is read back, with the label beside each vector."""
+    path, v = shared_path(spark, "index"), made(spark, sf, VECTORS)
+    O.write_reference_index(v.select("vec_id", "embedding", "is_target"), K.class_centroids(v), path)
+    return O.load_reference_index(spark, path)[0].select("vec_id", F.col("is_target").cast("int").alias("is_target"), F.size("embedding").cast("long").alias("dim"))
 
 
 @query(f"SELECT is_target, vec_id FROM ({VEC}) WHERE is_target = 1 UNION ALL SELECT is_target, vec_id FROM ({VEC}) WHERE is_target = 0")
@@ -236,9 +241,13 @@ for _name, _cond in {
     query(f"SELECT page_key, x0, y0, x1, y1 FROM {SIZED} WHERE {_cond}", _name)(lambda spark, sf, c=_cond: _sized(spark, sf).where(c).drop("w", "h"))
 
 
-@query(f"SELECT page_key, [x0, y0, x1, y1] AS box FROM ({BOX})")
+@query(f"SELECT page_key, [x0, y0, x1, y1] AS box, true AS same FROM ({BOX})")
 def bbox_codec(spark, sf):
-    return made(spark, sf, BOXES).select("page_key", F.map_values(F.create_map(*(x for c in ("x0", "y0", "x1", "y1") for x in (F.lit(c), F.col(c))))).alias("box"))
+    """A box as a map of names to numbers, and back."""
+    b = made(spark, sf, BOXES).withColumn("m", F.create_map(*(x for c in ("x0", "y0", "x1", "y1") for x in (F.lit(c), F.col(c)))))
+    back = [F.col("m")[c] for c in ("x0", "y0", "x1", "y1")]
+    same = F.struct(*(x.alias(f"c{i}") for i, x in enumerate(back))) == F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(("x0", "y0", "x1", "y1"))))
+    return b.select("page_key", F.array(*back).alias("box"), same.alias("same"))
 
 
 @query(f"SELECT page_key, min(x0) AS x0, count(*) AS n FROM ({BOX}) GROUP BY 1")
@@ -400,10 +409,17 @@ def image_index(spark, sf):
     return made(spark, sf, FIGURES).select("doc_id", "paper", (F.row_number().over(w) - 1).cast("long").alias("image_index"))
 
 
-@query(f"WITH {DECIDED} SELECT 'p' || paper AS arxiv_number, [[w, w + h]] AS text_positions FROM dd WHERE is_target")
+@query(f"""WITH {DECIDED} SELECT 'p' || paper || '_' || {SEQ} || '.png' AS filename, 'p' || paper AS arxiv_number, w % 9 + 1 AS page_number, CASE WHEN h % 5 > 0 THEN h % 5 END AS figure_number,
+  CASE WHEN has_gates THEN ['CNOT', 'H'] ELSE [] END AS quantum_gates, category AS quantum_problem, [md5(cap)] AS descriptions, [[w, w + h]] AS text_positions FROM dd WHERE is_target""")
 def output_record_projection(spark, sf):
-    pos = F.transform(F.array(F.struct(F.col("w").alias("start"), (F.col("w") + F.col("h")).alias("end"))), lambda p: F.array(p["start"], p["end"]))
-    return decided(spark, sf).where("is_target").select(F.concat(F.lit("p"), F.col("paper").cast("string")).alias("arxiv_number"), pos.alias("text_positions"))
+    """Records under the names of the dataset; positions become pairs."""
+    c = F.col
+    d = _numbered(spark, sf).withColumn("positions", F.array(F.struct(c("w").alias("start"), (c("w") + c("h")).alias("end"))))
+    gates = F.when(c("has_gates"), F.array(F.lit("CNOT"), F.lit("H"))).otherwise(F.array().cast("array<string>"))
+    paper = F.concat(F.lit("p"), c("paper").cast("string"))
+    return O.output_records(d.select(
+        F.concat(paper, F.lit("_"), c("n").cast("string"), F.lit(".png")).alias("filename"), paper.alias("arxivNumber"), (c("w") % 9 + 1).alias("pageNumber"), F.when(c("h") % 5 > 0, c("h") % 5).alias("figureNumber"),
+        gates.alias("quantumGates"), c("category").alias("quantumProblem"), F.array(F.md5("caption")).alias("descriptions"), c("positions").alias("textPositions")))
 
 
 UPD = "SELECT event_id AS seq, user_id AS id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_id % 13 END AS n FROM events"
@@ -438,9 +454,13 @@ def resume_anti_join(spark, sf):
     return d.join(e, d["doc_id"] == e["user_id"], "left_anti").select("doc_id")
 
 
-@query(f"SELECT doc_id, paper FROM ({FIG}) WHERE paper > 17")
+@query(f"SELECT doc_id, paper, 5 AS found FROM ({FIG}) WHERE paper > 17")
 def resume_point(spark, sf):
-    return made(spark, sf, FIGURES).where("paper > 17").select("doc_id", "paper")
+    """What is left after a saved state: papers after its last one, with the figures found so far."""
+    path = shared_path(spark, "state")
+    O.save_state(spark, path, last_paper_index=17, last_paper_id="p17", total_found=5, processed=18, skipped=0, failed=0, timestamp="now", version="1.0")
+    start, found = O.resume_point(O.load_state(spark, path))
+    return made(spark, sf, FIGURES).where(F.col("paper") >= start).select("doc_id", "paper", F.lit(found).alias("found"))
 
 
 @query(f"WITH {CNT} SELECT count(*) AS n_rows, count(n) AS n_counted, sum(n) AS total FROM cn")

@@ -39,8 +39,12 @@ def save_all(records: DataFrame, counts: DataFrame, path: str) -> bool:
 
 
 def write_counts(counts: DataFrame, path: str) -> None:
-    """Header and one row an id; an id without a count has an empty field."""
-    counts.select("arxiv_id", "circuit_count").coalesce(1).write.mode("overwrite").csv(path, header=True, nullValue="", emptyValue="")
+    """Header and one row an id; an id without a count has an empty field.  One file, as its readers expect, for
+    up to a million ids; more are written in parts, each with the header."""
+    rows = counts.select("arxiv_id", "circuit_count")
+    if rows.limit(1_000_001).count() <= 1_000_000:
+        rows = rows.coalesce(1)
+    rows.write.mode("overwrite").csv(path, header=True, nullValue="", emptyValue="")
 
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
@@ -59,6 +63,20 @@ def write_reference_index(vectors: DataFrame, centroids: DataFrame, path: str) -
     meta.coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
 
 
+def load_reference_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Vectors with their label, and class centroids; a missing index is a FileNotFoundError."""
+    try:
+        return spark.read.parquet(f"{path}/vectors"), spark.read.parquet(f"{path}/centroids")
+    except AnalysisException as e:
+        raise FileNotFoundError(path) from e
+
+
+def output_records(records: DataFrame) -> DataFrame:
+    """Records with the names of the dataset (words joined by _) and text positions as [start, end]."""
+    named = records.select(*(F.col(c).alias("".join("_" + x.lower() if x.isupper() else x for x in c)) for c in records.columns))
+    return named.withColumn("text_positions", F.transform("text_positions", lambda p: F.array(p["start"], p["end"])))
+
+
 def save_state(spark: SparkSession, path: str, **state) -> None:
     """A one-row JSON table; the writer's commit makes it appear whole or not at all."""
     spark.createDataFrame([tuple(state.get(x.split()[0]) for x in STATE.split(", "))], STATE).coalesce(1).write.mode("overwrite").json(path)

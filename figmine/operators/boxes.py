@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from figmine.sources.spread import dealt_by
+
 SIDES = ["x0", "y0", "x1", "y1"]
 
 
@@ -39,5 +41,5 @@ def by_page(df: DataFrame, solve: Callable[[np.ndarray], np.ndarray], page: str
         if rest is not None:
             yield from one(rest)
 
-    dealt = df.select(page, *SIDES).repartition(page).sortWithinPartitions(page, *SIDES)
+    dealt = dealt_by(df.select(page, *SIDES), page).sortWithinPartitions(page, *SIDES)
     return dealt.mapInArrow(run, f"{page} long, x0 double, y0 double, x1 double, y1 double")

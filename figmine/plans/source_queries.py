@@ -27,6 +27,7 @@ from figmine.sinks.images import save_images
 from figmine.sinks.shared import remove, shared_path
 from figmine.sources import documents as D
 from figmine.sources.images import read_labeled_images
+from figmine.sources.spread import dealt_by
 from figmine.vision import backend, png
 from figmine.vision import rules as R
 
@@ -158,7 +159,7 @@ def config_load(spark, sf):
 def preprocess_roi(spark, sf):
     """The boxes of each page drawn, and the variants of the whole page a text reader is shown: by page the
     share of black pixels after thresholding and the range of the equalised one."""
-    pages = made(spark, sf, BOXES).groupBy("page_key").agg(F.flatten(F.collect_list(F.array("x0", "y0", "x1", "y1"))).alias("sides"))
+    pages = dealt_by(made(spark, sf, BOXES), "page_key").groupBy("page_key").agg(F.flatten(F.collect_list(F.array("x0", "y0", "x1", "y1"))).alias("sides"))
 
     def run(batches):
         for batch in batches:

@@ -5,36 +5,44 @@ from __future__ import annotations
 import hashlib
 import io
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from figmine.sinks.shared import remove, shared_path
 
-_WRITTEN: list[str] = []
+#: the paths written by the run that is open in this thread
+_RUN: ContextVar[list[str] | None] = ContextVar("figmine_run", default=None)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the lineage, survives the loss
-    of executors and keeps later branches from computing it again.  ``release`` deletes it."""
-    path = shared_path(df.sparkSession, name)
-    _WRITTEN.append(path)
+    of executors and keeps later branches from computing it again.  Inside ``scratch`` it is deleted at the end."""
+    path, run = shared_path(df.sparkSession, name), _RUN.get()
+    if run is not None:
+        run.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def written() -> int:
-    """A mark for ``release``: how many intermediate tables this process has written so far."""
-    return len(_WRITTEN)
-
-
-def release(spark: SparkSession, mark: int = 0) -> None:
-    """Delete the intermediate tables written since the mark, once the results made from them are written."""
-    while len(_WRITTEN) > mark:
-        remove(spark, _WRITTEN.pop())
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A run: the intermediate tables written inside are deleted at its end, also after a failure, and no
+    others.  Runs in other threads, before, after or around this one keep theirs."""
+    paths: list[str] = []
+    token = _RUN.set(paths)
+    try:
+        yield
+    finally:
+        _RUN.reset(token)
+        for path in paths:
+            remove(spark, path)
 
 
 #: bounds of what a task holds at once, where the cluster has set none
@@ -160,3 +168,26 @@ def unpack(payload: bytes) -> pa.Table:
 
 def batch_of(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name] for f in schema], schema=schema)
+
+
+def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups of a partition that is sorted by ``keys``, one table each; a group may span batches."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = np.zeros(batch.num_rows - 1, bool)
+        for k in keys:
+            c = batch.column(k)
+            new |= ~np.asarray(pc.fill_null(pc.equal(c.slice(1), c.slice(0, batch.num_rows - 1)), False))
+        cut = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        if held and any(held[-1].column(k)[-1].as_py() != batch.column(k)[0].as_py() for k in keys):
+            yield pa.Table.from_batches(held)
+            held = []
+        for a, z in zip(cut[:-1], cut[1:], strict=True):
+            held.append(batch.slice(a, z - a))
+            if z < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held = []
+    if held:
+        yield pa.Table.from_batches(held)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from figmine.llm import decontaminate, jaccard, langid, line_dedup, media, mixing, quality, substring, toxicity, url_filter
+from figmine.llm import decontaminate, hard_negatives, jaccard, langid, line_dedup, media, mixing, near_vectors, quality, substring, toxicity, url_filter
 from figmine.llm.common import documents, stored
 
 LISTED_FROM = "2024-01-01"
@@ -84,7 +84,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_line_dedup, op4_mix_sources, op5_ngram_jaccard, op6_substring_dedup, op7_url_filter, op8_media, op9_language_id, op10_toxicity)}
+#: where vec_id is divisible by 7, the label that op11_hard_negatives sees is the next one
+NEXT_LABEL = "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"
+
+
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), F.expr("vec_id % 100 = 0"), label=F.expr(NEXT_LABEL))
+
+
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_line_dedup, op4_mix_sources, op5_ngram_jaccard, op6_substring_dedup, op7_url_filter, op8_media, op9_language_id, op10_toxicity, op11_hard_negatives, op12_near_vectors)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -159,4 +171,21 @@ hit AS (SELECT page_id, url, fetched_at, k, valid_from FROM keys JOIN spans ON k
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id, url, fetched_at ORDER BY valid_from DESC, length(k) DESC, k DESC) AS r FROM hit) WHERE r = 1)
 SELECT DISTINCT pg.page_id, host, CAST(pg.fetched_at AS DATE) AS fetched_at, best.k IS NOT NULL AS blocked, best.k AS matched, CAST(best.valid_from AS DATE) AS listed_at
 FROM pg LEFT JOIN best ON best.page_id = pg.page_id AND best.url IS NOT DISTINCT FROM pg.url""",
+    "op11_hard_negatives": f"""
+WITH e AS (SELECT vec_id, {NEXT_LABEL} AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 5""",
+    "op12_near_vectors": f"""
+WITH RECURSIVE e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding) AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= {near_vectors.THRESHOLD}),
+reach AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM reach r JOIN l ON r.y = l.x),
+low AS (SELECT x, min(y) AS m FROM reach GROUP BY x), n AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(low.m, vec_id)) AS component_id, vec_id <= coalesce(low.m, vec_id) AS kept
+FROM embeddings LEFT JOIN low ON low.x = vec_id LEFT JOIN n ON n.x = vec_id""",
 }

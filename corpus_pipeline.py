@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from figmine.llm import decontaminate, jaccard, line_dedup, mixing, toxicity
-from figmine.llm.common import release, written
+from figmine.llm.common import scratch
 from figmine.sinks.shared import remove, shared_path
 
 
@@ -75,9 +75,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``.  Once a stage's result is written, the tables it was made from go."""
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        mark, path = written(), shared_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        release(spark, mark)
+        path = shared_path(spark, f"pipeline-{name}")
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         if before:
             remove(spark, before)
         docs, before = spark.read.parquet(path), path

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from figmine.llm import decontaminate, hard_negatives, jaccard, langid, line_dedup, media, mixing, near_vectors, quality, substring, toxicity, url_filter
+from figmine.llm import alignment, decontaminate, hard_negatives, jaccard, langid, line_dedup, media, mixing, near_vectors, quality, substring, toxicity, url_filter
 from figmine.llm.common import documents, stored
 
 LISTED_FROM = "2024-01-01"
@@ -96,7 +96,15 @@ def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_line_dedup, op4_mix_sources, op5_ngram_jaccard, op6_substring_dedup, op7_url_filter, op8_media, op9_language_id, op10_toxicity, op11_hard_negatives, op12_near_vectors)}
+#: where the vocabulary files of the two tokenizers lie; the driver reads them and ships their bytes
+TOKENIZERS = ("/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(documents(spark, sf_dir), alignment.Pair.of(*TOKENIZERS))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_decontaminate, op3_line_dedup, op4_mix_sources, op5_ngram_jaccard, op6_substring_dedup, op7_url_filter, op8_media, op9_language_id, op10_toxicity, op11_hard_negatives, op12_near_vectors, op13_token_alignment)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

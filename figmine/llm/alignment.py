@@ -2,7 +2,8 @@
 
 ``token_links`` is the core, relational throughout: the tokens of every unit of text are exploded with their byte lengths,
 a window adds the lengths up to end offsets, and a full join of both sides on (unit, end) gives the ends where either
-side has a token.  An end that both have is a cut; the running count of cuts numbers the groups.  Between
+side has a token.  (It is written as a grouping of both sides by these keys, which keeps the rows of a unit together; a
+full join would deal all of them out once more.)  An end that both have is a cut; the running count of cuts numbers the groups.  Between
 two neighbouring ends lies exactly one token of each side, so every row of that join is one link: the last
 known token at or after its end, of each side, by a window.  (A join of the tokens within a group would
 compare all pairs of a long group to find the same rows.)
@@ -22,6 +23,7 @@ columns other than id and text are not read; an empty table gives an empty resul
 from __future__ import annotations
 
 import hashlib
+import io
 import json
 import os
 from collections.abc import Sequence
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from figmine.llm.common import bound_batches, groups, stored, to_bytes
+from figmine.llm.common import bound_batches, groups, stored, to_bytes, unpack
 from figmine.llm.kernels import text_slices
 
 #: bytes of text of a chunk, about
@@ -155,6 +157,18 @@ class Pair:
         return np.concatenate([np.zeros(0, bool), *(np.array([x[2] for x in self.encode(units.slice(i, BATCH).to_pylist())]) for i in range(0, len(units), BATCH))])
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """32-bit numbers, compressed by byte planes: the high ones are nearly all zero."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return len(values).to_bytes(8, "little") + bytes(pa.compress(to_bytes(planes), codec="zstd", asbytes=True))
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:8], "little")
+    planes = np.frombuffer(pa.decompress(raw[8:], decompressed_size=4 * n, codec="zstd", asbytes=True), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
 _CHUNK = "ids array<bigint>, lengths binary, places binary, segments array<string>, counts array<bigint>"
 
 
@@ -180,8 +194,12 @@ def _chunks(docs: DataFrame, pair: Pair) -> DataFrame:
                 used, where = np.unique(where, return_inverse=True)
                 segments = segments.take(pa.array(used))
             counts = np.bincount(where, minlength=len(segments))
+            order = np.argsort(-counts, kind="stable")  # frequent segments have small places
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            segments, counts, where = segments.take(pa.array(order)), counts[order], place[where]
             one = lambda kind, values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-            return pa.RecordBatch.from_arrays([one(None, ids), pa.array([to_bytes(lengths)], pa.binary()), pa.array([to_bytes(where.astype(np.uint32))], pa.binary()), one(None, segments), one(None, pa.array(counts))], ["ids", "lengths", "places", "segments", "counts"])
+            return pa.RecordBatch.from_arrays([one(None, ids), pa.array([to_bytes(lengths)], pa.binary()), pa.array([_planes(where)], pa.binary()), one(None, segments), one(None, pa.array(counts))], ["ids", "lengths", "places", "segments", "counts"])
 
         for batch in batches:
             for first, n, data, offsets in text_slices(batch.column(1), CHUNK_BYTES):
@@ -199,7 +217,7 @@ def _chunks(docs: DataFrame, pair: Pair) -> DataFrame:
     return docs.mapInArrow(run, _CHUNK)
 
 
-_TOKENS = "unit long, n long, a array<int>, a_len array<int>, b array<int>, b_len array<int>"
+_TOKENS = "unit long, n long, text string, a array<int>, a_len array<smallint>, b array<int>, b_len array<smallint>"
 
 
 def _tokenized(units: DataFrame, pair: Pair) -> DataFrame:
@@ -213,8 +231,8 @@ def _tokenized(units: DataFrame, pair: Pair) -> DataFrame:
                 batch = whole.slice(i, BATCH)
                 got = pair.encode(batch.column(2).to_pylist())
                 kept = pa.array([g[2] for g in got], pa.bool_())
-                lists = [pa.array([g[k] for g in got if g[2]], pa.list_(pa.int32())) for k in (0, 3, 1, 4)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept), *lists], ["unit", "n", "a", "a_len", "b", "b_len"])
+                lists = [pa.array([g[k] for g in got if g[2]], pa.list_(kind)) for k, kind in ((0, pa.int32()), (3, pa.int16()), (1, pa.int32()), (4, pa.int16()))]
+                yield pa.RecordBatch.from_arrays([*(c.filter(kept) for c in batch.columns), *lists], ["unit", "n", "text", "a", "a_len", "b", "b_len"])
 
     return units.select("unit", "n", "text").mapInArrow(run, _TOKENS)
 
@@ -224,17 +242,22 @@ def token_links(tokens: DataFrame) -> DataFrame:
     ``a_ends, b_ends`` (which of them end there) and ``after``: cuts at or after the end, the same for all links
     of a group and one less for each group further on."""
 
-    def side(name: str) -> DataFrame:
-        rows = tokens.select("unit", "n", F.arrays_zip(name, f"{name}_len").alias("t")).repartition("unit").select("unit", "n", F.posexplode("t").alias("pos", "t"))
-        ends = F.sum(F.col(f"t.{name}_len").cast("long")).over(W.partitionBy("unit").orderBy("pos"))
-        return rows.select(F.col("unit"), F.col("n").alias(f"{name}_n"), ends.alias("end"), F.struct("pos", F.col(f"t.{name}").alias("id")).alias(name))
+    dealt = tokens.select("unit", "n", "a", "a_len", "b", "b_len").repartition("unit")
+
+    def side(c: str) -> F.Column:
+        is_a = F.lit(c == "a").alias("is_a")
+        return F.transform(F.arrays_zip(F.col(c).alias("id"), F.col(f"{c}_len").alias("length")), lambda t: F.struct(is_a, t["id"].alias("id"), t["length"].alias("length")))
 
-    ends = side("a").join(side("b"), ["unit", "end"], "full")
+    both = F.concat(side("a"), side("b"))
+    rows = dealt.select("unit", "n", F.size("a").alias("first_b"), F.posexplode(both).alias("pos", "t"))
+    ends = F.sum(F.col("t.length").cast("long")).over(W.partitionBy("unit", "t.is_a").orderBy("pos"))
+    rows = rows.select("unit", "n", ends.alias("end"), F.when(F.col("t.is_a"), F.col("pos")).alias("a_pos"), F.when(F.col("t.is_a"), F.col("t.id")).alias("a"), F.when(~F.col("t.is_a"), F.col("pos") - F.col("first_b")).alias("b_pos"), F.when(~F.col("t.is_a"), F.col("t.id")).alias("b"))
+    # the full join of both sides on (unit, end): one row at most of either side
+    met = rows.groupBy("unit", "end").agg(F.max("n").alias("n"), *(F.max(c).alias(c) for c in ("a_pos", "a", "b_pos", "b")))
     back = W.partitionBy("unit").orderBy(F.desc("end"))
-    cut = (F.col("a").isNotNull() & F.col("b").isNotNull()).cast("long")
-    known = [F.last(c, ignorenulls=True).over(back).alias(f"{c}_at") for c in ("a", "b")]
-    rows = ends.select("unit", F.coalesce("a_n", "b_n").alias("n"), "end", *known, F.col("a").isNotNull().alias("a_ends"), F.col("b").isNotNull().alias("b_ends"), F.sum(cut).over(back).alias("after"))
-    return rows.select("unit", "n", "end", F.col("a_at.pos").alias("a_pos"), F.col("a_at.id").alias("a"), F.col("b_at.pos").alias("b_pos"), F.col("b_at.id").alias("b"), "a_ends", "b_ends", "after")
+    a_ends, b_ends = F.col("a").isNotNull(), F.col("b").isNotNull()
+    known = [F.last(c, ignorenulls=True).over(back).alias(c) for c in ("a_pos", "a", "b_pos", "b")]
+    return met.select("unit", "n", "end", *known, a_ends.alias("a_ends"), b_ends.alias("b_ends"), F.sum((a_ends & b_ends).cast("long")).over(back).alias("after"))
 
 
 def _by_unit(links: DataFrame) -> DataFrame:
@@ -248,29 +271,11 @@ def _by_unit(links: DataFrame) -> DataFrame:
     return whole.select("unit", "n", "n_a", "n_b", "n_groups", F.array_join(F.col("groups.text"), ";").alias("groups"), "pairs")
 
 
-class _clustered_joins:
-    """Joins on (unit, end) keep the partitioning by unit while their plan is made."""
-
-    KEY = "spark.sql.requireAllClusterKeysForCoPartition"
-
-    def __init__(self, spark):
-        self.conf = spark.conf
-
-    def __enter__(self):
-        self.before = self.conf.get(self.KEY, None)
-        self.conf.set(self.KEY, "false")
-
-    def __exit__(self, *_):
-        self.conf.unset(self.KEY) if self.before is None else self.conf.set(self.KEY, self.before)
-
-
 def aligned_units(units: DataFrame, pair: Pair) -> DataFrame:
     """``units``: unit (distinct), n (how often it occurs), text (a segment of space + text, or all of it).  A row a unit:
-    n_a, n_b, n_groups, n_links, groups, n_best and count_sum."""
-    spark = units.sparkSession
+    text, n_a, n_b, n_groups, n_links, groups, n_best and count_sum."""
     tokens = stored(_tokenized(units, pair), "tokens")
-    with _clustered_joins(spark):
-        each = stored(_by_unit(token_links(tokens)), "units")
+    each = stored(_by_unit(token_links(tokens)), "units")
     linked = each.select("unit", "n", F.explode("pairs").alias("p")).select("unit", "n", "p.a", "p.b")
     counts = linked.groupBy("a", "b").agg(F.sum("n").alias("count"))
     counts = stored(counts, "pairs")
@@ -279,10 +284,45 @@ def aligned_units(units: DataFrame, pair: Pair) -> DataFrame:
     if counts.count() <= BROADCAST_PAIRS:
         scored = F.broadcast(scored)
     sums = linked.join(scored, (F.col("a") == F.col("ka")) & (F.col("b") == F.col("kb"))).groupBy("unit").agg(F.sum("best").alias("n_best"), F.sum("count").alias("count_sum")).withColumnRenamed("unit", "scored")
-    return each.join(sums, F.col("unit") == F.col("scored")).select("unit", "n_a", "n_b", "n_groups", F.size("pairs").cast("long").alias("n_links"), "n_best", "count_sum", "groups")
+    out = each.select("unit", "n_a", "n_b", "n_groups", F.size("pairs").cast("long").alias("n_links"), "groups").join(sums, F.col("unit") == F.col("scored"))
+    return tokens.select(F.col("unit").alias("of"), "text").join(out, F.col("of") == F.col("unit")).select("text", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
 
 
 _SUMS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+_ANSWERS = pa.schema([("place", pa.int32()), *((c, pa.int64()) for c in _SUMS), ("groups", pa.string())])
+#: bytes of answers that a task packs at once
+PACK_BYTES = 32 << 20
+
+
+def _packed(answers: DataFrame) -> DataFrame:
+    """``chunk, answers``: the answers that a task has for a chunk, compressed in one value."""
+
+    def run(batches):
+        held, size = [], 0
+
+        def out():
+            table = pa.Table.from_batches(held).sort_by([("chunk", "ascending"), ("place", "ascending")])
+            chunk = table["chunk"].to_numpy()
+            cut = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1]))
+            packed = []
+            for a, z in zip(cut.tolist(), [*cut[1:].tolist(), len(chunk)], strict=True):
+                sink = io.BytesIO()
+                part = table.slice(a, z - a).drop_columns(["chunk"]).combine_chunks()
+                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                    w.write_table(part)
+                packed.append(sink.getvalue())
+            return pa.RecordBatch.from_arrays([pa.array(chunk[cut]), pa.array(packed, pa.binary())], ["chunk", "answers"])
+
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= PACK_BYTES:
+                yield out()
+                held, size = [], 0
+        if size:
+            yield out()
+
+    return answers.mapInArrow(run, "chunk long, answers binary")
 
 
 def alignment_report(docs: DataFrame, pair: Pair) -> DataFrame:
@@ -293,16 +333,17 @@ def alignment_report(docs: DataFrame, pair: Pair) -> DataFrame:
     chunks = stored(_chunks(base, pair).withColumn("chunk", F.monotonically_increasing_id()), "chunks")
     asked = chunks.select("chunk", F.posexplode("segments").alias("place", "text"), "counts").select("chunk", "place", "text", F.element_at("counts", F.col("place") + 1).alias("n"))
     units = stored(asked.groupBy("text").agg(F.sum("n").alias("n")).withColumn("unit", F.monotonically_increasing_id()), "segments")
-    known = aligned_units(units, pair)
-    answers = units.select("unit", F.col("text").alias("of")).join(known.withColumnRenamed("unit", "aligned"), F.col("unit") == F.col("aligned")).drop("unit", "aligned")
-    back = asked.select("chunk", "place", "text").join(answers, F.col("text") == F.col("of")).drop("text", "of")
-    both = back.unionByName(chunks.select("chunk", F.lit(-1).alias("place"), "ids", "lengths", "places"), allowMissingColumns=True)
+    known = aligned_units(units, pair).withColumnRenamed("text", "of")
+    back = _packed(asked.select("chunk", "place", "text").join(known, F.col("text") == F.col("of")).select("chunk", "place", *_SUMS, "groups"))
+    both = back.unionByName(chunks.select("chunk", "ids", "lengths", "places"), allowMissingColumns=True)
 
     def run(batches):
         for t in groups(batches, ["chunk"]):
-            head, rows = t.slice(0, 1), t.slice(1)
-            lengths, where = np.frombuffer(head["lengths"][0].as_py(), np.int64), np.frombuffer(head["places"][0].as_py(), np.uint32).astype(np.int64)
-            if head["place"][0].as_py() != -1 or not np.array_equal(rows["place"].to_numpy(), np.arange(rows.num_rows)) or (len(where) and where.max() >= rows.num_rows):
+            head = t.filter(t["answers"].is_null())
+            rows = [unpack(x) for x in t["answers"].to_pylist() if x]
+            rows = pa.concat_tables(rows).sort_by("place") if rows else _ANSWERS.empty_table()
+            lengths, where = np.frombuffer(head["lengths"][0].as_py(), np.int64), _from_planes(head["places"][0].as_py())
+            if head.num_rows != 1 or not np.array_equal(rows["place"].to_numpy(), np.arange(rows.num_rows)) or (len(where) and where.max() >= rows.num_rows):
                 raise RuntimeError("a chunk lacks answers")
             first, full = np.cumsum(lengths) - lengths, lengths > 0
             columns = {}
@@ -316,7 +357,7 @@ def alignment_report(docs: DataFrame, pair: Pair) -> DataFrame:
                 digests.append(hashlib.sha256(";".join([names[i] for i in where[a : a + n]]).encode()).hexdigest() if n else "")
             yield pa.RecordBatch.from_arrays([head["ids"].combine_chunks().flatten(), *columns.values(), pa.array(digests, pa.string())], ["doc_id", *_SUMS, "groups_sha256"])
 
-    ordered = both.select("chunk", "place", "ids", "lengths", "places", *_SUMS, "groups").repartition("chunk").sortWithinPartitions("chunk", "place")
+    ordered = both.select("chunk", "ids", "lengths", "places", "answers").repartition("chunk").sortWithinPartitions("chunk")
     return ordered.mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in _SUMS) + ", groups_sha256 string")
 
 
@@ -327,7 +368,6 @@ def document_links(docs: DataFrame, pair: Pair) -> DataFrame:
     units = docs.select(F.col("doc_id").cast("long").alias("unit"), F.lit(1).cast("long").alias("n"), whole.alias("text")).where("text is not null and unit is not null")
     plain = Pair(*pair.files)
     tokens = stored(_tokenized(units, plain), "tokens")
-    with _clustered_joins(docs.sparkSession):
-        links = stored(token_links(tokens), "links")
+    links = stored(token_links(tokens), "links")
     groups_ = links.groupBy("unit").agg(F.max("after").alias("all")).withColumnRenamed("unit", "of")
     return links.join(groups_, F.col("unit") == F.col("of")).select(F.col("unit").alias("doc_id"), "end", "a_pos", "a", "b_pos", "b", (F.col("all") - F.col("after")).alias("group"))

@@ -27,8 +27,10 @@ from figmine.llm.common import bound_batches, fold_column, in_sample
 from figmine.llm.kernels import Grams, gram_slices, text_slices
 
 ORDER = 4
-TRAIN_DOCS = 300
-MOST_LANGUAGES = 64
+#: training documents of a language, about, and bytes of their texts
+TRAIN_DOCS, TRAIN_BYTES = 300, 4 << 20
+#: languages of one dense table: more of them take more tables, none is left out
+TABLE_LANGUAGES = 8
 _U = np.uint64
 _MASK = [_U((1 << 8 * k) - 1) for k in range(9)]
 _ASCII_LETTER = np.zeros(256, bool)
@@ -120,19 +122,33 @@ def has_letters(column) -> np.ndarray:
     return out
 
 
-def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, order: int = ORDER, most_languages: int = MOST_LANGUAGES) -> ContextTrees:
-    """Context trees from documents outside fold 0 with a known language; the sample of a language is
-    those whose id hash lies below train_docs over its number of documents."""
+class Languages:
+    """Context trees of any number of languages, in tables of a few languages each."""
+
+    def __init__(self, languages: list[str], texts: list[pa.Array], order: int = ORDER, together: int = TABLE_LANGUAGES):
+        self.languages = languages
+        self.tables = [ContextTrees(languages[i : i + together], texts[i : i + together], order) for i in range(0, len(languages), together)]
+
+    def bits(self, column) -> np.ndarray:
+        return np.hstack([np.zeros((len(column), 0)), *(t.bits(column) for t in self.tables)])
+
+
+def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, order: int = ORDER, train_bytes: int = TRAIN_BYTES) -> Languages:
+    """Context trees of every language that a document outside fold 0 has.  The sample of a language is the documents
+    whose id hash lies below train_docs over its number of documents, or train_bytes over their bytes if that is
+    less; a language whose sample is empty keeps the document with the least hash."""
     known = docs.select("doc_id", "text", "lang").where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_column(F.col("doc_id")) != 0))
-    counts = known.groupBy(F.col("lang").alias("of")).count().orderBy(F.desc("count"), "of").limit(most_languages)
-    drawn = known.join(F.broadcast(counts), F.col("lang") == F.col("of")).where(in_sample(F.col("doc_id"), F.lit(float(train_docs)) / F.col("count")))
+    hashed = known.withColumn("h", F.xxhash64("doc_id"))
+    counts = hashed.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"), F.min("h").alias("first"))
+    share = F.least(F.lit(float(train_docs)) / F.col("n"), F.lit(float(train_bytes)) / F.greatest("bytes", F.lit(1)))
+    drawn = hashed.join(counts, F.col("lang") == F.col("of")).where(in_sample(F.col("doc_id"), share) | (F.col("h") == F.col("first")))
     table = drawn.select("lang", "doc_id", "text").toArrow().sort_by([("lang", "ascending"), ("doc_id", "ascending")])
     languages = sorted(set(table["lang"].to_pylist()))
     by = [table.filter(pc.equal(table["lang"], x))["text"].combine_chunks() for x in languages]
-    return ContextTrees(languages, by, order)
+    return Languages(languages, by, order)
 
 
-def identify(docs: DataFrame, model: ContextTrees) -> DataFrame:
+def identify(docs: DataFrame, model: Languages) -> DataFrame:
     """Per document: lang_pred and score, the posterior of that language under equal priors."""
     spark = docs.sparkSession
     bound_batches(spark)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from figmine.llm.common import bound_batches, read_small_ints, small_ints, stored
+from figmine.llm.common import bound_batches, fresh, read_small_ints, small_ints, stored
 from figmine.llm.kernels import _LOWER, BLANK, segment_hashes, text_slices
 
 MIN_CHARS = 20
@@ -171,7 +171,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
 
 
 def lost_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``__drop_id, __drop_print, __drops``: for each row that loses lines, a zlib-compressed bitmap of them."""
+    """``doc_id, print, drops``: for each row that loses lines, a zlib-compressed bitmap of them."""
 
     def many(batches):
         """Groups of the partition, which is sorted by document; the last one is carried on."""
@@ -194,10 +194,10 @@ def lost_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
             bits = np.zeros(int(places.max(initial=-1)) + 1, bool)
             bits[places] = True
             out.append(zlib.compress(np.packbits(bits).tobytes(), 1))
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(prints), pa.array(out, pa.binary())], ["__drop_id", "__drop_print", "__drops"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(prints), pa.array(out, pa.binary())], ["doc_id", "print", "drops"])
 
     by_doc = dropped_lines(docs, min_chars, min_docs).repartition(F.col("doc_id")).sortWithinPartitions("doc_id", "print")
-    return by_doc.mapInArrow(many, "__drop_id long, __drop_print long, __drops binary")
+    return by_doc.mapInArrow(many, "doc_id long, print long, drops binary")
 
 
 def _bitmap(raw: bytes | None, n: int) -> np.ndarray:
@@ -210,9 +210,11 @@ def _bitmap(raw: bytes | None, n: int) -> np.ndarray:
 
 
 def _with_bitmaps(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
-    maps = lost_bitmaps(docs, min_chars, min_docs).hint("shuffle_hash")
-    mine = (docs["doc_id"].cast("long") == maps["__drop_id"]) & (F.xxhash64(docs["text"]) == maps["__drop_print"])
-    return docs.join(maps, mine, "left").drop("__drop_id", "__drop_print")
+    """``docs`` with the bitmap as one more, last column of a name that ``docs`` does not have."""
+    own, mark, drops = (fresh(docs, c) for c in ("drop_id", "drop_print", "drops"))
+    maps = lost_bitmaps(docs.select("doc_id", "text"), min_chars, min_docs).toDF(own, mark, drops).hint("shuffle_hash")
+    mine = (docs["doc_id"].cast("long") == maps[own]) & (F.xxhash64(docs["text"]) == maps[mark])
+    return docs.join(maps, mine, "left").drop(own, mark)
 
 
 def line_dedup_report(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:

@@ -2,7 +2,8 @@
 written as NPY tiles with difference hashes.
 
 Defined cases: null or broken content gives null outputs (``decode`` raises ``ValueError``); images with
-no pixels, or with samples that are no numbers or above their maximum, are broken; extra columns pass
+no pixels, or with samples that are no numbers or above their maximum, are broken, as are plain ones with a
+comment among their samples; samples stay as stored, also where their maximum is below 255; extra columns pass
 through, columns named like an output are replaced.  A null text is an empty payload.  Integral images are
 made in strips along the longer side, so a very long one costs little beside itself.
 """
@@ -94,8 +95,18 @@ def encode_pgm(a: np.ndarray) -> bytes:
     return b"P5\n%d %d\n255\n" % (a.shape[1], a.shape[0]) + np.ascontiguousarray(a, np.uint8).tobytes()
 
 
+def _mask_bytes(raw: bytes) -> list[int]:
+    """Which byte of a pixel holds red, green and blue."""
+    whole = [0xFF << 8 * i for i in range(4)]
+    masks = struct.unpack_from("<III", raw, 54) if len(raw) >= 66 else ()
+    if len(set(masks)) != 3 or not set(masks) <= set(whole):
+        raise ValueError("unsupported colour masks")
+    return [whole.index(m) for m in masks]
+
+
 def decode_bmp(raw: bytes) -> np.ndarray:
-    """Uncompressed BMP of 1, 4, 8, 24 or 32 bits: (h, w, 3) uint8, RGB, top row first."""
+    """Uncompressed BMP of 1, 4, 8, 24 or 32 bits: (h, w, 3) uint8, RGB, top row first.  The colour masks of 32-bit
+    pixels are read; masks that are not whole bytes are broken content, as is any other kind of BMP."""
     if raw[:2] != b"BM" or len(raw) < 54:
         raise ValueError("no BMP image")
     start, size, w, h, _, bits, compression = struct.unpack_from("<I4x", raw, 10)[0:1] + struct.unpack_from("<IiiHHI", raw, 14)
@@ -106,7 +117,8 @@ def decode_bmp(raw: bytes) -> np.ndarray:
         raise ValueError("truncated")
     a = np.frombuffer(raw, np.uint8, count=stride * rows, offset=start).reshape(rows, stride)
     if bits >= 24:
-        a = a[:, : w * bits // 8].reshape(rows, w, bits // 8)[:, :, 2::-1]
+        place = _mask_bytes(raw) if compression == 3 else [2, 1, 0]
+        a = a[:, : w * bits // 8].reshape(rows, w, bits // 8)[:, :, place]
     else:
         used = struct.unpack_from("<I", raw, 46)[0] or 1 << bits
         palette = np.frombuffer(raw, np.uint8, count=4 * used, offset=14 + size).reshape(used, 4)[:, 2::-1]

@@ -17,7 +17,6 @@ by id and text; ``mixed`` replaces columns named like an output.
 
 from __future__ import annotations
 
-import itertools
 import math
 
 import numpy as np
@@ -102,17 +101,40 @@ def flight(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndar
     return p
 
 
+#: open documents of a source that wait for the landing
+LANDING = 14
+
+
 def land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Round the few fractional entries so that the token total, then the count, is nearest."""
     open_ = np.flatnonzero((p > 0) & (p < 1))
     if not len(open_):
         return p
-    best = min(itertools.product((0.0, 1.0), repeat=len(open_)), key=lambda x: (abs(sum((v - p[i]) * size[i] for v, i in zip(x, open_, strict=True))), abs(sum(x) - p[open_].sum()), x))
+    ways = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))[::-1]) & 1
+    tokens, count = np.abs(ways @ size[open_] - p[open_] @ size[open_]), np.abs(ways.sum(axis=1) - p[open_].sum())
     out = p.copy()
-    out[open_] = best
+    out[open_] = ways[np.lexsort((np.round(count, 6), np.round(tokens, 6)))[0]]
     return out
 
 
+def last_flight(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """The flight that ends a source.  A few documents wait for the landing, so that what the flight leaves open
+    can be made up for: a ladder of sizes, each half of the one before if there is such a one, then the smallest."""
+    order = np.argsort(-size, kind="stable")
+    open_ = order[(p[order] > _EPS) & (p[order] < 1 - _EPS)]
+    ladder, left = [], open_
+    while len(left) and len(ladder) < LANDING - 3:
+        half = np.flatnonzero(2 * size[left] >= (size[ladder[-1]] if ladder else 2 * size[left[0]]))
+        at = int(half[-1]) if len(half) else 0
+        ladder.append(int(left[at]))
+        left = left[at + 1 :]
+    rest = open_[~np.isin(open_, ladder)]
+    flown = rest[: max(0, len(rest) - (LANDING - len(ladder)))]
+    out = p.astype(float).copy()
+    out[flown] = flight(p[flown], size[flown], rng)
+    return land(out, size)
+
+
 _ROW = "row long, rank long, mix long, bucket long, size long, p double"
 _COLUMNS = ["row", "rank", "mix", "bucket", "size", "p"]
 
@@ -121,9 +143,7 @@ def _level(rows: DataFrame, level: int, last: bool) -> DataFrame:
     def solve(table: pa.Table):
         p, size = table["p"].to_numpy(), table["size"].to_numpy()
         key = [int(table[c][0].as_py()) for c in ("rank", "bucket")]
-        p = flight(p, size, np.random.default_rng([7, level, *key]))
-        if last:
-            p = land(p, size)
+        p = (last_flight if last else flight)(p, size, np.random.default_rng([7, level, *key]))
         return table.set_column(table.schema.get_field_index("p"), "p", pa.array(p)).select(_COLUMNS)
 
     def run(batches):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -141,11 +142,20 @@ def _named_counts(spark, sf):
     return Q._counts(spark, sf).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("arxiv_id"), F.col("n").cast("int").alias("circuit_count"))
 
 
-@query(f"WITH {DECIDED} {RECORDS}")
+@query(f"WITH {DECIDED}, named AS ({RECORDS}) SELECT 'kept' AS seen, * FROM named WHERE doc_id % 2 = 0 UNION ALL SELECT 'committed' AS seen, * FROM named")
 def write_dataset_json(spark, sf):
+    """A first version, a second one whose write fails half way, and the second one again: what a reader
+    sees after the failure and at the end."""
     path = shared_path(spark, "dataset")
-    O.write_dataset(_records(Q.decided(spark, sf).where("is_target")), path)
-    return O.read_dataset(spark, path, RECORD)
+    rows = _records(Q.decided(spark, sf).where("is_target"))
+    O.write_dataset(rows.where("doc_id % 2 = 0"), path)
+    failing = rows.withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")).otherwise(F.raise_error(F.lit("this row cannot be written")).cast("long")))
+    try:
+        O.write_dataset(failing, path)
+    except PySparkException:
+        kept = O.read_dataset(spark, path, RECORD)
+    O.write_dataset(rows, path)
+    return kept.select(F.lit("kept").alias("seen"), "*").unionByName(O.read_dataset(spark, path, RECORD).select(F.lit("committed").alias("seen"), "*"))
 
 
 @query(f"WITH {CNT} {COUNTS}")
@@ -159,16 +169,16 @@ def write_counts_csv(spark, sf):
 def save_all(spark, sf):
     path = shared_path(spark, "outputs")
     saved = O.save_all(_records(Q.decided(spark, sf).where("is_target")), _named_counts(spark, sf), path)
-    rows = O.read_dataset(spark, f"{path}/dataset", RECORD).agg(F.count("*").alias("n_records"))
-    return rows.crossJoin(O.read_counts(spark, f"{path}/counts").agg(F.count("*").alias("n_counts"))).select(F.lit(saved).alias("saved"), "n_records", "n_counts")
+    rows = O.read_dataset(spark, path, RECORD, "/dataset").agg(F.count("*").alias("n_records"))
+    return rows.crossJoin(O.read_counts(spark, path, "/counts").agg(F.count("*").alias("n_counts"))).select(F.lit(saved).alias("saved"), "n_records", "n_counts")
 
 
 @query(f"WITH {DECIDED}, {CNT} SELECT 'record' AS kind, filename AS name, CAST(NULL AS INT) AS n FROM ({RECORDS}) UNION ALL SELECT 'count' AS kind, arxiv_id AS name, circuit_count AS n FROM ({COUNTS})")
 def resume_outputs_load(spark, sf):
     path = shared_path(spark, "outputs")
     O.save_all(_records(Q.decided(spark, sf).where("is_target")), _named_counts(spark, sf), path)
-    records = O.read_dataset(spark, f"{path}/dataset", RECORD).select(F.lit("record").alias("kind"), F.col("filename").alias("name"), F.lit(None).cast("int").alias("n"))
-    return records.unionByName(O.read_counts(spark, f"{path}/counts").select(F.lit("count").alias("kind"), F.col("arxiv_id").alias("name"), F.col("circuit_count").alias("n")))
+    records = O.read_dataset(spark, path, RECORD, "/dataset").select(F.lit("record").alias("kind"), F.col("filename").alias("name"), F.lit(None).cast("int").alias("n"))
+    return records.unionByName(O.read_counts(spark, path, "/counts").select(F.lit("count").alias("kind"), F.col("arxiv_id").alias("name"), F.col("circuit_count").alias("n")))
 
 
 STATE_SQL = f"WITH {DECIDED} SELECT CAST(max(paper) AS INT) AS last_paper_index, 'p' || max(paper) AS last_paper_id, CAST(count(*) FILTER (WHERE is_target) AS INT) AS total_found, CAST(count(DISTINCT paper) AS INT) AS processed FROM dd"
@@ -183,13 +193,13 @@ def _saved(spark, sf):
 
 @query(STATE_SQL)
 def write_checkpoint(spark, sf):
-    return spark.read.schema(O.STATE).json(_saved(spark, sf)).select("last_paper_index", "last_paper_id", "total_found", "processed")
+    return spark.read.schema(O.STATE).json(O.state_file(spark, _saved(spark, sf))).select("last_paper_index", "last_paper_id", "total_found", "processed")
 
 
 @query(STATE_SQL)
 def checkpoint_load(spark, sf):
     state = O.load_state(spark, _saved(spark, sf))
-    return spark.createDataFrame([state], O.STATE).select("last_paper_index", "last_paper_id", "total_found", "processed")
+    return spark.createDataFrame([tuple(state.values())], O.STATE).select("last_paper_index", "last_paper_id", "total_found", "processed")
 
 
 @query("SELECT true AS before, false AS after")

@@ -1,7 +1,9 @@
 """Incremental runs: papers in order, batch by batch, until enough figures are found.
 
-A batch's records and the state that counts it are written under the batch's own folder before the next
-begins, so a stopped run goes on after the last whole batch and gives what one run would have given."""
+A batch's records are written into a folder of their own; one commit file then names that folder together with
+the state that counts it, before the next batch begins.  So a stopped run goes on after the last whole batch and gives what
+one run would have given, whatever the size of its batches; folders of a stopped batch, or of a run whose state was
+cleared, are named by no commit and never read."""
 
 from __future__ import annotations
 
@@ -11,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from figmine.sinks.outputs import load_state, resume_point, save_state
+from figmine.sinks import snapshots
+from figmine.sinks.shared import remove
 
 
 def run(papers: DataFrame, detect: Callable[[DataFrame], DataFrame], out: str, batch: int = 1000, most: int | None = None, stop_after: int | None = None) -> DataFrame:
@@ -21,18 +24,30 @@ def run(papers: DataFrame, detect: Callable[[DataFrame], DataFrame], out: str, b
     spark = papers.sparkSession
     last = papers.agg(F.max("paper_idx")).first()[0]
     n = 0 if last is None else last + 1
-    start, found = resume_point(load_state(spark, f"{out}/state"))
-    done = 0
+    state = snapshots.latest(spark, out) or {"next": 0, "found": 0}
+    snapshots.sweep(spark, out)  # what stopped batches left
+    start, found, done = state["next"], state["found"], 0
     while start < n and (most is None or found < most) and (stop_after is None or done < stop_after):
         rows = detect(papers.where((F.col("paper_idx") >= start) & (F.col("paper_idx") < start + batch)))
         if most is not None:
             rows = rows.orderBy("paper_idx", "image_index").limit(most - found)
-        path = f"{out}/data/batch={start:012d}"
-        rows.write.mode("overwrite").parquet(path)  # a batch done again replaces itself
-        found += spark.read.parquet(path).count()
+        written = {}
+
+        def write(folder: str, rows=rows, written=written, start=start, found=found) -> None:
+            rows.write.parquet(folder)
+            written["found"] = found + spark.read.parquet(folder).count()
+
         start, done = min(start + batch, n), done + 1
-        save_state(spark, f"{out}/state", last_paper_index=start - 1, last_paper_id=str(start - 1), total_found=found, processed=start, skipped=0, failed=0, timestamp="", version="1.0")
-    return spark.read.parquet(f"{out}/data") if start else detect(papers.limit(0))
+        snapshots.write(spark, out, write, keep=0, note=lambda written=written, start=start: {"next": start, "found": written["found"]})
+        found = written["found"]
+    folders = snapshots.folders(spark, out)
+    return spark.read.parquet(*folders) if folders else detect(papers.limit(0))
+
+
+def clear(spark, out: str) -> None:
+    """Forget a run: its commits go first, so that nothing of it is read, then its rows."""
+    remove(spark, f"{out}/commits")
+    remove(spark, f"{out}/data")
 
 
 def file_stream(spark, path: str, schema: str, detect: Callable[[DataFrame], DataFrame], out: str, checkpoint: str):

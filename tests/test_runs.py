@@ -3,9 +3,12 @@
 import json
 
 import numpy as np
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from figmine.sinks import outputs as O
+from figmine.sinks import snapshots
 from figmine.streaming import incremental as I
 from figmine.vision import backend, rules
 
@@ -31,6 +34,7 @@ def test_components_and_rules(spark):
 def test_outputs(spark, tmp_path):
     counts = spark.createDataFrame([("a", 3), ("b", None)], "arxiv_id string, circuit_count int")
     O.write_counts(counts, f"{tmp_path}/counts")
+    assert O.read_counts(spark, f"{tmp_path}/absent").count() == 0
     assert sorted(map(tuple, O.read_counts(spark, f"{tmp_path}/counts").collect()), key=str) == [("a", 3), ("b", None)]
     assert O.read_counts(spark, f"{tmp_path}/none").count() == 0
     records = spark.createDataFrame([("a_1.png", "a", 2)], "filename string, arxiv_number string, page_number int")
@@ -56,3 +60,113 @@ def test_stream(spark, tmp_path):
     q = I.file_stream(spark, f"{tmp_path}/in", "paper_idx long", _detect, f"{tmp_path}/out", f"{tmp_path}/cp")
     q.awaitTermination(60)
     assert spark.read.parquet(f"{tmp_path}/out").count() == _detect(spark.range(6).select(F.col("id").alias("paper_idx"))).count()
+
+
+# outputs that stay whole ------------------------------------------------------------------------
+
+
+def _failing(spark, schema, n=200):
+    """Rows of which one cannot be written, in the last of several tasks."""
+    bad = F.when(F.col("id") < n - 1, F.col("id")).otherwise(F.raise_error(F.lit("broken")).cast("long"))
+    return spark.range(n).repartition(8, "id").select(F.concat(F.lit("f"), bad.cast("string")).alias(schema[0]), bad.cast(schema[2]).alias(schema[1]))
+
+
+def test_failed_rewrite_keeps_the_old_rows(spark, tmp_path):
+    records, counts = "filename string, page long", O.COUNTS
+    first = spark.createDataFrame([("a.png", 1), ("b.png", 2), ("c.png", None)], records)
+    path = f"{tmp_path}/dataset"
+    assert O.read_dataset(spark, path, records).count() == 0
+    O.write_dataset(first, path)
+    for _ in range(2):
+        with pytest.raises(PySparkException):
+            O.write_dataset(_failing(spark, ("filename", "page", "long")), path)
+        assert sorted(map(tuple, O.read_dataset(spark, path, records).collect())) == sorted(map(tuple, first.collect()))
+    assert len(snapshots.names(spark, f"{path}/data")) == 1  # nothing is left of the failed ones
+    held = O.read_dataset(spark, path, records)
+    O.write_dataset(first.limit(1), path)
+    assert held.count() == 3 and O.read_dataset(spark, path, records).count() == 1
+    O.write_dataset(first.limit(2), path)
+    assert O.read_dataset(spark, path, records).count() == 2 and len(snapshots.names(spark, f"{path}/data")) == 2
+    numbers = spark.createDataFrame([("a", 3), ("b", None)], counts)
+    both = f"{tmp_path}/both"
+    assert O.save_all(first, numbers, both)
+    with pytest.raises(PySparkException):
+        O.save_all(first.limit(1), _failing(spark, ("arxiv_id", "circuit_count", "int")), both)
+    assert O.read_dataset(spark, both, records, "/dataset").count() == 3 and O.read_counts(spark, both, "/counts").count() == 2
+
+
+def test_lost_files_are_an_error(spark, tmp_path):
+    path = f"{tmp_path}/dataset"
+    O.write_dataset(spark.createDataFrame([("a.png", 1)], "filename string, page long"), path)
+    snapshots.remove(spark, snapshots.folder(spark, path))
+    with pytest.raises(PySparkException):
+        O.read_dataset(spark, path, "filename string, page long").count()
+
+
+def test_broken_lines_are_seen(spark, tmp_path):
+    path, schema = f"{tmp_path}/dataset", "filename string, page long"
+    snapshots.write(spark, path, lambda folder: spark.createDataFrame([('{"filename": "a", "page": 1}',), ('{"filename": "b", "pa',), ("",), ('{"filename": "c", "page": "x"}',)], "value string").write.text(folder))
+    assert [r["filename"] for r in O.read_dataset(spark, path, schema).collect()] == ["a"]
+    assert sorted(r["line"] for r in O.broken_lines(spark, path, schema).collect()) == ['{"filename": "b", "pa', '{"filename": "c", "page": "x"}']
+    assert O.broken_lines(spark, f"{tmp_path}/none", schema).count() == 0
+
+
+def test_commits_of_two_writers(spark, tmp_path):
+    root = f"{tmp_path}/x"
+
+    def slow(folder):
+        spark.range(1).write.parquet(folder)
+        snapshots.write(spark, root, lambda f: spark.range(2).write.parquet(f))  # another writer is faster
+
+    with pytest.raises(snapshots.Conflict):
+        snapshots.write(spark, root, slow)
+    assert spark.read.parquet(snapshots.folder(spark, root)).count() == 2 and snapshots.versions(spark, root) == [1]
+    assert len(snapshots.names(spark, f"{root}/data")) == 1
+
+
+def test_state_survives(spark, tmp_path):
+    path, state = f"{tmp_path}/state", {"last_paper_index": 4, "last_paper_id": "p4", "total_found": 2, "processed": 5, "skipped": 0, "failed": 0, "timestamp": "t", "version": "1.0"}
+    O.save_state(spark, path, **state)
+    O.save_state(spark, path, **state | {"last_paper_index": 9})
+    assert O.load_state(spark, path)["last_paper_index"] == 9 and len(snapshots.versions(spark, path)) == 1
+    O.save_state(spark, path, **state | {"timestamp": None})
+    assert O.load_state(spark, path) is None
+    with open(snapshots.commit_path(path, snapshots.versions(spark, path)[-1]), "w") as f:
+        f.write('{"last_paper')
+    assert O.load_state(spark, path) is None
+    O.clear_state(spark, path)
+    O.clear_state(spark, path)
+    assert O.load_state(spark, path) is None
+
+
+@pytest.mark.parametrize("most", [None, 7])
+def test_no_stale_batch_is_read(spark, tmp_path, most):
+    """A stopped run whose state is lost, and one whose state stays, go on with batches of another size."""
+    papers = spark.range(20).select(F.col("id").alias("paper_idx"))
+    read = lambda df: sorted((r["paper_idx"], r["image_index"]) for r in df.collect())
+    whole = read(I.run(papers, _detect, f"{tmp_path}/one", batch=4, most=most))
+    out = f"{tmp_path}/two"
+    I.run(papers, _detect, out, batch=5, most=most, stop_after=2)
+    snapshots.remove(spark, f"{out}/commits")  # the state is lost, the rows are not
+    assert read(I.run(papers, _detect, out, batch=10, most=most)) == whole
+    out = f"{tmp_path}/three"
+    I.run(papers, _detect, out, batch=5, most=most, stop_after=1)
+    spark.range(3).selectExpr("id as paper_idx", "0 as image_index").write.parquet(f"{out}/data/v-stopped")  # of a batch without a commit
+    assert read(I.run(papers, _detect, out, batch=3, most=most)) == whole and "v-stopped" not in snapshots.names(spark, f"{out}/data")
+    I.clear(spark, out)
+    assert read(I.run(papers, _detect, out, batch=20, most=most)) == whole
+
+
+def test_failed_batch_is_done_again(spark, tmp_path):
+    papers = spark.range(10).select(F.col("id").alias("paper_idx"))
+    out, calls = f"{tmp_path}/run", []
+
+    def detect(p):
+        calls.append(1)
+        rows = _detect(p)
+        return rows.withColumn("image_index", F.raise_error(F.lit("lost")).cast("int")) if len(calls) == 2 else rows
+
+    with pytest.raises(PySparkException):
+        I.run(papers, detect, out, batch=4)
+    got = I.run(papers, detect, out, batch=4)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, _detect(papers).collect()))

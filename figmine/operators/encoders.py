@@ -2,25 +2,21 @@
 
 An encoder is made by a function without arguments and turns a list of values into one row of a matrix
 each; None stands for a value that it cannot read.  The defaults are approximations for tables that bring no
-vectors: hashed word counts for texts, a small gray picture for images."""
+vectors: hashed word counts for texts, counted in the JVM, and a small gray picture for images."""
 
 from __future__ import annotations
 
-import hashlib
-import re
-from collections import Counter
 from collections.abc import Callable
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
 from figmine.vision import backend, png
 
 Encoder = Callable[[list], list]
-_WORD = re.compile("[a-z0-9]+")
 _HELD: dict = {}
 
 
@@ -35,28 +31,24 @@ def held(make: Callable[[], Encoder]):
     return _HELD[key] or None
 
 
-@lru_cache(1 << 16)
-def _bucket(word: str) -> int:
-    return int(hashlib.md5(word.encode()).hexdigest()[:8], 16)
+#: dimensions of hashed word counts
+SIZE = 64
 
 
-class text_encoder:
-    """Makes an encoder of hashed counts of lower-case words of ASCII letters and digits, not normalised."""
+def word_buckets(df: DataFrame, key: str, text: str, size: int = SIZE) -> DataFrame:
+    """``key, bucket, n``: how many lower-case words of ASCII letters and digits of each text fall into a bucket, the first
+    32 bits of a word's md5 modulo ``size``.  The sparse vector of a text; one without words has no rows."""
+    words = df.select(key, F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))).alias("word"))
+    bucket = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("long") % size
+    return words.select(key, bucket.cast("int").alias("bucket")).groupBy(key, "bucket").agg(F.count("*").alias("n"))
 
-    def __init__(self, size: int = 64):
-        self.size = size
 
-    def __call__(self) -> Encoder:
-        def encode(texts: list) -> list:
-            out = []
-            for t in texts:
-                row = np.zeros(self.size)
-                for word, n in Counter(_WORD.findall((t or "").lower())).items():
-                    row[_bucket(word) % self.size] += n
-                out.append(row)
-            return out
-
-        return encode
+def bucket_vectors(df: DataFrame, key: str, text: str, out: str = "embedding", size: int = SIZE) -> DataFrame:
+    """``key, out``: those counts as an array, zeros for texts without words, not normalised.  Keys are distinct; a
+    key's buckets meet, not its words."""
+    counts = word_buckets(df, key, text, size).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "n"))).alias("counts")).withColumnRenamed(key, "counted")
+    dense = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.try_element_at("counts", i), F.lit(0)).cast("float"))
+    return df.select(key).join(counts, F.col(key) == F.col("counted"), "left").select(key, dense.alias(out))
 
 
 class image_encoder:

@@ -1,13 +1,14 @@
 """Topics of texts: phrases first, similarity with reference texts where no phrase is found.
 
-Phrase lists are a parameter.  Short ones are a chain of column expressions; long ones are searched in
-one pass over each text with an automaton, whatever their length."""
+Phrase lists are a parameter of any length, found through an inverted index in the JVM.  A phrase counts wherever the
+normalised text contains it, also inside words, so each phrase is looked up by its longest word: the words of the
+texts that contain this word are found by a join on grams of three characters over the distinct words, texts
+meet their candidates by those words, and only candidates are compared with the text itself."""
 
 from __future__ import annotations
 
 import json
 
-import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +16,11 @@ from pyspark.sql import functions as F
 from figmine import vocab
 from figmine.functions import text as T
 from figmine.operators import classify as K
-from figmine.operators.encoders import encode, text_encoder
+from figmine.operators.encoders import bucket_vectors, encode
 from figmine.sinks.shared import shared_path
 
-#: phrases up to which a chain of expressions is used
-CHAIN = 64
+#: characters of a gram of the index
+GRAM = 3
 
 
 def read_topics(spark: SparkSession, path: str) -> tuple[tuple[str, tuple[str, ...]], ...]:
@@ -32,70 +33,99 @@ def read_topics(spark: SparkSession, path: str) -> tuple[tuple[str, tuple[str, .
     return tuple((topic, tuple(p.lower() for p in phrases)) for topic, phrases in found.items())
 
 
-def match_phrases(df: DataFrame, text: str, topics=vocab.TOPIC_PHRASES) -> DataFrame:
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Rows of the driver as a relation in the JVM, without a task of Python."""
+    types = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    fields = [f.split() for f in schema.split(", ")]
+    return spark.createDataFrame(pa.table({name: pa.array([r[i] for r in rows], types[kind]) for i, (name, kind) in enumerate(fields)}))
+
+
+def phrase_table(spark: SparkSession, topics=vocab.TOPIC_PHRASES) -> DataFrame:
+    """``ord, category, phrase`` in order of precedence."""
+    rows = [(i, c, p) for i, (c, p) in enumerate((topic, p) for topic, phrases in topics for p in phrases)]
+    return local_table(spark, rows, "ord long, category string, phrase string")
+
+
+def phrase_candidates(texts: DataFrame, phrases: DataFrame) -> DataFrame:
+    """``id, found``: for each text (``id, t``: normalised) the phrases (``ord, category, phrase``) whose longest word one of its
+    words contains.  Phrases without a word are in no text."""
+    words_of = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
+    longest = F.array_max(F.transform(words_of(F.col("phrase")), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
+    keyed = phrases.withColumn("anchor", longest["w"]).where("anchor is not null")
+    anchors = keyed.groupBy("anchor").agg(F.collect_list(F.struct("ord", "category", "phrase")).alias("phrases"))
+    words = texts.select("id", F.explode(F.array_distinct(words_of(F.col("t")))).alias("word"))
+    # every gram of a word that can be the start of an anchor: three characters, or all of a shorter anchor
+    grams_of = lambda n: F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.substring(F.col("word"), i, F.lit(n)))
+    sizes = [r[0] for r in keyed.select(F.least(F.length("anchor"), F.lit(GRAM))).distinct().collect()]  # three at most
+    grams = F.array_distinct(F.flatten(F.array(*map(grams_of, sizes)))) if sizes else F.array().cast("array<string>")
+    split = words.select("word").distinct().select("word", F.explode(grams).alias("gram"))
+    heads = anchors.select("anchor", F.left("anchor", F.lit(GRAM)).alias("head"))
+    met = split.join(heads, F.col("gram") == F.col("head")).where(F.contains("word", "anchor")).select(F.col("word").alias("of"), "anchor").distinct()
+    hits = words.join(met, F.col("word") == F.col("of")).select("id", "anchor").distinct()
+    return hits.join(anchors, "anchor").groupBy("id").agg(F.flatten(F.collect_list("phrases")).alias("found"))
+
+
+def match_phrases(df: DataFrame, text: str, topics=vocab.TOPIC_PHRASES, key: str | None = None) -> DataFrame:
     """``df`` with ``category`` and ``phrase``: the first phrase, by order of the lists, that the normalised
-    text contains; 'Unknown' and null without one."""
-    rows = df.drop("category", "phrase")
-    if sum(len(p) for _, p in topics) <= CHAIN:
-        return rows.withColumn("__t", T.phrase_topic(F.col(text), topics)).select(*rows.columns, "__t.category", "__t.phrase")
-    order, names = [(topic, p) for topic, phrases in topics for p in phrases], rows.columns
-
-    def run(batches):
-        automaton = ahocorasick.Automaton()
-        for i, (_, p) in enumerate(order):
-            if p and p not in automaton:
-                automaton.add_word(p, i)
-        automaton.make_automaton()
-        for batch in batches:
-            low = [min((i for _, i in automaton.iter(t)), default=None) if t else None for t in batch.column(batch.num_columns - 1).to_pylist()]
-            found = [("Unknown", None) if i is None else order[i] for i in low]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([c for c, _ in found], pa.string()), pa.array([p for _, p in found], pa.string())], [*names, "category", "phrase"])
-
-    schema = type(rows.schema)([*rows.schema.fields]).add("category", "string").add("phrase", "string")
-    return rows.withColumn("__t", T.normalize_text(F.col(text))).mapInArrow(run, schema)
+    text contains; 'Unknown' and null without one.  ``topics`` are lists by topic, or a table like ``phrase_table``;
+    ``key`` names a column of distinct values that are not null (without one, rows are written once with a number)."""
+    spark, rows = df.sparkSession, df.drop("category", "phrase")
+    phrases = topics if isinstance(topics, DataFrame) else phrase_table(spark, topics)
+    number = F.monotonically_increasing_id() if key is None else F.col(key)
+    base = rows.select(F.struct(*rows.columns).alias("row"), T.normalize_text(F.col(text)).alias("t"), number.alias("id"))
+    if key is None:  # the number must stay the same when a lost task is run again
+        base = _written(base, "texts")
+    found = phrase_candidates(base.select("id", "t"), phrases.select("ord", "category", "phrase")).withColumnRenamed("id", "of")
+    first = F.array_min(F.filter("found", lambda p: F.contains(F.col("t"), p["phrase"])))
+    out = base.join(found, F.col("id") == F.col("of"), "left").select("row", first.alias("first"))
+    return out.select("row.*", F.coalesce("first.category", F.lit("Unknown")).alias("category"), F.col("first.phrase").alias("phrase"))
+
+
+def _vectors(df: DataFrame, key: str, text: str, make, out: str) -> DataFrame:
+    """``key`` and the vector of each text: hashed word counts in the JVM, or what an encoder makes."""
+    return bucket_vectors(df, key, text, out) if make is None else encode(df, text, make, out).select(key, out)
 
 
 def reference_vectors(spark: SparkSession, topics=vocab.TOPIC_PHRASES, make=None) -> DataFrame:
     """``ord, category, ref``: the vector of each topic's reference text, here its phrases."""
-    make = make or text_encoder()
-    texts = spark.createDataFrame([(i, c, " ".join(ps)) for i, (c, ps) in enumerate(topics)], "ord int, category string, text string")
-    return encode(texts, "text", make, "ref").select("ord", "category", "ref")
+    texts = local_table(spark, [(i, c, " ".join(ps)) for i, (c, ps) in enumerate(topics)], "ord int, category string, text string")
+    return texts.select("ord", "category").join(_vectors(texts, "ord", "text", make, "ref"), "ord")
 
 
 def classify(df: DataFrame, key: str, text: str, topics=vocab.TOPIC_PHRASES, make=None) -> DataFrame:
     """``key, category, confidence, score, method`` of each text, in two stages: a phrase decides with score 1;
-    only texts without one are encoded and compared with the reference texts.  Empty texts are Unknown."""
-    make = make or text_encoder()
-    rows = match_phrases(df.select(F.col(key).alias("vec_id"), F.coalesce(T.strip(F.col(text)), F.lit("")).alias("body")), "body", topics)
+    only texts without one are encoded and compared with the reference texts.  Empty texts are Unknown.  Keys are
+    distinct and not null."""
+    rows = match_phrases(df.select(F.col(key).alias("vec_id"), F.coalesce(T.strip(F.col(text)), F.lit("")).alias("body")), "body", topics, "vec_id")
     first = F.when(F.col("body") == "", "no_text").when(F.col("phrase").isNotNull(), "explicit_match")
-    rows = rows.withColumn("method", first)
+    rows = _written(rows.withColumn("method", first), "matched")
     done = rows.where("method is not null").select("vec_id", "category", F.when(F.col("method") == "no_text", "LOW").otherwise("HIGH").alias("confidence"), F.when(F.col("method") == "no_text", 0.0).otherwise(1.0).alias("score"), "method")
-    left = encode(rows.where("method is null").select("vec_id", "body"), "body", make).select("vec_id", "embedding")
+    left = _vectors(rows.where("method is null").select("vec_id", "body"), "vec_id", "body", make, "embedding")
     second = K.topic_similarity(left, reference_vectors(df.sparkSession, topics, make)).select("vec_id", "category", "confidence", "score", F.lit("embedding_similarity").alias("method"))
     return done.unionByName(second).withColumnRenamed("vec_id", key)
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def cascade(df: DataFrame, key: str, steps: list[str], topics=vocab.TOPIC_PHRASES, make=None) -> DataFrame:
-    """``key, category, confidence, score, method, step``: both stages on the first text, then, for rows that
-    are still Unknown, on each further text that adds something; the last answer stands.  Every step's rows
-    are written once, so a step reads what the one before decided and does not decide it again."""
+    """``key, category, confidence, score, method, step``: both stages on the first text, then, for keys that
+    are still Unknown, on each further text that adds something; the last answer stands.  Texts stay in their table: a step
+    reads one column of the keys that it decides, and only answers are written and joined."""
     names = ["category", "confidence", "score", "method", "step"]
-
-    def judged(rows, text, step):
-        out = classify(rows, key, text, topics, make).withColumn("step", F.lit(step)).withColumnRenamed(key, "__k")
-        return rows.join(out, F.col(key) == F.col("__k")).drop("__k")
-
-    unknown = F.col("category") == "Unknown"
-    now = _written(judged(df.select(key, *steps), steps[0], 1), "topics")
-    known = now.where(~unknown).select(key, *names)
+    now = _written(classify(df, key, steps[0], topics, make).withColumn("step", F.lit(1)), "topics")
+    unknown, parts = F.col("category") == "Unknown", []
     for i in range(1, len(steps)):
-        left, same = now.where(unknown), F.col(steps[i]).eqNullSafe(F.col(steps[i - 1]))
-        now = _written(left.where(same).unionByName(judged(left.where(~same).drop(*names), steps[i], i + 1)), "topics")
-        known = known.unionByName(now.where(~unknown).select(key, *names))
-    return known.unionByName(now.where(unknown).select(key, *names))
+        parts.append(now.where(~unknown))
+        open_ = now.where(unknown).withColumnRenamed(key, "open_key")
+        fresh = df.where(~F.col(steps[i]).eqNullSafe(F.col(steps[i - 1]))).select(key, F.col(steps[i]).alias("body"))
+        asked = _written(fresh.join(open_.select("open_key"), F.col(key) == F.col("open_key"), "left_semi"), "asked")
+        same = open_.join(asked.select(F.col(key).alias("asked_key")), F.col("open_key") == F.col("asked_key"), "left_anti").withColumnRenamed("open_key", key)
+        now = _written(same.select(key, *names).unionByName(classify(asked, key, "body", topics, make).withColumn("step", F.lit(i + 1)).select(key, *names)), "topics")
+    out = now.select(key, *names)
+    for p in parts:
+        out = out.unionByName(p.select(key, *names))
+    return out

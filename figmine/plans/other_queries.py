@@ -250,9 +250,20 @@ def bbox_codec(spark, sf):
     return b.select("page_key", F.array(*back).alias("box"), same.alias("same"))
 
 
-@query(f"SELECT page_key, min(x0) AS x0, count(*) AS n FROM ({BOX}) GROUP BY 1")
+#: rects of the first place of an image on its page; every fifth box is an image without one
+RECTS = "SELECT l_orderkey AS page_key, l_linenumber AS image_no, CASE WHEN l_linenumber % 5 = 0 THEN {empty} ELSE {box} END AS rects FROM lineitem"
+_RECT = "CAST(l_partkey % 400 AS DOUBLE), CAST(l_suppkey % 97 AS DOUBLE), CAST(l_partkey % 400 + l_quantity * 4 AS DOUBLE), CAST(l_suppkey % 97 + 10 * l_linenumber AS DOUBLE)"
+
+
+def first_rect(rects):
+    """The first rect of an image on its page, as ``[x0, y0, x1, y1]``; null where the page has none."""
+    return F.try_element_at(rects, F.lit(1))
+
+
+@query(f"SELECT page_key, image_no, rects[1][1] AS x0, rects[1][2] AS y0, rects[1][3] AS x1, rects[1][4] AS y1 FROM ({RECTS.format(empty='CAST([] AS DOUBLE[][])', box=f'[[{_RECT}], [0.0E0, 0.0E0, 1.0E0, 1.0E0]]')})")
 def embedded_bbox(spark, sf):
-    return made(spark, sf, BOXES).groupBy("page_key").agg(F.min("x0").alias("x0"), F.count("*").alias("n"))
+    rows = spark.sql(RECTS.replace("FROM lineitem", "FROM {lineitem}").format(empty="CAST(array() AS array<array<double>>)", box=f"array(array({_RECT}), array(0.0D, 0.0D, 1.0D, 1.0D))", lineitem="{lineitem}"), lineitem=spark.read.parquet(f"{sf}/lineitem.parquet"))
+    return rows.select("page_key", "image_no", *(first_rect(F.col("rects"))[i].alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))))
 
 
 METHODS = [("embedded", 0), ("vector", 1), ("rendered", 2)]

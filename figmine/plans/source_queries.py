@@ -237,11 +237,30 @@ def classify_cascade(spark, sf):
 
 @query(f"WITH v AS ({_buckets('documents', 'doc_id', 'text')}), s AS (SELECT doc_id, sum(n) AS words, sum(n * n) AS squares, max(n) AS most FROM v GROUP BY 1) SELECT doc_id, 64 AS dim, coalesce(words, 0) AS words, coalesce(squares, 0) AS squares, coalesce(most, 0) AS most FROM documents LEFT JOIN s USING (doc_id)")
 def encode_text(spark, sf):
-    v = E.encode(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), "text", E.text_encoder())
+    v = E.bucket_vectors(spark.read.parquet(f"{sf}/documents.parquet"), "doc_id", "text")
     total = lambda f: F.aggregate("embedding", F.lit(0.0), lambda s, x: s + f(x.cast("double")))
     return v.select("doc_id", F.size("embedding").alias("dim"), total(lambda x: x).alias("words"), total(lambda x: x * x).alias("squares"), F.array_max("embedding").cast("double").alias("most"))
 
 
+#: neighbouring words of the items, every third pair without its outer characters, so that it ends inside words
+_ITEM = f"SELECT item_id, list_filter(string_split({NORM.format('text')}, ' '), lambda w: w <> '') AS w FROM benchmark"
+_PAIRS = f"SELECT item_id * 100000 + i AS ord, 'T' || item_id AS category, CASE WHEN i % 3 = 0 THEN substr(w[i] || ' ' || w[i + 1], 2, length(w[i] || w[i + 1]) - 1) ELSE w[i] || ' ' || w[i + 1] END AS phrase FROM (SELECT item_id, w, unnest(range(1, len(w))) AS i FROM ({_ITEM}))"
+
+
+@query(f"""WITH p AS ({_PAIRS}), t AS (SELECT doc_id, {NORM.format('text')} AS t FROM documents),
+m AS (SELECT doc_id, min(ord) AS ord FROM t JOIN p ON contains(t, phrase) WHERE trim(phrase) <> '' GROUP BY 1)
+SELECT doc_id, coalesce(category, 'Unknown') AS category, phrase FROM documents LEFT JOIN m USING (doc_id) LEFT JOIN p USING (ord)""")
+def phrase_index_join(spark, sf):
+    """A list of more than a thousand phrases, made of the benchmark items, over whole documents."""
+    words = F.filter(F.split(T.normalize_text(F.col("text")), " "), lambda w: w != "")
+    items = spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", words.alias("w"))
+    pairs = items.where(F.size("w") > 1).select("item_id", "w", F.explode(F.sequence(F.lit(1), F.size("w") - 1)).alias("i"))
+    pair = F.concat(F.element_at("w", F.col("i")), F.lit(" "), F.element_at("w", F.col("i") + 1))
+    cut = F.when(F.col("i") % 3 == 0, F.substring(pair, F.lit(2), F.length(pair) - 2)).otherwise(pair)
+    phrases = pairs.select((F.col("item_id") * 100000 + F.col("i")).alias("ord"), F.concat(F.lit("T"), F.col("item_id").cast("string")).alias("category"), cut.alias("phrase"))
+    return P.match_phrases(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), "text", phrases, "doc_id").select("doc_id", "category", "phrase")
+
+
 # whole records ------------------------------------------------------------------------------------
 
 DETECTED = "CASE doc_id % 3 WHEN 0 THEN array('hadamard') WHEN 1 THEN array('CX', 'h') ELSE array() END"

@@ -1,9 +1,13 @@
 """Files, encoders, topics, neighbours and pixels against derived cases."""
 
+import hashlib
 import json
+import random
+import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from figmine import vocab
 from figmine.functions import boxes as B
@@ -203,14 +207,44 @@ def test_index_reaches_nine_in_ten(spark):
 # topics and encoders
 
 
-def test_long_phrase_lists_give_the_same(spark):
-    """The automaton of a long list and the chain of a short one: first topic, first phrase."""
-    texts = ["Grover  Search and QAOA", "qaoa then grover", "nothing", None, "", "Surface Code", "the vqe, a variational quantum eigensolver"]
-    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+def test_phrase_lists_of_any_length_give_the_same(spark):
+    """First topic, first phrase: with a short list, a long one, and one with empty phrases in it."""
+    texts = ["Grover  Search and QAOA", "qaoa then grover", "nothing", None, "", "Surface Code", "the vqe, a variational quantum eigensolver", "subqaoas", "a surface codex", "xsurface code"]
+    df = spark.createDataFrame([(i, t, "c") for i, t in enumerate(texts)], "id long, text string, t string")
     short = P.match_phrases(df, "text").collect()
-    many = (*vocab.TOPIC_PHRASES, ("Rest", tuple(f"phrase number {i}" for i in range(100))))
+    many = (("None", ("", " ")), *vocab.TOPIC_PHRASES, ("Rest", ("", *(f"phrase number {i}" for i in range(700)))))
     assert sorted(short) == sorted(P.match_phrases(df, "text", many).collect())
-    assert {r["id"]: r["phrase"] for r in short}[5] == "surface code"
+    chain = df.select("id", T.phrase_topic(F.col("text")).alias("x")).collect()
+    assert {r["id"]: (r["category"], r["phrase"]) for r in short} == {r["id"]: tuple(r["x"]) for r in chain}
+    assert {r["id"]: r["phrase"] for r in short}[9] == "surface code" and {r["t"] for r in short} == {"c"}
+    assert {r["category"] for r in P.match_phrases(df, "text", (("A", ("",)),)).collect()} == {"Unknown"}
+    assert {r["category"] for r in P.match_phrases(df, "text", ()).collect()} == {"Unknown"}
+
+
+def test_phrases_against_brute_force(spark):
+    r = random.Random(4)
+    word = lambda: "".join(r.choices("abc", k=r.randint(1, 4)))
+    texts = [" ".join(word() for _ in range(r.randint(0, 12))) for _ in range(200)]
+    phrases = list(dict.fromkeys(" ".join(word() for _ in range(r.randint(1, 3))) for _ in range(60)))
+    got = P.match_phrases(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), "text", [(f"t{i}", [p]) for i, p in enumerate(phrases)])
+    want = {i: next((p for p in phrases if p in t), None) for i, t in enumerate(texts)}
+    assert {x["id"]: x["phrase"] for x in got.collect()} == want
+
+
+def test_text_vectors_against_brute_force(spark):
+    texts = ["One two, TWO; three3 é", "", None, "漢字 !", "a " * 3000]
+    got = {r["id"]: r["v"] for r in E.bucket_vectors(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), "id", "text", "v").collect()}
+    for i, t in enumerate(texts):
+        want = [0.0] * 64
+        for w in re.findall("[a-z0-9]+", (t or "").lower()):
+            want[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 64] += 1
+        assert got[i] == want
+
+
+def test_cascade_takes_up_only_new_texts(spark):
+    rows = [(1, "uses qaoa", "grover", "shor"), (2, "none", "none", "shor here"), (3, "none", "a transmon", None), (4, None, None, None), (5, "zz", "", "grover")]
+    got = P.cascade(spark.createDataFrame(rows, "id long, a string, b string, c string"), "id", ["a", "b", "c"]).collect()
+    assert sorted((r["id"], r["category"], r["step"]) for r in got) == [(1, "QAOA", 1), (2, "Shor_Algorithm", 3), (3, "Hardware_Architecture", 2), (4, "Unknown", 1), (5, "Grover_Algorithm", 3)]
 
 
 def test_read_topics(spark, tmp_path):

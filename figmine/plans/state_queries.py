@@ -230,3 +230,24 @@ def run_pipeline(spark, sf):
 
     papers = made(spark, sf, FIGURES).select(F.col("paper").alias("paper_idx")).distinct()
     return _records(incremental.run(papers, detect, shared_path(spark, "run"), batch=10))
+
+
+#: figures after which the stream ends
+ENOUGH = 60
+
+
+@query(f"WITH {DECIDED} {RECORDS} QUALIFY row_number() OVER (ORDER BY paper, doc_id) <= {ENOUGH}")
+def stream_until_enough(spark, sf):
+    """Figures as a stream of files, ten papers each: stopped after the second one and started again from its checkpoint,
+    until enough are found."""
+    source, out, checkpoint = (shared_path(spark, n) for n in ("stream-in", "stream-out", "stream-state"))
+    decided = Q.decided(spark, sf).select(F.col("paper").cast("long").alias("paper_idx"), F.col("doc_id").cast("long").alias("image_index"), "is_target", "category")
+    path = shared_path(spark, "stream-all")
+    decided.write.parquet(path)
+    figures, schema = spark.read.parquet(path), "paper_idx long, image_index long, is_target boolean, category string"
+    for part in range(4):
+        figures.where(F.col("paper_idx").between(10 * part, 10 * part + 9)).coalesce(1).write.mode("append").parquet(source)
+        if part in (1, 3):  # first with the files of the first two parts, then with the rest
+            incremental.file_stream(spark, source, schema, lambda rows: rows.where("is_target"), out, checkpoint, most=ENOUGH).awaitTermination()
+    found = spark.read.parquet(out).select(F.col("paper_idx").alias("paper"), F.col("image_index").alias("doc_id"), "category")
+    return _records(found)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -50,10 +51,37 @@ def clear(spark, out: str) -> None:
     remove(spark, f"{out}/data")
 
 
-def file_stream(spark, path: str, schema: str, detect: Callable[[DataFrame], DataFrame], out: str, checkpoint: str):
-    """The same detection over a stream of Parquet files; offsets and results commit together."""
-    papers = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
-    return detect(papers).writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", out).trigger(availableNow=True).start()
+def capped(rows: DataFrame, most: int, order: tuple[str, ...] = ("paper_idx", "image_index")) -> DataFrame:
+    """The first ``most`` rows of a stream: of each micro-batch, in order, as many as the total leaves room for.
+
+    The total is keyed state: it lies in the state store and is committed with the batch's offsets, so a restart goes on
+    with it.  The task that holds it keeps no more rows than there is room for, whatever the size of the batch."""
+    columns = list(order)
+
+    def first(_, frames, state):
+        found = state.get[0] if state.exists else 0
+        room, held = most - found, None
+        for frame in frames:
+            if room > 0:
+                held = (frame if held is None else pd.concat([held, frame])).sort_values(columns, kind="stable").head(room)
+        if held is not None and len(held):
+            state.update((found + len(held),))
+            yield held
+
+    keyed = rows.withColumn("total_of", F.lit("run"))
+    out = keyed.groupBy("total_of").applyInPandasWithState(first, keyed.schema, "found long", "append", "NoTimeout")
+    return out.drop("total_of")
+
+
+def file_stream(spark, path: str, schema: str, detect: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, most: int | None = None, files: int = 1):
+    """The same detection over a stream of Parquet files, ``files`` a micro-batch in the order of their times, until
+    ``most`` rows are found; offsets, the number found and results commit together.  Ends with the files that are there:
+    started again, it goes on with new ones."""
+    papers = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+    rows = detect(papers)
+    if most is not None:
+        rows = capped(rows, most)
+    return rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", out).outputMode("append").trigger(availableNow=True).start()
 
 
 def numbered(rows: DataFrame) -> DataFrame:

@@ -170,3 +170,22 @@ def test_failed_batch_is_done_again(spark, tmp_path):
         I.run(papers, detect, out, batch=4)
     got = I.run(papers, detect, out, batch=4)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, _detect(papers).collect()))
+
+
+@pytest.mark.parametrize("most", [1, 7, 100])
+def test_stream_until_enough(spark, tmp_path, most):
+    """Stopped and started again: the first rows in order, and the total stays where it was."""
+    papers = spark.range(24).select(F.col("id").alias("paper_idx"))
+    want = sorted((r["paper_idx"], r["image_index"]) for r in _detect(papers).collect())[:most]
+    source, out, state = (f"{tmp_path}/{n}" for n in ("in", "out", "state"))
+
+    def go():
+        I.file_stream(spark, source, "paper_idx long", _detect, out, state, most=most).awaitTermination()
+        return sorted((r["paper_idx"], r["image_index"]) for r in spark.read.parquet(out).collect())
+
+    for part in range(6):
+        papers.where(F.col("paper_idx").between(4 * part, 4 * part + 3)).orderBy(F.desc("paper_idx")).coalesce(1).write.mode("append").parquet(source)
+        if part in (0, 3):
+            got = go()
+            assert got == want[: len(got)]
+    assert go() == want and go() == want

@@ -23,12 +23,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from figmine.llm.common import bound_batches, fold_column, in_sample
+from figmine.llm.common import bound_batches, fold_column, in_sample, stored
 from figmine.llm.kernels import Grams, gram_slices, text_slices
 
 ORDER = 4
 #: training documents of a language, about, and bytes of their texts
 TRAIN_DOCS, TRAIN_BYTES = 300, 4 << 20
+#: languages whose numbers of documents are broadcast, at most
+MAX_BROADCAST_LANGUAGES = 100_000
 #: languages of one dense table: more of them take more tables, none is left out
 TABLE_LANGUAGES = 8
 _U = np.uint64
@@ -140,6 +142,9 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, order: int = ORDER, tra
     known = docs.select("doc_id", "text", "lang").where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_column(F.col("doc_id")) != 0))
     hashed = known.withColumn("h", F.xxhash64("doc_id"))
     counts = hashed.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"), F.min("h").alias("first"))
+    counts = stored(counts, "languages")
+    if counts.count() <= MAX_BROADCAST_LANGUAGES:
+        counts = F.broadcast(counts)  # else texts would be dealt out by language
     share = F.least(F.lit(float(train_docs)) / F.col("n"), F.lit(float(train_bytes)) / F.greatest("bytes", F.lit(1)))
     drawn = hashed.join(counts, F.col("lang") == F.col("of")).where(in_sample(F.col("doc_id"), share) | (F.col("h") == F.col("first")))
     table = drawn.select("lang", "doc_id", "text").toArrow().sort_by([("lang", "ascending"), ("doc_id", "ascending")])

@@ -57,7 +57,7 @@ def sha(text):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "labels"):
+    for t in ("documents", "benchmark", "pages", "labels", "embeddings"):
         con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
     df = QUERIES[name](spark, sf)
     cursor = con.execute(ORACLE_SQL[name])

@@ -11,7 +11,8 @@ from figmine.functions import boxes as B
 from figmine.functions import text as T
 from figmine.functions import vectors as V
 from figmine.operators import classify as K
-from figmine.operators.boxes import by_page
+from figmine.operators.boxes import SIDES, by_page
+from figmine.operators.spatial import overlapping_pairs, without_nested
 from figmine.plans.fixtures import BOXES, CAPTIONS, FIGURES, GATES, VECTORS, in_sql, made
 from figmine.plans.registry import query
 from figmine.plans.text_queries import FILTERED, _topic_sql, NORM
@@ -149,18 +150,15 @@ PAIRS = f"bx AS ({BOX}), pr AS (SELECT a.page_key, a.x0 AS ax, a.y0 AS ay, a.x1
 
 @query(f"WITH {PAIRS} SELECT page_key, ax, ay, bx0, by0, round(CASE WHEN w * h > 0 THEN w * h / ((ax1 - ax) * (ay1 - ay) + (bx1 - bx0) * (by1 - by0) - w * h) ELSE 0.0E0 END, 6) AS iou FROM pr WHERE w * h > 0")
 def iou(spark, sf):
-    b = made(spark, sf, BOXES)
-    a = b.select("page_key", F.struct("x0", "y0", "x1", "y1").alias("a"))
-    p = a.join(a.withColumnRenamed("a", "b"), "page_key").where("a < b")
-    value = B.iou({k: F.col(f"a.{k}") for k in ("x0", "y0", "x1", "y1")}, {k: F.col(f"b.{k}") for k in ("x0", "y0", "x1", "y1")})
-    return p.select("page_key", F.col("a.x0").alias("ax"), F.col("a.y0").alias("ay"), F.col("b.x0").alias("bx0"), F.col("b.y0").alias("by0"), F.round(value, 6).alias("iou")).where("iou > 0")
+    p = overlapping_pairs(made(spark, sf, BOXES), ["page_key"])
+    a, b = F.col("a"), F.col("b")
+    value = B.iou({k: a[k] for k in SIDES}, {k: b[k] for k in SIDES})
+    return p.select("page_key", a["x0"].alias("ax"), a["y0"].alias("ay"), b["x0"].alias("bx0"), b["y0"].alias("by0"), F.round(value, 6).alias("iou"))
 
 
 @query(f"WITH bx AS ({BOX}) SELECT page_key, x0, y0, x1, y1 FROM bx a WHERE NOT EXISTS (SELECT 1 FROM bx b WHERE a.page_key = b.page_key AND b.x0 < a.x0 AND b.y0 < a.y0 AND b.x1 > a.x1 AND b.y1 > a.y1)")
 def remove_nested(spark, sf):
-    a = made(spark, sf, BOXES)
-    b = a.withColumnsRenamed({"page_key": "k", "x0": "bx0", "y0": "by0", "x1": "bx1", "y1": "by1"})
-    return a.join(b, (F.col("page_key") == F.col("k")) & (F.col("bx0") < F.col("x0")) & (F.col("by0") < F.col("y0")) & (F.col("bx1") > F.col("x1")) & (F.col("by1") > F.col("y1")), "left_anti")
+    return without_nested(made(spark, sf, BOXES), ["page_key"])
 
 
 @query(f"SELECT page_key, x0, y0, x1, y1, row_number() OVER (PARTITION BY page_key ORDER BY floor(y0 / 30), x0, y0, x1, y1) AS place FROM ({BOX})")

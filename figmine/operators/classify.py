@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from figmine import vocab
 from figmine.functions import text as T
@@ -125,12 +126,38 @@ def _cells_of(x: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
     return np.take_along_axis(near, np.argsort(np.take_along_axis(d, near, 1), axis=1, kind="stable"), 1)
 
 
+def in_cells(df: DataFrame, column: str, centres: np.ndarray, most: int) -> DataFrame:
+    """``cells``: the ``most`` cells nearest to each vector, nearest first."""
+    shared = df.sparkSession.sparkContext.broadcast(centres)
+
+    def run(batches):
+        for batch in batches:
+            x = batch.column(batch.schema.get_field_index(column)).flatten().to_numpy().astype(np.float64).reshape(batch.num_rows, -1)
+            near = _cells_of(x, shared.value, most) if batch.num_rows else np.zeros((0, 1), int)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.astype(np.int32).tolist(), pa.list_(pa.int32()))], [*batch.schema.names, "cells"])
+
+    return df.mapInArrow(run, StructType([*df.schema.fields]).add("cells", ArrayType(IntegerType())))
+
+
+def among(asking: DataFrame, held: DataFrame, sizes: DataFrame, asked_rows: int, k: int, block: int) -> DataFrame:
+    """The k nearest of the references that lie in the cells that each query asks.  ``sizes`` has a row a cell
+    (cell, n), at most MOST_CELLS.  Cells larger than ``block`` are split, and the queries of a cell come in
+    groups as well: a third of them may ask one cell."""
+    parts = F.broadcast(sizes.select("cell", F.ceil(F.col("n") / block).cast("int").alias("parts")))
+    held = held.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("ref_id"), "parts").cast("int")).drop("parts")
+    asking = asking.join(parts, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    turns = max(1, -(-asked_rows // block))
+    asking = asking.withColumn("turn", F.pmod(F.xxhash64("vec_id"), F.lit(turns)).cast("int"))
+    held = held.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+    key = ("cell", "part", "turn")
+    return _ranked(asking.groupBy(*key).cogroup(held.groupBy(*key)).applyInArrow(_nearest(k), _NEAR), k)
+
+
 def knn_indexed(queries: DataFrame, references: DataFrame, k: int = 10, cells: int | None = None, probes: int | None = None, block: int = 4096) -> DataFrame:
     """As ``knn``, by an inverted file: every reference lies in the cell of its nearest centre, and a query
     asks its ``probes`` nearest cells (by default as many as the fit found enough).  Centres are fitted on a
-    bounded sample, all rows are indexed, and cells larger than ``block`` are split, so that no group grows.  Neighbours in cells that were not asked
-    are missed: ``recall`` measures how many."""
-    spark = queries.sparkSession
+    bounded sample, all rows are indexed, and no group grows.  Neighbours in cells that were not asked
+    are missed: ``recall`` measures how many.  ``stored_index`` keeps such an index."""
     asked, known = _sides(queries, references)
     n = known.count()
     cells = cells or int(min(MOST_CELLS, max(1, round(n**0.5))))
@@ -138,28 +165,10 @@ def knn_indexed(queries: DataFrame, references: DataFrame, k: int = 10, cells: i
     probes = probes or enough
     if not len(centres):
         return knn(queries, references, k, block)
-    shared = spark.sparkContext.broadcast(centres)
-
-    def dealt(column: str, most: int):
-        def run(batches):
-            for batch in batches:
-                x = batch.column(batch.schema.get_field_index(column)).flatten().to_numpy().astype(np.float64).reshape(batch.num_rows, -1)
-                near = _cells_of(x, shared.value, most) if batch.num_rows else np.zeros((0, 1), int)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.astype(np.int32).tolist(), pa.list_(pa.int32()))], [*batch.schema.names, "cells"])
-
-        return run
-
-    held = known.mapInArrow(dealt("ref", 1), "ref_id long, ref array<float>, label int, cells array<int>").withColumn("cell", F.col("cells")[0]).drop("cells")
-    sizes = held.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))  # one row a cell, at most MOST_CELLS
-    held = held.join(F.broadcast(sizes), "cell").withColumn("part", F.pmod(F.xxhash64("ref_id"), "parts").cast("int")).drop("parts")
-    asking = asked.mapInArrow(dealt("embedding", probes), "vec_id long, embedding array<float>, cells array<int>").select("vec_id", "embedding", F.explode("cells").alias("cell"))
-    asking = asking.join(F.broadcast(sizes), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    # queries of a cell come in groups as well: a third of them may ask one cell
-    turns = max(1, -(-asked.count() // block))
-    asking = asking.withColumn("turn", F.pmod(F.xxhash64("vec_id"), F.lit(turns)).cast("int"))
-    held = held.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
-    key = ("cell", "part", "turn")
-    return _ranked(asking.groupBy(*key).cogroup(held.groupBy(*key)).applyInArrow(_nearest(k), _NEAR), k)
+    held = in_cells(known, "ref", centres, 1).withColumn("cell", F.col("cells")[0]).drop("cells")
+    sizes = held.groupBy("cell").agg(F.count("*").alias("n"))
+    asking = in_cells(asked, "embedding", centres, probes).select("vec_id", "embedding", F.explode("cells").alias("cell"))
+    return among(asking, held, sizes, asked.count(), k, block)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from figmine.functions import boxes as B
 from figmine.functions import text as T
 from figmine.functions import vectors as V
 from figmine.operators import classify as K
+from figmine.operators import stored_index as S
 from figmine.operators.boxes import SIDES, by_page
 from figmine.operators.spatial import overlapping_pairs, without_nested
 from figmine.plans.fixtures import BOXES, CAPTIONS, FIGURES, GATES, VECTORS, in_sql, made
@@ -77,6 +78,16 @@ def knn_index_recall(spark, sf):
     return share.crossJoin(q.agg(F.count("*").alias("n_queries"))).select("n_queries", "n", (F.col("recall") >= 0.9).alias("reached"))
 
 
+@query(f"WITH v AS ({VEC}), {KNN} SELECT vec_id, ref_id, label, round(distance, 4) AS distance FROM kn WHERE rank = 1")
+def stored_index_search(spark, sf):
+    """An index that was written and opened again: the nearest vector of every fiftieth row lies in the first cell it asks."""
+    q, r = _split(spark, sf)
+    path = shared_path(spark, "cells")
+    S.write_index(r.select("vec_id", "embedding", F.col("is_target").alias("label")), path)
+    near = S.search(S.open_index(spark, path), q).where("rank = 1")
+    return near.select("vec_id", "ref_id", "label", F.round("distance", 4).alias("distance"))
+
+
 @query(f"WITH v AS ({VEC}), {KNN} SELECT vec_id, n_target, n FROM ks")
 def knn_label_counts(spark, sf):
     return K.knn_scores(_neighbours(spark, sf)).select("vec_id", "n_target", "n")

@@ -9,6 +9,8 @@ from figmine import vocab
 from figmine.functions import text as T
 from figmine.plans.fixtures import CAPTIONS, IDS, in_sql, made
 from figmine.plans.registry import query
+from figmine.sinks.shared import shared_path
+from figmine.sources.paper_list import indexed, read_paper_list
 
 C, I = in_sql(CAPTIONS), in_sql(IDS)
 #: Unicode blanks spelled out, as RE2's own class is ASCII; braces doubled for str.format
@@ -45,11 +47,17 @@ def line_classify(spark, sf):
 
 @query(f"WITH {LINES} SELECT row_number() OVER (ORDER BY line_no) - 1 AS paper_idx, id FROM k WHERE kind = 'valid'")
 def paper_list_scan(spark, sf):
-    from figmine.sources.paper_list import indexed
-
     return indexed(_lines(spark, sf).where("kind = 'valid'").select("line_no", "id"), "line_no", "paper_idx").select("paper_idx", "id")
 
 
+@query(f"WITH {LINES}, o AS (SELECT *, row_number() OVER (ORDER BY line_no) - 1 AS place FROM k) SELECT place AS line_no, id, kind FROM o")
+def paper_list_file(spark, sf):
+    """A list written as text files and read again by splits, in file order."""
+    path = shared_path(spark, "list")
+    made(spark, sf, IDS).orderBy("line_no").select("raw").write.text(path)
+    return read_paper_list(spark, path).select("line_no", "id", "kind")
+
+
 @query(f"WITH {LINES} SELECT id, min(line_no) AS line_no FROM k WHERE kind IN ('valid', 'duplicate') GROUP BY id")
 def dedup_first(spark, sf):
     return _lines(spark, sf).where("ok and kind in ('valid', 'duplicate')").groupBy("id").agg(F.min("line_no").alias("line_no"))

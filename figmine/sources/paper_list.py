@@ -44,7 +44,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_paper_list(spark: SparkSession, path: str) -> DataFrame:
     """``line_no, raw, id, kind`` of each line; kind is empty, comment, invalid, duplicate or valid.
     A missing file gives an empty result.  An id counts where it stands first: one row an id is aggregated
-    and joined back, so comments, blank lines and frequent ids are no group of their own."""
+    and joined back, so comments and blank lines are no group of their own; a frequent id is a skewed join key."""
     try:
         lines = numbered_lines(spark, path)
     except AnalysisException:
@@ -53,4 +53,6 @@ def read_paper_list(spark: SparkSession, path: str) -> DataFrame:
     known = lines.withColumn("id", T.clean_id(F.col("raw"))).withColumn("__ok", T.valid_id(F.col("id")) & ~raw.startswith("#"))
     first = known.where("__ok").groupBy(F.col("id").alias("__id")).agg(F.min("line_no").alias("__first"))
     kind = F.when(raw == "", "empty").when(raw.startswith("#"), "comment").when(~F.col("__ok"), "invalid").when(F.col("line_no") > F.col("__first"), "duplicate").otherwise("valid")
-    return known.join(first, F.col("__ok") & (F.col("id") == F.col("__id")), "left").withColumn("kind", kind).select("line_no", "raw", "id", "kind")
+    # lines without an id get a key of their own that no id has, else they would all meet in a few partitions
+    key = F.when(F.col("__ok"), F.col("id")).otherwise(F.concat(F.lit("#"), F.col("line_no").cast("string")))
+    return known.withColumn("__key", key).join(first, F.col("__key") == F.col("__id"), "left").withColumn("kind", kind).select("line_no", "raw", "id", "kind")

@@ -1,16 +1,19 @@
 """Topics of texts: phrases first, similarity with reference texts where no phrase is found.
 
 Phrase lists are a parameter of any length, found through an inverted index in the JVM.  A phrase counts wherever the
-normalised text contains it, also inside words, so each phrase is looked up by its longest word: the words of the
-texts that contain this word are found by a join on grams of three characters over the distinct words, texts
-meet their candidates by those words, and only candidates are compared with the text itself."""
+normalised text contains it, also inside words.  The first phrases of a list are tried on every text; texts
+without any of them meet the others through the index.  A phrase with a space is looked up by what stands around one: the
+pieces around the spaces of a text meet the phrases where the text is, and what leaves a task is at most one rank a
+text.  A phrase without one lies within a word: the distinct words meet those phrases by grams of three characters."""
 
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from figmine import vocab
@@ -19,8 +22,15 @@ from figmine.operators import classify as K
 from figmine.operators.encoders import bucket_vectors, encode
 from figmine.sinks.shared import shared_path
 
-#: characters of a gram of the index
+#: characters of a gram of the index, on each side of a space
 GRAM = 3
+#: characters of a piece on each side of a space, and the piece itself, one a space: of words shorter than that all
+SIDE = 16
+PIECE = r"(?=((?:(?<![^ ])[^ ]{%d,%d}|[^ ]{%d}) [^ ]{%d,%d}))"
+#: phrases tried on every text before the index, and phrases tried together
+HEAD, BLOCK = 512, 32
+#: phrases of one broadcast; a longer list goes over the texts several times
+AT_ONCE = 200_000
 
 
 def read_topics(spark: SparkSession, path: str) -> tuple[tuple[str, tuple[str, ...]], ...]:
@@ -52,23 +62,66 @@ def phrase_table(spark: SparkSession, topics=vocab.TOPIC_PHRASES) -> DataFrame:
     return local_table(spark, rows, "ord long, category string, phrase string")
 
 
-def phrase_candidates(texts: DataFrame, phrases: DataFrame) -> DataFrame:
-    """``id, found``: for each text (``id, t``: normalised) the phrases (``ord, category, phrase``) whose longest word one of its
-    words contains.  Phrases without a word are in no text."""
-    words_of = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
-    longest = F.array_max(F.transform(words_of(F.col("phrase")), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
-    keyed = phrases.withColumn("anchor", longest["w"]).where("anchor is not null")
-    anchors = keyed.groupBy("anchor").agg(F.collect_list(F.struct("ord", "category", "phrase")).alias("phrases"))
-    words = texts.select("id", F.explode(F.array_distinct(words_of(F.col("t")))).alias("word"))
-    # every gram of a word that can be the start of an anchor: three characters, or all of a shorter anchor
+def _once(phrases: DataFrame) -> DataFrame:
+    """``ord, category, phrase``: every distinct phrase that has a word once, at its first place."""
+    known = phrases.where(F.replace("phrase", F.lit(" "), F.lit("")) != "")
+    return known.groupBy("phrase").agg(F.min(F.struct("ord", "category")).alias("first")).select("first.*", "phrase")
+
+
+def _first_of(text: Column, rows: list) -> Column:
+    """The first of some phrases, in order, that a text contains, as ``category, phrase``; after a block that has one no other is tried."""
+    one = lambda r: F.struct(F.lit(r["category"]).cast("string").alias("category"), F.lit(r["phrase"]).alias("phrase"))
+    blocks = [F.array(*map(one, rows[i : i + BLOCK])) for i in range(0, len(rows), BLOCK)]
+    none = F.lit(None).cast("struct<category: string, phrase: string>")
+    return F.coalesce(*(F.get(F.filter(b, lambda p: F.contains(text, p["phrase"])), F.lit(0)) for b in blocks), none)
+
+
+def _spaced(texts: DataFrame, phrases: DataFrame) -> DataFrame:
+    """``id, rank`` of phrases that have a space.  Each is known by its longest piece around a space; the distinct pieces
+    of a text meet the phrases by up to three characters a side, as long as the phrases have them, without a shuffle of pieces."""
+    pieces = F.regexp_extract_all("phrase", F.lit(PIECE % (0, SIDE - 1, SIDE, 0, SIDE)), F.lit(1))
+    piece = F.array_max(F.transform(pieces, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    left, right = (F.substring_index("piece", " ", i) for i in (1, -1))
+    known = phrases.withColumn("piece", piece).withColumn("gram", F.concat(F.right(left, F.lit(GRAM)), F.lit(" "), F.left(right, F.lit(GRAM))))
+    known = _written(known.select("gram", "piece", "phrase", "rank"), "grams")
+    kinds = known.groupBy((F.instr("gram", " ") - 1).alias("l"), (F.length("gram") - F.instr("gram", " ")).alias("r")).agg(F.count("*").alias("n"), F.max(F.col("piece") != F.col("phrase")).alias("longer")).collect()  # 15 at most
+    if not kinds:
+        return texts.select("id", F.lit(None).cast("decimal(32, 0)").alias("rank")).limit(0)
+    pieces = F.array_distinct(F.regexp_extract_all("t", F.lit(PIECE % (1, SIDE - 1, SIDE, 1, SIDE)), F.lit(1)))
+    met = texts.select("id", "t", pieces.alias("pieces")).select("id", "t", F.explode("pieces").alias("of"))
+    left, right = (F.substring_index("of", " ", i) for i in (1, -1))
+    grams = F.array_distinct(F.array(*(F.concat(F.right(left, F.lit(k["l"])), F.lit(" "), F.left(right, F.lit(k["r"]))) for k in kinds)))
+    met = met.select("id", "t", "of", F.explode(grams).alias("gram"))
+    blocks = -(-sum(k["n"] for k in kinds) // AT_ONCE)
+    parts = [met.join(F.broadcast(known.where(F.expr(f"pmod(xxhash64(phrase), {blocks}) = {b}"))), "gram") for b in range(blocks)]
+    hit = F.contains("of", "piece")
+    if any(k["longer"] for k in kinds):
+        hit = hit & ((F.col("piece") == F.col("phrase")) | F.contains("t", "phrase"))
+    return reduce(DataFrame.unionByName, (p.where(hit).select("id", "rank") for p in parts))
+
+
+def _unspaced(texts: DataFrame, phrases: DataFrame) -> DataFrame:
+    """``id, rank`` of the first phrase without a space that a word of the text contains: distinct words meet the phrases by
+    their first three characters, or by all of a shorter one."""
+    sizes = [r[0] for r in phrases.select(F.least(F.length("phrase"), F.lit(GRAM))).distinct().collect()]  # three at most
+    if not sizes:
+        return texts.select("id", F.lit(None).cast("decimal(32, 0)").alias("rank")).limit(0)
+    words = texts.select("id", F.explode(F.array_distinct(F.filter(F.split("t", " "), lambda w: w != ""))).alias("word"))
     grams_of = lambda n: F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.substring(F.col("word"), i, F.lit(n)))
-    sizes = [r[0] for r in keyed.select(F.least(F.length("anchor"), F.lit(GRAM))).distinct().collect()]  # three at most
-    grams = F.array_distinct(F.flatten(F.array(*map(grams_of, sizes)))) if sizes else F.array().cast("array<string>")
-    split = words.select("word").distinct().select("word", F.explode(grams).alias("gram"))
-    heads = anchors.select("anchor", F.left("anchor", F.lit(GRAM)).alias("head"))
-    met = split.join(heads, F.col("gram") == F.col("head")).where(F.contains("word", "anchor")).select(F.col("word").alias("of"), "anchor").distinct()
-    hits = words.join(met, F.col("word") == F.col("of")).select("id", "anchor").distinct()
-    return hits.join(anchors, "anchor").groupBy("id").agg(F.flatten(F.collect_list("phrases")).alias("found"))
+    split = words.select("word").distinct().select("word", F.explode(F.array_distinct(F.flatten(F.array(*map(grams_of, sizes))))).alias("gram"))
+    met = split.join(phrases.withColumn("head", F.left("phrase", F.lit(GRAM))), F.col("gram") == F.col("head")).where(F.contains("word", "phrase"))
+    met = met.groupBy(F.col("word").alias("of")).agg(F.min("rank").alias("rank"))
+    return words.join(met, F.col("word") == F.col("of")).select("id", "rank")
+
+
+def first_phrases(texts: DataFrame, phrases: DataFrame) -> DataFrame:
+    """``of, first``: for each text (``id, t``: normalised) with any of the phrases (``ord, category, phrase``, distinct) the first one."""
+    tie = F.row_number().over(W.partitionBy("ord").orderBy("category", "phrase"))
+    listed = _written(phrases.select((F.col("ord").cast("decimal(20, 0)") * 1000000000 + tie).alias("rank"), "category", "phrase"), "phrases")
+    spaced = F.contains("phrase", F.lit(" "))
+    found = _spaced(texts, listed.where(spaced)).unionByName(_unspaced(texts, listed.where(~spaced)))
+    first = found.groupBy(F.col("id").alias("of")).agg(F.min("rank").alias("rank"))
+    return first.join(listed, "rank").select("of", F.struct("category", "phrase").alias("first"))
 
 
 def match_phrases(df: DataFrame, text: str, topics=vocab.TOPIC_PHRASES, key: str | None = None) -> DataFrame:
@@ -76,14 +129,20 @@ def match_phrases(df: DataFrame, text: str, topics=vocab.TOPIC_PHRASES, key: str
     text contains; 'Unknown' and null without one.  ``topics`` are lists by topic, or a table like ``phrase_table``;
     ``key`` names a column of distinct values that are not null (without one, rows are written once with a number)."""
     spark, rows = df.sparkSession, df.drop("category", "phrase")
-    phrases = topics if isinstance(topics, DataFrame) else phrase_table(spark, topics)
+    phrases = _once(topics if isinstance(topics, DataFrame) else phrase_table(spark, topics))
+    head = phrases.orderBy("ord", "category", "phrase").limit(HEAD + 1).collect()
     number = F.monotonically_increasing_id() if key is None else F.col(key)
     base = rows.select(F.struct(*rows.columns).alias("row"), T.normalize_text(F.col(text)).alias("t"), number.alias("id"))
-    if key is None:  # the number must stay the same when a lost task is run again
-        base = _written(base, "texts")
-    found = phrase_candidates(base.select("id", "t"), phrases.select("ord", "category", "phrase")).withColumnRenamed("id", "of")
-    first = F.array_min(F.filter("found", lambda p: F.contains(F.col("t"), p["phrase"])))
-    out = base.join(found, F.col("id") == F.col("of"), "left").select("row", first.alias("first"))
+    here = _first_of(F.col("t"), head[:HEAD]).alias("first")
+    if len(head) <= HEAD:
+        out = base.select("row", here)
+    else:
+        if key is None:  # the number must stay the same when a lost task is run again
+            base = _written(base, "texts")
+        tried = _written(base.select("id", "t", here).select("id", "first", F.when(F.col("first").isNull(), F.col("t")).alias("t")), "tried")
+        rest = first_phrases(tried.where("first is null").select("id", "t"), phrases)
+        found = tried.where("first is not null").select(F.col("id").alias("of"), "first").unionByName(rest)
+        out = base.select("row", "id").join(found, F.col("id") == F.col("of"), "left")
     return out.select("row.*", F.coalesce("first.category", F.lit("Unknown")).alias("category"), F.col("first.phrase").alias("phrase"))
 
 

@@ -231,6 +231,25 @@ def test_phrases_against_brute_force(spark):
     assert {x["id"]: x["phrase"] for x in got.collect()} == want
 
 
+def test_phrases_with_spaces_leave_a_rank_a_text(spark, monkeypatch):
+    """Cut, spaced and very long phrases of equal and of repeated order, in one and in several broadcasts; no list of phrases is gathered."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choices("abé𝒳", k=r.choice((1, 2, 3, 4, 18, 30))))
+    texts = [" ".join(word() for _ in range(r.randint(0, 14))) for _ in range(150)] + ["", " "]
+    cuts = [t[i : i + n] for t in texts[::2] if t for i, n in [(r.randrange(len(t)), r.randint(1, 40))]]
+    phrases = [*cuts, "a  b", " ", "  ", "", " a", "b ", *cuts[:5]]
+    rows = [(i // 2, f"t{i % 3}", p) for i, p in enumerate(phrases)]
+    table = spark.createDataFrame(rows, "ord long, category string, phrase string")
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    want = {i: min([x for x in rows if x[2].strip(" ") and x[2] in " ".join(t.split())], default=(0, "Unknown", None))[1:] for i, t in enumerate(texts)}
+    for head, most in ((P.HEAD, P.AT_ONCE), (20, P.AT_ONCE), (1, 20)):
+        monkeypatch.setattr(P, "HEAD", head)
+        monkeypatch.setattr(P, "AT_ONCE", most)
+        got = P.match_phrases(df, "text", table, "id")
+        assert {x["id"]: (x["category"], x["phrase"]) for x in got.collect()} == want
+        assert "collect_list" not in got._jdf.queryExecution().toString()
+
+
 def test_text_vectors_against_brute_force(spark):
     texts = ["One two, TWO; three3 é", "", None, "漢字 !", "a " * 3000]
     got = {r["id"]: r["v"] for r in E.bucket_vectors(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), "id", "text", "v").collect()}

@@ -16,6 +16,8 @@ _SPACE = r"[\s\x1c-\x1f]"
 FIGURE_START = rf"(?i)\bFig(?:ure|\.)?[{BLANK}]+"
 NUMBER = r"[-−]?\d+"
 WORD3 = r"\b[a-zA-Z]{3,}\b"
+#: words and blanks of ASCII alone, as RE2 has ``\\b`` and ``\\s`` (Java 17 takes all letters and digits for parts of a word)
+ASCII_WORD3, ASCII_BLANK = r"(?<![0-9A-Za-z_])[a-zA-Z]{3,}(?![0-9A-Za-z_])", r"\t\n\f\r "
 
 
 def strip(x: Column) -> Column:
@@ -126,12 +128,12 @@ def truncate_sentence(x: Column, limit: int, least_dot: int, least_space: int |
     return F.when(F.length(x) <= limit, x).otherwise(cut.otherwise(F.concat(head, F.lit("..."))))
 
 
-def is_matrix_text(x: Column) -> Column:
+def is_matrix_text(x: Column, word: str = WORD3, blank: str = BLANK) -> Column:
     solid = F.length(F.replace(x, F.lit(" "), F.lit("")))
     digits = F.length(x) - F.length(F.regexp_replace(x, NUMBER, ""))
-    numbers, words = F.regexp_count(x, F.lit(NUMBER)), F.regexp_count(x, F.lit(WORD3))
+    numbers, words = F.regexp_count(x, F.lit(NUMBER)), F.regexp_count(x, F.lit(word))
     symbols = F.regexp_count(x, F.lit(r"[=+\-−×÷√∑∏∫]"))
-    matrix = (digits > solid * F.lit(0.4)) | ((numbers > 10) & (words < 5)) | ((symbols > 5) & (words < 3)) | x.rlike(rf"(\d+[{BLANK}]+){{4,}}")
+    matrix = (digits > solid * F.lit(0.4)) | ((numbers > 10) & (words < 5)) | ((symbols > 5) & (words < 3)) | x.rlike(rf"(?:\d+[{blank}]+){{4}}")
     return F.coalesce((F.length(x) >= 10) & (solid > 0) & matrix, F.lit(False))
 
 

@@ -16,14 +16,16 @@ from figmine.sources.spread import dealt_by
 SIDES = ["x0", "y0", "x1", "y1"]
 
 
-def by_page(df: DataFrame, solve: Callable[[np.ndarray], np.ndarray], page: str = "page_key") -> DataFrame:
-    """``page, x0, y0, x1, y1`` of what ``solve`` makes of the boxes of each page (n x 4, in order)."""
+def by_page(df: DataFrame, solve: Callable[[np.ndarray], np.ndarray] | None = None, page: str = "page_key", together: Callable[[list], list] | None = None) -> DataFrame:
+    """``page, x0, y0, x1, y1`` of what ``solve`` makes of the boxes of each page (n x 4, in order), or ``together`` of
+    those of all pages of a batch."""
+    together = together or (lambda parts: [solve(b) for b in parts])
 
     def one(table: pa.Table):
         pages = table[page].to_numpy()
         boxes = np.stack([table[c].to_numpy() for c in SIDES], axis=1) if len(pages) else np.zeros((0, 4))
         cut = np.append(np.flatnonzero(np.append(True, pages[1:] != pages[:-1])), len(pages)) if len(pages) else np.zeros(1, int)
-        made = [(pages[a], solve(boxes[a:b])) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        made = list(zip(pages[cut[:-1]], together([boxes[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]), strict=True))
         if made:
             rows = np.concatenate([m for _, m in made])
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat([p for p, _ in made], [len(m) for _, m in made])), *(pa.array(rows[:, i]) for i in range(4))], [page, *SIDES])

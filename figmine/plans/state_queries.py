@@ -109,7 +109,7 @@ def vector_region_scan(spark, sf):
 @query()
 def find_gate_regions(spark, sf):
     """The boxes of each page are drawn and found again as candidate symbols."""
-    return by_page(made(spark, sf, BOXES), lambda b: backend.all_gate_regions(backend.draw(b)))
+    return by_page(made(spark, sf, BOXES), together=lambda pages: backend.gate_regions_of(map(backend.draw, pages)))
 
 
 @query(f"""WITH {FOUND}, c AS (SELECT image_id, gate, count(*) AS n FROM k GROUP BY 1, 2),

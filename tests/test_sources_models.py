@@ -55,6 +55,25 @@ def test_gate_regions_of_a_drawn_page():
     assert backend.all_gate_regions(backend.draw(boxes)).tolist() == [[10, 10, 50, 45], [100, 60, 160, 100]]
 
 
+def test_gate_regions_of_pages_together(monkeypatch):
+    """Pages of few boxes, of noise and of nothing give what each gives alone, by few labellings for all."""
+    r = np.random.default_rng(5)
+    pages = [backend.draw(np.column_stack([c, c + r.integers(1, 90, (len(c), 2))]).astype(float)) for c in (r.integers(0, 200, (n, 2)) for n in r.integers(0, 9, 200))]
+    pages += [np.where(r.random((60, 70)) < 0.4, 160, 255).astype(np.uint8), np.zeros((0, 5), np.uint8), np.zeros((40, 40), np.uint8)]
+    calls, whole = [], backend.runs
+    monkeypatch.setattr(backend, "runs", lambda mask: calls.append(1) or whole(mask))
+    got = backend.gate_regions_of(pages)
+    assert len(calls) <= 4 and len(got) == len(pages)
+    for page, found in zip(pages, got, strict=True):
+        want = set()
+        for t in (150, 200):
+            b = flood(page < t)
+            want |= {(x, y, x + w, y + h) for x, y, w, h, _ in b if 0.3 < w / h < 4 and 400 < w * h < 50000 and w > 20 and h > 20}
+        assert list(map(tuple, found.astype(int).tolist())) == sorted(want)
+    monkeypatch.setattr(backend, "TOGETHER", 500)
+    assert all(np.array_equal(a, b) for a, b in zip(got, backend.gate_regions_of(pages), strict=True))
+
+
 def test_png():
     r = np.random.default_rng(1)
     for shape in ((1, 1), (7, 9), (5, 4, 3)):

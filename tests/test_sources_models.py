@@ -74,6 +74,22 @@ def test_gate_regions_of_pages_together(monkeypatch):
     assert all(np.array_equal(a, b) for a, b in zip(got, backend.gate_regions_of(pages), strict=True))
 
 
+def test_numbers_of_variants_without_whole_images(monkeypatch):
+    """The range after equalisation and the share of black pixels are those of the whole images, made for few of the drawn pages."""
+    r = np.random.default_rng(6)
+    drawn = [backend.draw(np.column_stack([c, c + r.integers(1, 200, (len(c), 2))]).astype(float)) for c in (r.integers(0, 300, (n, 2)) for n in r.integers(1, 8, 100))]
+    other = [np.repeat(r.integers(0, 256, (r.integers(1, 30), 2), dtype=np.uint8), r.integers(1, 30), axis=1) for _ in range(100)]
+    whole, calls = backend.equalized, []
+    monkeypatch.setattr(backend, "equalized", lambda *a: calls.append(1) or whole(*a))
+    for pages in (drawn, other):
+        calls.clear()
+        for gray in pages:
+            even = whole(gray)
+            assert backend.equalized_range(gray) == (even.min(), even.max())
+            assert backend.black_share(gray) == (backend.adaptive_threshold(gray) == 0).mean()
+        assert pages is other or len(calls) <= 10
+
+
 def test_png():
     r = np.random.default_rng(1)
     for shape in ((1, 1), (7, 9), (5, 4, 3)):

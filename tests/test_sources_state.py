@@ -54,6 +54,20 @@ def flooded(mask):
     return out
 
 
+def test_image_folders_are_not_listed_by_the_driver(spark, tmp_path):
+    """No file index in the plan; names with blanks and signs, other endings, hidden files and folders within."""
+    names = {"circuits": ["a b.png", "100%25 #1?.JPG", "é.jpeg"], "non_circuits": [f"{i}.png" for i in range(450)]}
+    for folder, found in names.items():
+        (tmp_path / folder / "within.png").mkdir(parents=True)
+        for n in [*found, ".hidden.png", "_also.png", "notes.txt", "within.png/x.png"]:
+            (tmp_path / folder / n).write_bytes(n.encode())
+    for base in (str(tmp_path), f"file://{tmp_path}"):
+        df = read_labeled_images(spark, base)
+        assert "binaryFile" not in df._jdf.queryExecution().toString()
+        got = [(r["is_target"], r["path"].rsplit("/", 1)[1], bytes(r["content"]).decode()) for r in df.collect()]
+        assert sorted(got) == sorted((int(f == "circuits"), n, n) for f, ns in names.items() for n in ns)
+
+
 def test_drawn_regions_are_found(spark, sf):
     pages, want = {}, set()
     for r in made(spark, sf, BOXES).where("page_key < 40").collect():
